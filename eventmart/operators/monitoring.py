@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from eventmart.schemas import EVENT_FIELDS
 
-RUN_BITS = 20
+RUN = 32768
 BASELINE_SECONDS = 7 * 86400
 
 
@@ -55,23 +55,44 @@ def partition_lag(latest: DataFrame, progress: DataFrame, threshold: int) -> Dat
                     F.when(lag > threshold, "LAGGING").otherwise("OK").alias("status")))
 
 
-def missing_offsets(events: DataFrame, run_bits: int = RUN_BITS) -> DataFrame:
+def offset_bitmaps(events: DataFrame) -> DataFrame:
+    """The offsets of each partition as bitmaps, one per run of 32,768 offsets.
+
+    ``(kafka_partition, _run, _bits, _first, _last)``; bit i of a run stands for offset
+    ``_run * 32768 + i``. Whatever the number of events, a run leaves a map task as 4 KB, and
+    offsets that were stored many times cost no more than once.
+    """
+    at = F.col("kafka_offset") + 1
+    return (events.groupBy("kafka_partition", (F.bitmap_bucket_number(at) - 1).alias("_run"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("_bits"),
+                 F.min("kafka_offset").alias("_first"), F.max("kafka_offset").alias("_last")))
+
+
+def offset_ranges(events: DataFrame) -> DataFrame:
+    """Expected and actual number of distinct offsets per partition, exactly."""
+    return offset_bitmaps(events).groupBy("kafka_partition").agg(
+        (F.max("_last") - F.min("_first") + 1).alias("expected"),
+        F.sum(F.bitmap_count("_bits")).alias("actual"))
+
+
+def missing_offsets(events: DataFrame) -> DataFrame:
     """Offset ranges to replay: ``(kafka_partition, from_offset, to_offset, missing)``.
 
-    A partition's offsets are cut into runs of 2^20, each a window group of bounded size;
-    gaps that span runs come from the first and last offset of neighbouring runs.
+    Only runs with holes are taken apart, each a window group of at most 32,768 offsets.
+    Gaps between runs come from the first and last offsets of neighbouring runs.
     """
-    run = F.shiftright("kafka_offset", run_bits).alias("_run")
-    offsets = events.select("kafka_partition", run, "kafka_offset").distinct()
-    inside = offsets.select(
-        "kafka_partition", F.col("kafka_offset").alias("_last"),
-        F.lead("kafka_offset").over(
-            Window.partitionBy("kafka_partition", "_run").orderBy("kafka_offset")).alias("_next"))
-    edges = offsets.groupBy("kafka_partition", "_run").agg(
-        F.min("kafka_offset").alias("_first"), F.max("kafka_offset").alias("_last"))
-    between = edges.select(
-        "kafka_partition", "_last",
-        F.lead("_first").over(Window.partitionBy("kafka_partition").orderBy("_run")).alias("_next"))
+    bitmaps = offset_bitmaps(events)
+    holed = bitmaps.filter(F.bitmap_count("_bits") < F.col("_last") - F.col("_first") + 1)
+    byte = F.expr("cast(conv(hex(substring(_bits, cast(_i div 8 + 1 as int), 1)), 16, 10) as int)")
+    present = (holed.select("kafka_partition", "_run", "_bits",
+                            F.explode(F.sequence(F.lit(0), F.lit(RUN - 1))).alias("_i"))
+               .filter(F.getbit(byte, F.col("_i") % 8) == 1)
+               .select("kafka_partition", "_run",
+                       (F.col("_run") * RUN + F.col("_i")).alias("_last")))
+    inside = present.select("kafka_partition", "_last", F.lead("_last").over(
+        Window.partitionBy("kafka_partition", "_run").orderBy("_last")).alias("_next"))
+    between = bitmaps.select("kafka_partition", "_last", F.lead("_first").over(
+        Window.partitionBy("kafka_partition").orderBy("_run")).alias("_next"))
     return inside.unionByName(between).filter(F.col("_next") - F.col("_last") > 1).select(
         "kafka_partition", (F.col("_last") + 1).alias("from_offset"),
         (F.col("_next") - 1).alias("to_offset"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -76,17 +78,18 @@ def reconcile(events: DataFrame, orders: DataFrame, financials: DataFrame, facts
     return denormalize(events, missing, financials, count_on=count_on)
 
 
-def events_of(events: DataFrame, orders: DataFrame,
-              max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Events in the sessions of some orders, if those sessions are few; else all events.
+def key_filter(keys: DataFrame, on: Sequence[str],
+               max_bytes: int = BROADCAST_BYTES) -> Callable[[DataFrame], DataFrame]:
+    """A filter to rows whose key is in ``keys``, or one that keeps all if the keys are many.
 
-    Only a filter ahead of :func:`denormalize`: with few orders it spares the shuffle of all
-    purchases. ``orders`` is read to be measured, so pass a stored frame.
+    It goes ahead of a join on the same key, so either way the join's result is the same;
+    with few keys it spares the shuffle of a whole table. ``keys`` is read to be measured, so
+    pass a stored, cached or small frame.
     """
-    sessions = orders.select(*SESSION).distinct()
-    if payload_bytes(sessions) <= max_bytes:
-        return events.join(F.broadcast(sessions), SESSION, "left_semi")
-    return events
+    distinct = keys.select(*on).distinct()
+    if payload_bytes(distinct) > max_bytes:
+        return lambda df: df
+    return lambda df: df.join(F.broadcast(distinct), list(on), "left_semi")
 
 
 def purchases_without_fact(events: DataFrame, facts: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from eventmart.functions.numbers import half_even
 from eventmart.functions.times import moment, time_text
 from eventmart.functions.values import EPOCH_TIME, LAG_LIMIT_SECONDS, PURCHASE, UNKNOWN
+from eventmart.operators.monitoring import offset_ranges
 
 CHECK_COLUMNS = ("check_name", "status", "metric")
 
@@ -137,21 +138,6 @@ def consumer_errors(consumers: DataFrame, dead_letters: DataFrame | None = None)
                                 (F.col("most_read") >= 0) & (F.col("dead") == 0), metric))
 
 
-def offset_ranges(events: DataFrame) -> DataFrame:
-    """Expected and actual number of distinct offsets per partition, exactly.
-
-    Offsets become bits of fixed-size bitmaps, so the shuffle carries 4 KB for each run of
-    32,768 offsets instead of every distinct offset.
-    """
-    bitmaps = events.groupBy(
-        "kafka_partition", F.bitmap_bucket_number("kafka_offset").alias("_run")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("kafka_offset")).alias("_bits"),
-        F.min("kafka_offset").alias("_first"), F.max("kafka_offset").alias("_last"))
-    return bitmaps.groupBy("kafka_partition").agg(
-        (F.max("_last") - F.min("_first") + 1).alias("expected"),
-        F.sum(F.bitmap_count("_bits")).alias("actual"))
-
-
 def offset_continuity(events: DataFrame) -> DataFrame:
     totals = offset_ranges(events).agg(
         F.coalesce(F.sum("expected"), F.lit(0)).alias("expected"),

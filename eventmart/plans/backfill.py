@@ -17,7 +17,7 @@ from eventmart.operators.enrich import with_users
 from eventmart.operators.reports import first_rows
 from eventmart.operators.skew import BROADCAST_BYTES
 from eventmart.operators.versioning import drop_duplicates, latest_version
-from eventmart.schemas import EVENTS_ENRICHED_BACKFILL
+from eventmart.schemas import EVENT_FIELDS, EVENTS_ENRICHED_BACKFILL
 from eventmart.session import build_session
 from eventmart.sources.files import read_events, read_users, stage_csv
 from eventmart.sources.tables import read_stored, write_batch
@@ -46,7 +46,8 @@ def enrich_window(events: DataFrame, users: DataFrame, start: str, end: str,
     Duplicates go before the lookup: the user is part of the key, so the rows are the same
     and fewer of them meet the users.
     """
-    window = drop_duplicates(in_window(events, start, end), NATURAL_KEY)
+    rows = in_window(events.select(*EVENT_FIELDS), start, end)
+    window = drop_duplicates(rows, NATURAL_KEY)
     joined = with_users(window, users, ("session_id", "event_time", "event_type"), max_bytes)
     return (joined.withColumns({
         "city": F.coalesce("city", F.lit(UNKNOWN)),

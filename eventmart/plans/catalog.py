@@ -332,7 +332,7 @@ def duplicate_count(spark, sf_dir):
 
 
 def offset_ranges(spark, sf_dir):
-    return quality.offset_ranges(data.landed(spark, sf_dir))
+    return monitoring.offset_ranges(data.landed(spark, sf_dir))
 
 
 def ingest_lag(spark, sf_dir):
@@ -397,8 +397,7 @@ def _live(spark: SparkSession, sf_dir: str) -> jobs.Warehouse:
     product = data.product_tables(spark, sf_dir, late=False)
     pipeline = live.LivePipeline(
         house.root, live.Refreshed(lambda: data.users(spark, sf_dir)),
-        lambda: orders.product_orders_all(product), lambda: data.financials(spark, sf_dir),
-        lambda: orders.order_keys(product), lambda: AS_OF)
+        lambda start: product, lambda start: data.financials(spark, sf_dir), lambda: AS_OF)
     query = pipeline.start(_record_stream(spark, sf_dir), run_dir(spark, "checkpoint"))
     live.wait(query, 1800)
     return house

@@ -12,7 +12,7 @@ from eventmart.operators import quality
 from eventmart.operators.aggregates import finalize_states
 from eventmart.operators.monitoring import partition_progress
 from eventmart.operators.orders import order_keys, product_orders_all
-from eventmart.operators.purchases import denormalize, events_of, orders_without_fact
+from eventmart.operators.purchases import SESSION, denormalize, key_filter, orders_without_fact
 from eventmart.operators.reports import verification_report
 from eventmart.operators.versioning import one_row_per_order
 from eventmart.schemas import (
@@ -37,15 +37,19 @@ class Warehouse:
     def daily(self) -> DataFrame:
         return finalize_states(read_table(self.spark, self.root, EVENTS_AGG_DAILY))
 
+    def stored_facts(self, start: str | None = None, end: str | None = None) -> DataFrame:
+        """Facts as stored. Copies of an event in two batches leave its order there twice."""
+        return read_table(self.spark, self.root, FACT_PURCHASES, start, end)
+
     def facts(self) -> DataFrame:
-        """Facts with each order once, also where a repeated batch met a filled gap."""
-        return one_row_per_order(read_table(self.spark, self.root, FACT_PURCHASES))
+        """Facts with each order once."""
+        return one_row_per_order(self.stored_facts())
 
     def users(self) -> DataFrame:
         return read_table(self.spark, self.root, USERS)
 
-    def product_tables(self) -> Mapping[str, DataFrame]:
-        return {line: read_table(self.spark, self.root, table)
+    def product_tables(self, start: str | None = None) -> Mapping[str, DataFrame]:
+        return {line: read_table(self.spark, self.root, table, start)
                 for line, table in PRODUCT_TABLES.items()}
 
     def orders(self) -> DataFrame:
@@ -54,8 +58,8 @@ class Warehouse:
     def order_keys(self) -> DataFrame:
         return order_keys(self.product_tables())
 
-    def financials(self) -> DataFrame:
-        return read_table(self.spark, self.root, FINANCIAL_ORDER)
+    def financials(self, start: str | None = None) -> DataFrame:
+        return read_table(self.spark, self.root, FINANCIAL_ORDER, start)
 
     def dead_letters(self) -> DataFrame:
         return read_table(self.spark, self.root, DEAD_LETTERS)
@@ -93,11 +97,12 @@ def reconcile(house: Warehouse) -> int:
     """
     staged = run_dir(house.spark, "missing-orders")
     missing = orders_without_fact(
-        house.orders(), read_table(house.spark, house.root, FACT_PURCHASES),
+        house.orders(), house.stored_facts(),
         count_on=house.order_keys())
     missing.write.parquet(staged)
     missing = house.spark.read.schema(missing.schema).parquet(staged)
-    facts = denormalize(events_of(house.events(), missing), missing, house.financials())
+    facts = denormalize(key_filter(missing, SESSION)(house.events()), missing,
+                        key_filter(missing, ["order_id"])(house.financials()))
     label = f"fill-{uuid.uuid4().hex}"
     write_batch(facts, house.root, FACT_PURCHASES, label)
     return house.spark.read.schema(FACT_PURCHASES.schema).parquet(
@@ -105,10 +110,21 @@ def reconcile(house: Warehouse) -> int:
 
 
 def live_pipeline(house: Warehouse, refresh_seconds: float = 300,
-                  ingested_at: str | Column | None = None) -> LivePipeline:
+                  ingested_at: str | Column | None = None,
+                  lookback_days: int | None = None) -> LivePipeline:
+    """The stream's pipeline over a warehouse.
+
+    With ``lookback_days`` a batch reads only the months of orders from that many days before
+    its earliest event; older orders are then found by the reconcile job instead.
+    """
+    def since(moment: str | None) -> str | None:
+        return moment if lookback_days is not None else None
+
     return LivePipeline(
-        house.root, Refreshed(house.users, refresh_seconds), house.orders, house.financials,
-        house.order_keys, lambda: ingested_at)
+        house.root, Refreshed(house.users, refresh_seconds),
+        lambda start: house.product_tables(since(start)),
+        lambda start: house.financials(since(start)), lambda: ingested_at,
+        lookback_days or 0)
 
 
 def ingest(house: Warehouse, records: DataFrame, checkpoint: str, seconds: float = 120,

@@ -277,6 +277,9 @@ _BODIES = {
         (SELECT count(DISTINCT order_id) FROM facts) AS orders_after""",
     "users_after_changes": _CHANGED_USERS,
     "agg_daily": "SELECT * FROM daily",
+    # Sketches of so few users per group hold them all, so their estimates are exact.
+    "agg_daily_sketch": "SELECT * FROM daily",
+    "stream_agg_daily": "SELECT * FROM good_daily",
     "agg_daily_purchases_by_channel": """SELECT event_date, channel,
         CAST(sum(events_count) AS BIGINT) AS c FROM daily WHERE event_type = 'purchase'
         GROUP BY 1, 2 ORDER BY event_date, c DESC""",

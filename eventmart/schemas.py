@@ -81,25 +81,25 @@ _ORDER_KEY = ("user_id", "session_id", "order_id")
 THIRD_ORDER = Table(
     "third_order",
     _schema(**_ORDER, vehicle_type=TEXT, coverage_tier=TEXT, no_claim_years=INT),
-    key=_ORDER_KEY, version="created_at", sort=_ORDER_KEY)
+    key=_ORDER_KEY, version="created_at", sort=_ORDER_KEY, month_of="created_at")
 BODY_ORDER = Table(
     "body_order",
     _schema(**_ORDER, vehicle_value=DOUBLE, vehicle_brand=TEXT,
             franchise_pct=T.DecimalType(4, 2)),
-    key=_ORDER_KEY, version="created_at", sort=_ORDER_KEY)
+    key=_ORDER_KEY, version="created_at", sort=_ORDER_KEY, month_of="created_at")
 MEDICAL_ORDER = Table(
     "medical_order",
     _schema(**_ORDER, plan_tier=TEXT, insured_count=INT, has_dental=INT),
-    key=_ORDER_KEY, version="created_at", sort=_ORDER_KEY)
+    key=_ORDER_KEY, version="created_at", sort=_ORDER_KEY, month_of="created_at")
 FIRE_ORDER = Table(
     "fire_order",
     _schema(**_ORDER, property_type=TEXT, building_area=LONG, coverage_amount=DOUBLE),
-    key=_ORDER_KEY, version="created_at", sort=_ORDER_KEY)
+    key=_ORDER_KEY, version="created_at", sort=_ORDER_KEY, month_of="created_at")
 FINANCIAL_ORDER = Table(
     "financial_order",
     _schema(order_id=LONG, payment_method=TEXT, installments=INT, discount_amount=DOUBLE,
             tax_amount=DOUBLE, net_amount=DOUBLE, payment_status=TEXT, paid_at=TIME),
-    key=("order_id",), version="paid_at", sort=("order_id",))
+    key=("order_id",), version="paid_at", sort=("order_id",), month_of="paid_at")
 
 PRODUCT_TABLES = {
     "third": THIRD_ORDER, "body": BODY_ORDER, "medical": MEDICAL_ORDER, "fire": FIRE_ORDER,

@@ -7,7 +7,7 @@ wrote, so nothing counts twice, although the stream delivers at least once.
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -15,9 +15,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from eventmart.functions.times import time_text
 from eventmart.operators.aggregates import daily_states
 from eventmart.operators.enrich import USER_COLUMNS, enrich
-from eventmart.operators.purchases import denormalize
+from eventmart.operators.orders import product_orders_all
+from eventmart.operators.purchases import SESSION, denormalize, key_filter, purchases
 from eventmart.operators.skew import BROADCAST_BYTES, payload_bytes
 from eventmart.schemas import (
     DEAD_LETTERS, EVENTS_AGG_DAILY, EVENTS_ENRICHED, FACT_PURCHASES, USER_EVENTS)
@@ -56,16 +58,17 @@ class Refreshed:
 class LivePipeline:
     """Where the stream's tables live and how its lookups are read.
 
-    ``orders`` and ``financials`` are called once per batch, so each batch sees the orders
-    present when it runs; what arrives later is left to the reconcile job.
+    ``products`` and ``financials`` are called once per batch with a time, ``lookback_days``
+    before the batch's earliest event, which they may use to read less. Each batch sees the
+    orders present when it runs; what arrives later is left to the reconcile job.
     """
 
     root: str
     users: Refreshed
-    orders: Callable[[], DataFrame] | None = None
-    financials: Callable[[], DataFrame] | None = None
-    order_keys: Callable[[], DataFrame] | None = None
+    products: Callable[[str | None], Mapping[str, DataFrame]] | None = None
+    financials: Callable[[str | None], DataFrame] | None = None
     ingested_at: Callable[[], str | Column | None] = lambda: None
+    lookback_days: int = 0
 
     def process(self, records: DataFrame, batch_id: int) -> None:
         spark = records.sparkSession
@@ -82,10 +85,24 @@ class LivePipeline:
         stored = (read_stored(spark, self.root, EVENTS_ENRICHED)
                   .filter(F.col(BATCH) == str(batch_id)).select(*EVENTS_ENRICHED.columns))
         write_batch(daily_states(stored), self.root, EVENTS_AGG_DAILY, str(batch_id))
-        if self.orders and self.financials:
-            facts = denormalize(stored, self.orders(), self.financials(),
-                                count_on=self.order_keys() if self.order_keys else None)
-            write_batch(facts, self.root, FACT_PURCHASES, str(batch_id))
+        if self.products and self.financials:
+            self._write_facts(stored, batch_id)
+
+    def _write_facts(self, stored: DataFrame, batch_id: int) -> None:
+        """Facts of one batch. The order tables shrink to the batch's sessions while they are
+        scanned, before versions are compared, so no batch shuffles a whole table."""
+        bought = purchases(stored)
+        start = bought.select(time_text(
+            F.min("event_time") - F.make_dt_interval(F.lit(self.lookback_days)))).first()[0]
+        of_batch = key_filter(bought, SESSION)
+        narrowed = {line: of_batch(table) for line, table in self.products(start).items()}
+        orders = product_orders_all(narrowed).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            paid = key_filter(orders, ["order_id"])(self.financials(start))
+            write_batch(denormalize(stored, orders, paid), self.root, FACT_PURCHASES,
+                        str(batch_id))
+        finally:
+            orders.unpersist()
 
     def start(self, records: DataFrame, checkpoint: str, every: str | None = None,
               name: str | None = None) -> StreamingQuery:
