@@ -107,11 +107,7 @@ def read_latest(spark: SparkSession, root: str, table: Table) -> DataFrame:
 def truncate(spark: SparkSession, root: str, tables: Iterable[Table]) -> None:
     """Empty tables; the folders and declared schemas stay."""
     for table in tables:
-        empty = spark.createDataFrame([], table.schema)
-        (empty.write.mode("overwrite").option("partitionOverwriteMode", "static")
-         .parquet(f"{table_path(root, table)}/{BATCH}=none"))
-        _empty_partitions(spark, root, table, [
-            p for p in _partitions(read_stored(spark, root, table), table) if p[BATCH] != "none"])
+        _empty_partitions(spark, root, table, _partitions(read_stored(spark, root, table), table))
 
 
 def _partitions(df: DataFrame, table: Table) -> list[dict]:

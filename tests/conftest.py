@@ -11,8 +11,10 @@ from eventmart.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = build_session("tests", "local[4]", {
-        "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "4",
-        "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "4g"})
+        "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "2",
+        "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "4g",
+        # Tiny frames: compiling stages would take longer than running them.
+        "spark.sql.codegen.wholeStage": "false"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
