@@ -11,8 +11,7 @@ from eventmart.functions.values import TAX_RATE
 
 def blank_to_null(text: Column | str) -> Column:
     """Trim all white space at both ends; null for what is then empty."""
-    stripped = F.regexp_replace(column(text).cast("string"), r"^\s+|\s+$", "")
-    return F.nullif(stripped, F.lit(""))
+    return F.nullif(F.btrim(column(text).cast("string"), F.lit(" \t\n\r\f\v")), F.lit(""))
 
 
 def premium_value(text: Column | str) -> Column:

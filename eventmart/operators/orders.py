@@ -63,25 +63,31 @@ def line_counts(orders: DataFrame) -> DataFrame:
     return orders.groupBy("product_line").agg(F.count(F.lit(1)).alias("orders"))
 
 
-def _folded(df: DataFrame, line: str) -> DataFrame:
+def _attribute_map(line: str) -> Column:
     pairs: list[Column] = []
     for name, is_number in _ATTRIBUTES[line].items():
         pairs += [F.lit(name), number_text(name) if is_number else F.col(name)]
-    return df.select(*ORDER_COLUMNS, F.lit(line).alias("product_line"),
-                     F.create_map(*pairs).alias("attributes"))
+    return F.create_map(*pairs)
 
 
 def product_orders_all(tables: Mapping[str, DataFrame], collapse: bool = True) -> DataFrame:
     """Union of the product tables with the line's own attributes as a string map.
 
-    Each table is read at its latest versions first; ``collapse=False`` reads all versions.
+    The tables are read at their latest versions; ``collapse=False`` reads all versions. The
+    typed columns stay side by side until then, so that one shuffle serves the four tables and
+    equal versions are told apart by typed values.
     """
-    parts = []
-    for line, table in PRODUCT_TABLES.items():
-        df = tables[line].select(*table.columns)
-        parts.append(_folded(latest_version(df, table.key, table.version) if collapse else df,
-                             line))
-    return reduce(DataFrame.unionByName, parts)
+    parts = [tables[line].select(*table.columns, F.lit(line).alias("product_line"))
+             for line, table in PRODUCT_TABLES.items()]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    if collapse:
+        rows = latest_version(rows, ["user_id", "session_id", "order_id", "product_line"],
+                              "created_at")
+    attributes = F.lit(None)
+    for line in PRODUCT_TABLES:
+        attributes = F.when(F.col("product_line") == line, _attribute_map(line)).otherwise(
+            attributes)
+    return rows.select(*ORDER_COLUMNS, "product_line", attributes.alias("attributes"))
 
 
 def order_keys(tables: Mapping[str, DataFrame]) -> DataFrame:

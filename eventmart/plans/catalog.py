@@ -391,13 +391,15 @@ def _record_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return data.messages(data.events_from(data.event_stream(spark, sf_dir)))
 
 
-def _live(spark: SparkSession, sf_dir: str) -> jobs.Warehouse:
+def _live(spark: SparkSession, sf_dir: str, with_facts: bool = False) -> jobs.Warehouse:
     """A warehouse filled by the live pipeline from the event stream."""
     house = jobs.Warehouse(spark, run_dir(spark, "live"))
-    product = data.product_tables(spark, sf_dir, late=False)
-    pipeline = live.LivePipeline(
-        house.root, live.Refreshed(lambda: data.users(spark, sf_dir)),
-        lambda start: product, lambda start: data.financials(spark, sf_dir), lambda: AS_OF)
+    pipeline = live.LivePipeline(house.root, live.Refreshed(lambda: data.users(spark, sf_dir)),
+                                 ingested_at=lambda: AS_OF)
+    if with_facts:
+        product = data.product_tables(spark, sf_dir, late=False)
+        pipeline.products = lambda start: product
+        pipeline.financials = lambda start: data.financials(spark, sf_dir)
     query = pipeline.start(_record_stream(spark, sf_dir), run_dir(spark, "checkpoint"))
     live.wait(query, 1800)
     return house
@@ -412,7 +414,7 @@ def stream_agg_daily(spark, sf_dir):
 
 
 def stream_facts(spark, sf_dir):
-    return plain(_live(spark, sf_dir).facts())
+    return plain(_live(spark, sf_dir, with_facts=True).facts())
 
 
 def stream_raw_sink(spark, sf_dir):

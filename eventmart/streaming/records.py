@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from eventmart.functions.messages import CORRUPT, event_fields
 from eventmart.functions.numbers import blank_to_null, premium_value
 from eventmart.functions.times import parse_date, parse_time
-from eventmart.schemas import DEAD_LETTERS
+from eventmart.schemas import DEAD_LETTERS, EVENT_FIELDS
 
 EVENT_COLUMNS = ("event_time", "user_id", "session_id", "event_type", "channel",
                  "premium_amount", "kafka_topic", "kafka_partition", "kafka_offset",
@@ -16,49 +16,53 @@ EVENT_COLUMNS = ("event_time", "user_id", "session_id", "event_type", "channel",
 
 
 def parse_records(records: DataFrame) -> DataFrame:
-    """Records with typed event columns and ``error``, empty for a good record.
+    """Records with typed event columns, ``_good``, and ``error`` for the others.
 
     Unknown fields are skipped and quoted numbers accepted. A record is bad if it has no
     value, is not a JSON object, lacks user, type or time, or holds a value of the wrong type.
+
+    The message is unfolded with ``inline``: filters on its fields stay above that step, where
+    on a plain struct column each of them would parse the message again.
     """
-    raw = records.withColumn("_f", event_fields("value"))
-    field = {name: F.col(f"_f.{name}") for name in (
-        "event_time", "user_id", "session_id", "event_type", "channel", "premium_amount")}
+    names = dict(records.dtypes)
+    raw = records.select("*", F.inline(F.array(event_fields("value")))).withColumnsRenamed(
+        {name: f"_{name}" for name in EVENT_FIELDS})
     typed = raw.select(
-        "*", parse_time(field["event_time"]).alias("event_time"),
-        blank_to_null(field["user_id"]).try_cast("bigint").alias("user_id"),
-        F.coalesce(field["session_id"], F.lit("")).alias("session_id"),
-        field["event_type"].alias("event_type"),
-        F.coalesce(field["channel"], F.lit("")).alias("channel"),
-        premium_value(field["premium_amount"]).alias("premium_amount"))
-    no_value = F.col("value").isNull()
-    corrupt = F.col(f"_f.{CORRUPT}").isNotNull()
-    readable = ~no_value & ~corrupt
-
-    def wrong(name: str):
+        *names, CORRUPT, *[f"_{name}" for name in EVENT_FIELDS],
+        parse_time("_event_time").alias("event_time"),
+        blank_to_null("_user_id").try_cast("bigint").alias("user_id"),
+        F.coalesce("_session_id", F.lit("")).alias("session_id"),
+        F.col("_event_type").alias("event_type"),
+        F.coalesce("_channel", F.lit("")).alias("channel"),
+        premium_value("_premium_amount").alias("premium_amount"))
+    readable = F.col("value").isNotNull() & F.col(CORRUPT).isNull()
+    bad_premium = F.col("premium_amount").isNull() & blank_to_null("_premium_amount").isNotNull()
+
+    def missing(name: str):
         return F.when(readable & F.col(name).isNull(), F.concat(
-            F.lit(f"{name}: "), F.coalesce(field[name], F.lit("missing"))))
+            F.lit(f"{name}: "), F.coalesce(f"_{name}", F.lit("missing"))))
 
-    bad_premium = F.when(
-        readable & F.col("premium_amount").isNull() & blank_to_null(
-            field["premium_amount"]).isNotNull(),
-        F.concat(F.lit("premium_amount: "), field["premium_amount"]))
     error = F.concat_ws(
-        "; ", F.when(no_value, F.lit("no value")), F.when(corrupt, F.lit("malformed message")),
-        wrong("event_time"), wrong("user_id"), wrong("event_type"), bad_premium)
-    return typed.withColumn("error", error).drop("_f")
+        "; ", F.when(F.col("value").isNull(), F.lit("no value")),
+        F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed message")),
+        missing("event_time"), missing("user_id"), missing("event_type"),
+        F.when(readable & bad_premium, F.concat(F.lit("premium_amount: "), "_premium_amount")))
+    # Never null, so a record is either good or a dead letter.
+    good = (F.col("user_id").isNotNull() & F.col("event_time").isNotNull()
+            & F.col("event_type").isNotNull() & ~bad_premium & F.col(CORRUPT).isNull())
+    return typed.select(*names, *EVENT_FIELDS, good.alias("_good"), error.alias("error"))
 
 
 def good_events(parsed: DataFrame) -> DataFrame:
     """Events of the good records with their position in the stream."""
-    return parsed.filter(F.length("error") == 0).withColumnsRenamed({
+    return parsed.filter("_good").withColumnsRenamed({
         "topic": "kafka_topic", "partition": "kafka_partition", "offset": "kafka_offset",
         "timestamp": "kafka_timestamp"}).select(*EVENT_COLUMNS)
 
 
 def dead_letters(parsed: DataFrame) -> DataFrame:
     """Bad records with their text, position and what is wrong with them."""
-    return parsed.filter(F.length("error") > 0).select(*DEAD_LETTERS.columns)
+    return parsed.filter("not _good").select(*DEAD_LETTERS.columns)
 
 
 def parse_changes(records: DataFrame) -> DataFrame:
