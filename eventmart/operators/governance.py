@@ -11,7 +11,7 @@ from eventmart.functions.numbers import half_even
 from eventmart.functions.times import moment
 from eventmart.functions.values import NET_BUCKET_DIGITS, RETENTION_MONTHS
 
-# Which tables an audience may read.
+# Which tables an audience may read.
 AUDIENCES = {
     "analyst": ("events_agg_daily_v", "fact_purchases_masked"),
     "data_scientist": ("events_agg_daily_v", "fact_purchases_masked", "events_enriched"),

@@ -20,16 +20,21 @@ from eventmart.schemas import (
     FINANCIAL_ORDER, PRODUCT_TABLES, USERS)
 from eventmart.session import run_dir
 from eventmart.sources.files import read_csv
-from eventmart.sources.tables import read_table, truncate, write_batch
+from eventmart.sources.tables import read_batch, read_table, truncate, write_batch
+from eventmart.streaming.changes import current_users
 from eventmart.streaming.live import LivePipeline, Refreshed, wait
 
 
 @dataclass
 class Warehouse:
-    """The tables below one root folder, as frames."""
+    """The tables below one root folder, as frames.
+
+    With ``change_log`` the users are the base table with the stored changes applied.
+    """
 
     spark: SparkSession
     root: str
+    change_log: bool = False
 
     def events(self) -> DataFrame:
         return read_table(self.spark, self.root, EVENTS_ENRICHED)
@@ -46,6 +51,8 @@ class Warehouse:
         return one_row_per_order(self.stored_facts())
 
     def users(self) -> DataFrame:
+        if self.change_log:
+            return current_users(self.spark, self.root)
         return read_table(self.spark, self.root, USERS)
 
     def product_tables(self, start: str | None = None) -> Mapping[str, DataFrame]:
@@ -105,8 +112,7 @@ def reconcile(house: Warehouse) -> int:
                         key_filter(missing, ["order_id"])(house.financials()))
     label = f"fill-{uuid.uuid4().hex}"
     write_batch(facts, house.root, FACT_PURCHASES, label)
-    return house.spark.read.schema(FACT_PURCHASES.schema).parquet(
-        f"{house.root}/{FACT_PURCHASES.name}/batch={label}").count()
+    return read_batch(house.spark, house.root, FACT_PURCHASES, label).count()
 
 
 def live_pipeline(house: Warehouse, refresh_seconds: float = 300,

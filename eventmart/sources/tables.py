@@ -81,6 +81,13 @@ def read_stored(spark: SparkSession, root: str, table: Table) -> DataFrame:
         raise
 
 
+def read_batch(spark: SparkSession, root: str, table: Table, label: str) -> DataFrame:
+    """One batch of a table, without listing the folders of the others."""
+    return spark.read.schema(_stored_schema(table)).option(
+        "basePath", table_path(root, table)).parquet(
+        f"{table_path(root, table)}/{BATCH}={label}").select(*table.columns)
+
+
 def between(df: DataFrame, table: Table, start: str | None, end: str | None) -> DataFrame:
     """Rows with start <= time < end. The same bounds on the month prune whole folders."""
     for bound, newer in ((start, True), (end, False)):

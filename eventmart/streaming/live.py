@@ -23,7 +23,7 @@ from eventmart.operators.purchases import SESSION, denormalize, key_filter, purc
 from eventmart.operators.skew import BROADCAST_BYTES, payload_bytes
 from eventmart.schemas import (
     DEAD_LETTERS, EVENTS_AGG_DAILY, EVENTS_ENRICHED, FACT_PURCHASES, USER_EVENTS)
-from eventmart.sources.tables import BATCH, read_stored, write_batch
+from eventmart.sources.tables import read_batch, write_batch
 from eventmart.streaming.records import dead_letters, good_events, parse_records
 
 REFRESH_SECONDS = 300
@@ -82,8 +82,7 @@ class LivePipeline:
             parsed.unpersist()
         # The batch's rows are read back from its files, so neither parsing nor the lookup
         # runs again for the outputs below, and a lost executor does not redo them.
-        stored = (read_stored(spark, self.root, EVENTS_ENRICHED)
-                  .filter(F.col(BATCH) == str(batch_id)).select(*EVENTS_ENRICHED.columns))
+        stored = read_batch(spark, self.root, EVENTS_ENRICHED, str(batch_id))
         write_batch(daily_states(stored), self.root, EVENTS_AGG_DAILY, str(batch_id))
         if self.products and self.financials:
             self._write_facts(stored, batch_id)
@@ -94,6 +93,8 @@ class LivePipeline:
         bought = purchases(stored)
         start = bought.select(time_text(
             F.min("event_time") - F.make_dt_interval(F.lit(self.lookback_days)))).first()[0]
+        if start is None:
+            return
         of_batch = key_filter(bought, SESSION)
         narrowed = {line: of_batch(table) for line, table in self.products(start).items()}
         orders = product_orders_all(narrowed).persist(StorageLevel.MEMORY_AND_DISK)

@@ -9,6 +9,7 @@ import pytest
 from eventmart.operators.aggregates import daily_metrics, finalize_states
 from eventmart.operators.enrich import enrich
 from eventmart.operators.versioning import one_row_per_order
+from eventmart.plans import jobs
 from eventmart.schemas import (
     DEAD_LETTERS, ENVELOPE, EVENTS_AGG_DAILY, EVENTS_ENRICHED, FACT_PURCHASES, USERS)
 from eventmart.sources.tables import read_table, write_batch
@@ -192,5 +193,6 @@ def test_user_changes_from_a_stream(spark, rows, source, tmp_path):
     assert rows(changes.current_users(spark, house), "user_id", "city") == [
         (1, "Milan"), (3, "Turin")]
     assert str(changes.current_users(spark, house).first().signup_date) == "2024-01-01"
+    assert jobs.Warehouse(spark, house, change_log=True).users().count() == 2
     changes.fold(spark, house, str(tmp_path / "new"))
     assert rows(read_table(spark, str(tmp_path / "new"), USERS), "user_id") == [(1,), (3,)]
