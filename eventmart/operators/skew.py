@@ -15,9 +15,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BUCKETS = 4096
+BUCKETS = 16384
 ROWS_PER_SALT = 500_000
-FAIR_SHARES = 4
+FAIR_SHARES = 2
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
