@@ -65,12 +65,12 @@ def salted_join(many: DataFrame, one: DataFrame, keys: Sequence[str], how: str,
 
 def payload_bytes(df: DataFrame) -> int:
     """Bytes the rows take in memory, measured by one aggregate over the frame."""
-    fixed = 16 + 8 * len(df.columns)
-    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema.fields
-             if isinstance(f.dataType, (T.StringType, T.BinaryType))]
-    width = F.lit(fixed).cast("bigint")
-    for text in texts:
-        width = width + text
+    width = F.lit(16 + 8 * len(df.columns)).cast("bigint")
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            width = width + F.coalesce(F.octet_length(f.name), F.lit(0))
+        elif isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType)):
+            width = width + F.octet_length(F.to_json(F.struct(f.name)))
     return df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("n")).first()["n"]
 
 

@@ -103,8 +103,7 @@ def expected_source_rows(spark, sf_dir):
 def stored_events_in_range(spark, sf_dir):
     """Enriched events written by month and sorted, then read for a range of times."""
     root = run_dir(spark, "stored")
-    tables.write_batch(data.enriched(spark, sf_dir), root, EVENTS_ENRICHED, "all",
-                       bloom=["user_id", "session_id"])
+    tables.write_batch(data.enriched(spark, sf_dir), root, EVENTS_ENRICHED, "all")
     return plain(tables.read_table(spark, root, EVENTS_ENRICHED, WINDOW[0], WINDOW[1]))
 
 
@@ -154,16 +153,16 @@ def late_order_cycle(spark, sf_dir):
     """Stored facts through two reconcile runs after orders come late: rows per stage."""
     house = jobs.Warehouse(spark, run_dir(spark, "late"))
     tables.write_batch(data.enriched(spark, sf_dir), house.root, EVENTS_ENRICHED, "all")
-    early = data.product_tables(spark, sf_dir, late=False)
-    jobs.seed(house, early, data.financials(spark, sf_dir))
+    jobs.seed(house, data.product_tables(spark, sf_dir, late=False),
+              data.financials(spark, sf_dir))
     jobs.denormalize_stored(house)
-    stages = [reports.row_count(house.facts(), "facts").first()["facts"]]
-    jobs.seed(house, data.product_tables(spark, sf_dir), data.financials(spark, sf_dir))
+    before = house.facts().count()
+    jobs.seed_products(house, data.product_tables(spark, sf_dir), "late")
     added = [jobs.reconcile(house), jobs.reconcile(house)]
     total = house.facts().agg(F.count(F.lit(1)).alias("facts_after"),
                               F.count_distinct("order_id").alias("orders_after"))
     return total.select(
-        F.lit(stages[0]).cast("bigint").alias("facts_before"),
+        F.lit(before).cast("bigint").alias("facts_before"),
         F.lit(added[0]).cast("bigint").alias("first_added"),
         F.lit(added[1]).cast("bigint").alias("second_added"), "facts_after", "orders_after")
 

@@ -77,10 +77,15 @@ def reset(house: Warehouse) -> None:
     truncate(house.spark, house.root, [*DATA_TABLES, DEAD_LETTERS])
 
 
-def seed(house: Warehouse, products: Mapping[str, DataFrame], financials: DataFrame,
-         label: str = "seed") -> None:
+def seed_products(house: Warehouse, products: Mapping[str, DataFrame], label: str) -> None:
     for line, table in PRODUCT_TABLES.items():
         write_batch(products[line], house.root, table, label)
+
+
+def seed(house: Warehouse, products: Mapping[str, DataFrame], financials: DataFrame,
+         label: str = "seed") -> None:
+    """Add rows to the five order tables, or replace those seeded under the same label."""
+    seed_products(house, products, label)
     write_batch(financials, house.root, FINANCIAL_ORDER, label)
 
 

@@ -26,6 +26,7 @@ class Table:
     version: str | None = None
     sort: tuple[str, ...] = ()
     month_of: str | None = None
+    bloom: tuple[str, ...] = ()
 
     @property
     def columns(self) -> list[str]:
@@ -62,7 +63,7 @@ EVENTS_ENRICHED = Table(
             kafka_topic=TEXT, kafka_partition=LONG, kafka_offset=LONG, kafka_timestamp=TIME,
             _ingested_at=TIME, ingest_lag_sec=LONG),
     key=("user_id", "session_id", "event_time", "event_type"),
-    sort=("event_type", "event_time", "user_id"), month_of="event_time")
+    sort=("event_type", "event_time", "user_id"), month_of="event_time", bloom=("session_id",))
 
 DAILY_KEYS = ("event_date", "channel", "city", "device_type", "event_type")
 
@@ -112,7 +113,8 @@ FACT_PURCHASES = Table(
             order_premium=DOUBLE, order_created_at=TIME, attributes=T.MapType(TEXT, TEXT),
             payment_method=TEXT, installments=INT, discount_amount=DOUBLE, tax_amount=DOUBLE,
             net_amount=DOUBLE, payment_status=TEXT, paid_at=TIME),
-    sort=("city", "product_line", "event_time", "user_id"), month_of="event_time")
+    sort=("city", "product_line", "event_time", "user_id"), month_of="event_time",
+    bloom=("user_id",))
 
 EVENTS_ENRICHED_BACKFILL = Table(
     "events_enriched_backfill",

@@ -33,8 +33,11 @@ def partition_columns(table: Table) -> list[str]:
 
 
 def bloom_options(columns: Iterable[str], fpp: str = BLOOM_FPP) -> dict[str, str]:
-    """Parquet writer options for Bloom filters, for point lookups off the sort order."""
-    options = {}
+    """Parquet writer options for Bloom filters, for point lookups off the sort order.
+
+    Adaptive filters take the smallest size that holds a row group's values.
+    """
+    options = {"parquet.bloom.filter.adaptive.enabled": "true"}
     for name in columns:
         options[f"parquet.bloom.filter.enabled#{name}"] = "true"
         options[f"parquet.bloom.filter.fpp#{name}"] = fpp
@@ -54,11 +57,10 @@ def clustered(df: DataFrame, table: Table) -> DataFrame:
     return balanced.sortWithinPartitions(*table.sort) if table.sort else balanced
 
 
-def write_batch(df: DataFrame, root: str, table: Table, label: str,
-                bloom: Sequence[str] = ()) -> None:
+def write_batch(df: DataFrame, root: str, table: Table, label: str) -> None:
     """Write or replace one batch of a table."""
     writer = clustered(df.select(*table.columns), table).write.mode("overwrite")
-    writer = writer.option("partitionOverwriteMode", "static").options(**bloom_options(bloom))
+    writer = writer.option("partitionOverwriteMode", "static").options(**bloom_options(table.bloom))
     if table.month_of:
         writer = writer.partitionBy(MONTH)
     writer.parquet(f"{table_path(root, table)}/{BATCH}={label}")
@@ -112,9 +114,11 @@ def read_latest(spark: SparkSession, root: str, table: Table) -> DataFrame:
 
 
 def truncate(spark: SparkSession, root: str, tables: Iterable[Table]) -> None:
-    """Empty tables; the folders and declared schemas stay."""
+    """Empty tables: a static overwrite with no rows drops all their folders at once."""
     for table in tables:
-        _empty_partitions(spark, root, table, _partitions(read_stored(spark, root, table), table))
+        (spark.createDataFrame([], _stored_schema(table)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "static").partitionBy(*partition_columns(table))
+         .parquet(table_path(root, table)))
 
 
 def _partitions(df: DataFrame, table: Table) -> list[dict]:
@@ -149,6 +153,7 @@ def rewrite_months(spark: SparkSession, root: str, table: Table, months: Sequenc
     (after.hint("rebalance", *partition_columns(table))
      .sortWithinPartitions(*partition_columns(table), *table.sort)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .options(**bloom_options(table.bloom))
      .partitionBy(*partition_columns(table)).parquet(table_path(root, table)))
     _empty_partitions(spark, root, table, gone)
 

@@ -58,6 +58,8 @@ def test_payload_bytes_counts_rows_and_texts(spark):
     small = spark.createDataFrame([("ab",), (None,)], "t STRING")
     assert skew.payload_bytes(small) == 2 * 24 + 2
     assert skew.payload_bytes(small.limit(0)) == 0
+    nested = spark.createDataFrame([({"a": "x" * 1000},)], "m MAP<STRING,STRING>")
+    assert skew.payload_bytes(nested) > 1000
 
 
 def test_lookup_broadcasts_only_below_the_limit(sides, rows):

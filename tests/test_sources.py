@@ -92,16 +92,43 @@ def test_time_bounds_prune_months(spark, rows, root):
     assert "PushedFilters: [IsNotNull(event_time)" in plan
 
 
-def test_rows_are_sorted_in_files_and_bloom_filters_written(spark, root):
+def test_rows_are_sorted_in_files(spark, root):
     data = h.events(spark, *[h.event(i % 7, f"s{i}", "view" if i % 2 else "purchase", offset=i)
                              for i in range(50)])
-    tables.write_batch(data, root, EVENTS_ENRICHED, "1", bloom=["user_id", "session_id"])
-    path = glob.glob(f"{root}/events_enriched/batch=1/yyyymm=202510/*.parquet")[0]
-    found = pq.read_table(path, partitioning=None).to_pydict()
-    keys = list(zip(found["event_type"], found["event_time"], found["user_id"]))
-    assert keys == sorted(keys)
-    assert tables.bloom_options(["user_id"]) == {
-        "parquet.bloom.filter.enabled#user_id": "true", "parquet.bloom.filter.fpp#user_id": "0.01"}
+    tables.write_batch(data, root, EVENTS_ENRICHED, "1")
+    assert_sorted(glob.glob(f"{root}/events_enriched/batch=1/yyyymm=202510/*.parquet"))
+
+
+def assert_sorted(paths):
+    for path in paths:
+        found = pq.read_table(path, partitioning=None).to_pydict()
+        keys = list(zip(found["event_type"], found["event_time"], found["user_id"]))
+        assert keys == sorted(keys)
+
+
+def test_a_big_month_spreads_over_many_files(spark, root):
+    data = spark.range(40_000).selectExpr(
+        "timestamp'2025-10-01' + make_interval(0,0,0,0,0,0,id) AS event_time", "id % 9 AS user_id",
+        "uuid() AS session_id", "if(id % 2 = 0, 'view', 'purchase') AS event_type",
+        "'web' AS channel", "1.0D AS premium_amount", "'Rome' AS city", "'ios' AS device_type",
+        "date'2024-01-01' AS signup_date", "'t' AS kafka_topic", "0L AS kafka_partition",
+        "id AS kafka_offset", "timestamp'2025-10-01' AS kafka_timestamp",
+        "timestamp'2025-10-01' AS _ingested_at", "0L AS ingest_lag_sec").repartition(8)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    try:
+        tables.write_batch(data, root, EVENTS_ENRICHED, "1")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
+    paths = glob.glob(f"{root}/events_enriched/batch=1/yyyymm=202510/*.parquet")
+    assert len(paths) > 3
+    assert_sorted(paths)
+    assert tables.read_table(spark, root, EVENTS_ENRICHED).count() == 40_000
+
+
+def test_bloom_filters_are_asked_for():
+    options = tables.bloom_options(EVENTS_ENRICHED.bloom)
+    assert options["parquet.bloom.filter.enabled#session_id"] == "true"
+    assert options["parquet.bloom.filter.fpp#session_id"] == "0.01"
 
 
 def test_latest_version_read(spark, rows, root):
