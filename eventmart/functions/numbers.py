@@ -24,12 +24,12 @@ def half_even(value: Column | str, digits: int = 0) -> Column:
     return F.bround(column(value), digits)
 
 
-def number_text(value: Column | str) -> Column:
-    """A number as text without exponent, trailing zeros or a bare point."""
-    plain = column(value).cast("string")
-    wide = column(value).cast("decimal(38,6)").cast("string")
-    text = F.when(plain.contains("E"), wide).otherwise(plain)
-    return F.when(text.contains("."), F.regexp_replace(text, r"\.?0+$", "")).otherwise(text)
+def number_text(name: str) -> str:
+    """SQL for a number as text without exponent, trailing zeros or a bare point."""
+    plain = f"cast(`{name}` as string)"
+    text = f"if(instr({plain}, 'E') > 0, cast(cast(`{name}` as decimal(38,6)) as string), {plain})"
+    return (f"if(instr({text}, '.') > 0, trim(TRAILING '.' FROM trim(TRAILING '0' FROM {text})), "
+            f"{text})")
 
 
 def money(value: Column | str) -> Column:

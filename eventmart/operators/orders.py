@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventmart.functions.numbers import number_text, price_parts
 from eventmart.functions.routing import stable_line
@@ -16,14 +17,6 @@ from eventmart.schemas import FINANCIAL_ORDER, PRODUCT_TABLES
 
 ORDER_COLUMNS = ("order_id", "user_id", "session_id", "premium", "created_at")
 
-# Attributes of each line, and which of them are numbers.
-_ATTRIBUTES = {
-    "third": {"vehicle_type": False, "coverage_tier": False, "no_claim_years": True},
-    "body": {"vehicle_value": True, "vehicle_brand": False, "franchise_pct": True},
-    "medical": {"plan_tier": False, "insured_count": True, "has_dental": True},
-    "fire": {"property_type": False, "building_area": True, "coverage_amount": True},
-}
-
 
 def lineage_order_id(partitions: int) -> Column:
     """An order id that is unique and stays the same when a stream is read again."""
@@ -63,11 +56,14 @@ def line_counts(orders: DataFrame) -> DataFrame:
     return orders.groupBy("product_line").agg(F.count(F.lit(1)).alias("orders"))
 
 
-def _attribute_map(line: str) -> Column:
-    pairs: list[Column] = []
-    for name, is_number in _ATTRIBUTES[line].items():
-        pairs += [F.lit(name), number_text(name) if is_number else F.col(name)]
-    return F.create_map(*pairs)
+def _attribute_map(line: str) -> str:
+    """SQL for the columns only this line has, as a map of texts."""
+    pairs = []
+    for f in PRODUCT_TABLES[line].schema.fields[len(ORDER_COLUMNS):]:
+        fraction = isinstance(f.dataType, (T.DoubleType, T.DecimalType))
+        text = number_text(f.name) if fraction else f"cast(`{f.name}` as string)"
+        pairs.append(f"'{f.name}', {text}")
+    return f"map({', '.join(pairs)})"
 
 
 def product_orders_all(tables: Mapping[str, DataFrame], collapse: bool = True) -> DataFrame:
@@ -83,11 +79,9 @@ def product_orders_all(tables: Mapping[str, DataFrame], collapse: bool = True) -
     if collapse:
         rows = latest_version(rows, ["user_id", "session_id", "order_id", "product_line"],
                               "created_at")
-    attributes = F.lit(None)
-    for line in PRODUCT_TABLES:
-        attributes = F.when(F.col("product_line") == line, _attribute_map(line)).otherwise(
-            attributes)
-    return rows.select(*ORDER_COLUMNS, "product_line", attributes.alias("attributes"))
+    maps = " ".join(f"when '{line}' then {_attribute_map(line)}" for line in PRODUCT_TABLES)
+    return rows.select(*ORDER_COLUMNS, "product_line",
+                       F.expr(f"case product_line {maps} end").alias("attributes"))
 
 
 def order_keys(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,25 +19,30 @@ def _remaining(df: DataFrame, used: Sequence[str]) -> list[str]:
             if f.name not in used and not isinstance(f.dataType, (T.MapType, T.VariantType))]
 
 
-def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """One row per key, the first in ``order``."""
-    window = Window.partitionBy(*key).orderBy(*order)
-    return (df.withColumn("_row", F.row_number().over(window))
-            .filter(F.col("_row") == 1).drop("_row"))
+def ascending(names: Sequence[str]) -> list[str]:
+    return [f"`{name}` ASC NULLS LAST" for name in names]
+
+
+def descending(names: Sequence[str]) -> list[str]:
+    return [f"`{name}` DESC NULLS LAST" for name in names]
+
+
+def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """One row per key, the first in ``order``, a list of SQL sort terms."""
+    keys = ", ".join(f"`{name}`" for name in key)
+    row = F.expr(f"row_number() OVER (PARTITION BY {keys} ORDER BY {', '.join(order)})")
+    return df.withColumn("_row", row).filter("_row = 1").drop("_row")
 
 
 def drop_duplicates(df: DataFrame, key: Sequence[str],
                     order: Sequence[str] = ()) -> DataFrame:
     """One row per natural key. All other columns break ties, so reruns keep the same row."""
-    rest = _remaining(df, [*key, *order])
-    return keep_first(df, key, [F.col(c).asc_nulls_last() for c in (*order, *rest)])
+    return keep_first(df, key, ascending([*order, *_remaining(df, [*key, *order])]) or ["1"])
 
 
 def latest_version(df: DataFrame, key: Sequence[str], version: str) -> DataFrame:
     """The row with the highest version per key; equal versions fall to the other columns."""
-    rest = _remaining(df, [*key, version])
-    return keep_first(df, key, [F.col(version).desc_nulls_last(),
-                                *[F.col(c).desc_nulls_last() for c in rest]])
+    return keep_first(df, key, descending([version, *_remaining(df, [*key, version])]))
 
 
 def one_row_per_order(facts: DataFrame) -> DataFrame:
@@ -58,7 +63,6 @@ def apply_changes(current: DataFrame, changes: DataFrame, key: Sequence[str],
             .withColumn(deleted, F.lit(False)))
     log = changes.select(*base.columns)
     rest = _remaining(base, [*key, version, position, deleted])
-    order = [F.col(version).desc_nulls_last(), F.col(position).desc_nulls_last(),
-             F.col(deleted).desc(), *[F.col(c).desc_nulls_last() for c in rest]]
-    latest = keep_first(base.unionByName(log), key, order)
+    latest = keep_first(base.unionByName(log), key,
+                        descending([version, position, deleted, *rest]))
     return latest.filter(~F.col(deleted)).drop(position, deleted)

@@ -25,14 +25,14 @@ def test_premium_value(spark, raw, want):
     (123456.5, "123456.5"), (12345678.0, "12345678"), (100.0, "100"), (0.0, "0"),
     (1.10, "1.1"), (558259830.25, "558259830.25")])
 def test_number_text_of_doubles(spark, value, want):
-    assert one(spark, numbers.number_text("v"), v=value) == want
+    assert one(spark, F.expr(numbers.number_text("v")), v=value) == want
 
 
 def test_number_text_of_integers_and_decimals(spark):
-    assert one(spark, numbers.number_text("v"), v=100) == "100"
-    df = spark.sql("SELECT CAST(1.10 AS DECIMAL(4,2)) a, CAST(10 AS DECIMAL(4,2)) b")
-    assert tuple(df.select(numbers.number_text("a"), numbers.number_text("b")).first()) == (
-        "1.1", "10")
+    df = spark.sql("SELECT 100 i, CAST(1.10 AS DECIMAL(4,2)) a, CAST(10 AS DECIMAL(4,2)) b, "
+                   "CAST(0 AS DECIMAL(4,2)) c")
+    assert tuple(df.selectExpr(*[numbers.number_text(n) for n in "iabc"]).first()) == (
+        "100", "1.1", "10", "0")
 
 
 @pytest.mark.parametrize("net, want", [
