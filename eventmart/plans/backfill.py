@@ -1,6 +1,6 @@
 """Backfill of a window of days: filter, enrich, de-duplicate, stage or load.
 
-    spark-submit -m eventmart.plans.backfill --start 2025-10-01 --end 2025-10-07 \\
+    python -m eventmart.plans.backfill --start 2025-10-01 --end 2025-10-07 \\
         --events events.csv --users users.csv --out staged
 """
 
