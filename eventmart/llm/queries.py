@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventmart.llm import pii, quality_rules
+from eventmart.llm import pii, quality_rules, warc
 from eventmart.llm.common import table
+from eventmart.session import run_dir
 
 
 def op2_compression_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,5 +17,23 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_spans(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_compression_rules, op6_personal_data)}
-SQL: dict[str, str] = {}
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"), run_dir(spark, "warc"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op2_compression_rules, op6_personal_data, op9_warc)}
+SQL = {
+    "op9_warc": """
+        WITH made AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                   sha256(coalesce(html, '')) AS payload_digest
+            FROM pages),
+        firsts AS (
+            SELECT payload_digest, min(page_id) AS first_id FROM made
+            WHERE payload_bytes >= 100 GROUP BY payload_digest)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN first_id < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN first_id < page_id THEN first_id END AS refers_to
+        FROM made LEFT JOIN firsts USING (payload_digest)""",
+}
