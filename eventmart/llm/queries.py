@@ -4,15 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventmart.llm import pii, quality_rules, warc
+from eventmart.llm import language_id, pii, quality_model, quality_rules, warc
 from eventmart.llm.common import table
 from eventmart.session import run_dir
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_compression_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.compression_verdicts(table(spark, sf_dir, "documents"))
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_spans(table(spark, sf_dir, "documents"))
 
@@ -22,7 +30,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_compression_rules, op6_personal_data, op9_warc)}
+    op1_quality, op2_compression_rules, op4_language, op6_personal_data, op9_warc)}
 SQL = {
     "op9_warc": """
         WITH made AS (
