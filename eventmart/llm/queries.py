@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from eventmart.llm import language_id, pii, quality_model, quality_rules, warc
+from eventmart.llm import language_id, packing, pii, quality_model, quality_rules, warc
 from eventmart.llm.common import table
 from eventmart.session import run_dir
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PATTERN = public_tokenizers.PATTERN
+
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -25,12 +30,18 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_spans(table(spark, sf_dir, "documents"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, PATTERN)
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"), run_dir(spark, "warc"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality, op2_compression_rules, op4_language, op6_personal_data, op9_warc)}
+    op1_quality, op2_compression_rules, op4_language, op6_personal_data,
+    op8_packing, op9_warc)}
 SQL = {
     "op9_warc": """
         WITH made AS (
