@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm import language_id, packing, pii, quality_model, quality_rules, warc
+from eventmart.llm import decontamination, language_id, packing, pii, quality_model, quality_rules, warc
 from eventmart.llm.common import table
 from eventmart.session import run_dir
 
@@ -26,6 +26,13 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.decontaminate(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumn("items_sha256", F.sha2(
+        F.array_join("items", ",").cast("binary"), 256)).drop("items")
+
+
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_spans(table(spark, sf_dir, "documents"))
 
@@ -40,9 +47,41 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality, op2_compression_rules, op4_language, op6_personal_data,
-    op8_packing, op9_warc)}
+    op1_quality, op2_compression_rules, op4_language, op5_decontamination,
+    op6_personal_data, op8_packing, op9_warc)}
 SQL = {
+    "op5_decontamination": r"""
+        WITH document_words AS (
+            SELECT doc_id, regexp_extract_all(translate(
+                coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+            FROM documents),
+        item_words AS (
+            SELECT item_id, regexp_extract_all(translate(
+                coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+            FROM benchmark),
+        windows AS (
+            SELECT DISTINCT item_id, words[i:i + 12] AS gram
+            FROM (SELECT item_id, words, unnest(range(1, greatest(len(words) - 12, 1) + 1)) AS i
+                  FROM item_words WHERE len(words) > 0)),
+        sizes AS (SELECT DISTINCT len(gram) AS n FROM windows),
+        runs AS (
+            SELECT doc_id, n, i, words[i:i + n - 1] AS gram
+            FROM (SELECT doc_id, words, n, unnest(range(1, len(words) - n + 2)) AS i
+                  FROM document_words, sizes WHERE len(words) >= n)),
+        found AS (SELECT doc_id, item_id, i, n FROM runs JOIN windows USING (gram)),
+        hits AS (
+            SELECT doc_id, count(DISTINCT place) AS n_hit
+            FROM (SELECT doc_id, unnest(range(i, i + n)) AS place FROM found) GROUP BY doc_id),
+        items AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+            FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found)
+            GROUP BY doc_id)
+        SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+               coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+        FROM document_words LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)""",
     "op9_warc": """
         WITH made AS (
             SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
