@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm import decontamination, language_id, packing, pii, quality_model, quality_rules, warc
+from eventmart.llm import decontamination, language_id, packing, pii, quality_model, quality_rules, url_filters, warc
 from eventmart.llm.common import table
 from eventmart.session import run_dir
 
@@ -46,9 +46,39 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"), run_dir(spark, "warc"))
 
 
+def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as captures of the year 2024 by page id, against lists that the pages' own hosts,
+    domains and first path segments make up: each is listed on a day that its smallest page id
+    gives, some are taken off 60 days later, and some of these come back after 90 more."""
+    pages = table(spark, sf_dir, "pages").select(
+        "page_id", "url", F.expr("date_add(DATE'2024-01-01', CAST(page_id * 7 % 366 AS INT))"
+                                 ).alias("fetched"))
+    host, segments = url_filters.host_of(F.col("url")), url_filters.segments_of(F.col("url"))
+    named = pages.select(
+        "page_id", host.alias("host"), F.get(segments, 0).alias("segment")).where("host <> ''")
+    sources = named.select("page_id", F.inline(F.array(
+        F.struct(F.lit("hosts").alias("list"), F.lit("block").alias("action"),
+                 F.lit("domain").alias("kind"), F.col("host").alias("pattern")),
+        F.struct(F.lit("domains").alias("list"), F.lit("block").alias("action"),
+                 F.lit("domain").alias("kind"),
+                 F.substring_index("host", ".", -2).alias("pattern")),
+        F.struct(F.lit("sections").alias("list"), F.lit("allow").alias("action"),
+                 F.lit("prefix").alias("kind"),
+                 F.concat("host", F.lit("/"), "segment").alias("pattern"))))).where(
+        "pattern IS NOT NULL").groupBy("list", "action", "kind", "pattern").agg(
+        F.min("page_id").alias("first")).where("list <> 'hosts' OR first % 3 = 0")
+    changes = sources.select("*", F.inline(F.expr(
+        "filter(array(struct('add' AS change, 0 AS later, TRUE AS made), "
+        "struct('remove' AS change, 60 AS later, first % 2 = 0 AS made), "
+        "struct('add' AS change, 150 AS later, first % 4 = 0 AS made)), c -> c.made)"))).select(
+        "list", "action", "kind", "pattern", "change",
+        F.expr("date_add(DATE'2024-01-01', CAST(first * 11 % 200 AS INT) + later)").alias("dated"))
+    return url_filters.evaluate(pages, changes)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality, op2_compression_rules, op4_language, op5_decontamination,
-    op6_personal_data, op8_packing, op9_warc)}
+    op6_personal_data, op8_packing, op9_warc, op10_url_filters)}
 SQL = {
     "op5_decontamination": r"""
         WITH document_words AS (
@@ -82,6 +112,56 @@ SQL = {
                coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
                coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
         FROM document_words LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op10_url_filters": r"""
+        WITH captures AS (
+            SELECT page_id, DATE '2024-01-01' + CAST(page_id * 7 % 366 AS INT) AS day,
+                   regexp_replace(lower(regexp_extract(
+                       url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1)),
+                       '\.$', '') AS host,
+                   list_filter(string_split(regexp_extract(
+                       url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/'),
+                       lambda x: x <> '') AS segments
+            FROM pages),
+        named AS (
+            SELECT page_id, 'hosts' AS list, 'block' AS action, 'domain' AS kind,
+                   host AS pattern FROM captures WHERE host <> ''
+            UNION ALL SELECT page_id, 'domains', 'block', 'domain',
+                   regexp_extract(host, '[^.]*\.?[^.]*$') FROM captures WHERE host <> ''
+            UNION ALL SELECT page_id, 'sections', 'allow', 'prefix', host || '/' || segments[1]
+            FROM captures WHERE host <> '' AND len(segments) > 0),
+        sources AS (
+            SELECT list, action, kind, lower(pattern) AS pattern, first
+            FROM (SELECT list, action, kind, pattern, min(page_id) AS first FROM named
+                  GROUP BY ALL)
+            WHERE list <> 'hosts' OR first % 3 = 0),
+        changes AS (
+            SELECT *, 'add' AS change, 0 AS later FROM sources
+            UNION ALL SELECT *, 'remove', 60 FROM sources WHERE first % 2 = 0
+            UNION ALL SELECT *, 'add', 150 FROM sources WHERE first % 4 = 0),
+        days AS (
+            SELECT list, action, kind, pattern, max(change) AS change,
+                   DATE '2024-01-01' + CAST(first * 11 % 200 AS INT) + later AS since
+            FROM changes GROUP BY list, action, kind, pattern, since),
+        valid AS (
+            SELECT * FROM (
+                SELECT *, lead(since) OVER (
+                    PARTITION BY list, action, kind, pattern ORDER BY since) AS until
+                FROM days) WHERE change = 'add'),
+        held AS (
+            SELECT page_id, list, action, pattern FROM captures JOIN valid
+            ON day >= since AND (until IS NULL OR day < until) AND host <> '' AND CASE kind
+                WHEN 'domain' THEN ends_with('.' || host, '.' || pattern)
+                ELSE starts_with(lower(host || '/' || array_to_string(segments, '/')) || '/',
+                                 pattern || '/') END),
+        found AS (
+            SELECT page_id, max({'length': length(pattern), 'action': action,
+                                 'pattern': pattern}) AS top,
+                   count(*) AS n_entries,
+                   array_to_string(list_sort(list_distinct(list(list))), ',') AS lists
+            FROM held GROUP BY page_id)
+        SELECT page_id, host, day, coalesce(top.action, 'none') AS verdict, top.pattern AS pattern,
+               coalesce(n_entries, 0) AS n_entries, coalesce(lists, '') AS lists
+        FROM captures LEFT JOIN found USING (page_id)""",
     "op9_warc": """
         WITH made AS (
             SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
