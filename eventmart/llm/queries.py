@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm import decontamination, language_id, packing, pii, quality_model, quality_rules, url_filters, warc
+from eventmart.llm import decontamination, language_id, packing, pii, quality_model, quality_rules, toxicity, url_filters, warc
 from eventmart.llm.common import table
 from eventmart.session import run_dir
 
@@ -22,6 +22,10 @@ def op2_compression_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.compression_verdicts(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
@@ -77,7 +81,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality, op2_compression_rules, op4_language, op5_decontamination,
+    op1_quality, op2_compression_rules, op3_toxicity, op4_language, op5_decontamination,
     op6_personal_data, op8_packing, op9_warc, op10_url_filters)}
 SQL = {
     "op5_decontamination": r"""
