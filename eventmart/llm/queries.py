@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm import decontamination, language_id, packing, pii, quality_model, quality_rules, toxicity, url_filters, warc
+from eventmart.llm import decontamination, jaccard_join, language_id, packing, pii, quality_model, quality_rules, toxicity, url_filters, warc
 from eventmart.llm.common import table
 from eventmart.session import run_dir
 
@@ -41,6 +41,10 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_spans(table(spark, sf_dir, "documents"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, PATTERN)
     return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
@@ -82,7 +86,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_quality, op2_compression_rules, op3_toxicity, op4_language, op5_decontamination,
-    op6_personal_data, op8_packing, op9_warc, op10_url_filters)}
+    op6_personal_data, op7_jaccard_join, op8_packing, op9_warc, op10_url_filters)}
 SQL = {
     "op5_decontamination": r"""
         WITH document_words AS (
