@@ -53,8 +53,8 @@ COMPARISON_COST = 4.0
 #: Comparisons with one set that a task makes.
 GROUP_ROWS = 2000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-#: The scheme of sets with too few segments.
-LEFT_OVER = 99
+#: The schemes of sets with too few segments, and of single shingles of sets that use frequent ones.
+LEFT_OVER, SINGLE = 99, 98
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -152,65 +152,76 @@ class Scheme:
         return np.where(self.frequent[at] == found, self.rank[at], 0)
 
 
-def one_deletions(segment: np.ndarray) -> list[int]:
-    """Sums of a segment's shingles with each one left out."""
-    return [int(x) for x in segment.sum(dtype=np.uint64) - segment]
+def seed_of(band: int) -> np.uint64:
+    return np.uint64((band + 1) * int(MULTIPLIER) & 0xFFFFFFFFFFFFFFFF)
 
 
-def entries(found: np.ndarray, scheme: Scheme, band: int) -> tuple[np.ndarray, bool]:
-    """The entries of a set in a band, and whether its segments were enough.
+def entries(found: np.ndarray, scheme: Scheme, band: int) -> tuple[np.ndarray, bool, bool]:
+    """The entries of a set in a band, whether its segments were enough, and whether the rare ones were.
 
-    Each is a hash of the band, the segment and the segment's shingles.
+    Each is a hash of the band, the segment and the segment's shingles, odd for frequent shingles
+    and even for others.
     """
     needed = most_different(len(found)) + 1
     rank = scheme.ranks(found)
     rare, common = found[rank == 0], found[rank > 0]
-    seed = np.uint64((band + 1) * int(MULTIPLIER) & 0xFFFFFFFFFFFFFFFF)
+    seed = seed_of(band)
     made: list[np.ndarray] = []
     weight = 0
     if band in (0, LEFT_OVER):
-        order = np.sort(mixed(rare + seed))[:needed]
-        made.append(order)
-        weight = len(order)
-    else:
+        made.append(np.sort(mixed(rare + seed))[:needed])
+        weight = len(made[0])
+    elif len(rare):
         segment = (mixed(rare) % np.uint64(segments_in(band))).astype(np.int64)
         by = np.argsort(segment, kind="stable")
         segment, values = segment[by], mixed(rare[by])
-        first = np.flatnonzero(np.r_[True, segment[1:] != segment[:-1]]) if len(by) else by
+        first = np.flatnonzero(np.r_[True, segment[1:] != segment[:-1]])
         n = np.diff(np.r_[first, len(by)])
         weights = np.where(n > 1, 2, 1) if band in scheme.deleting else np.ones(len(n), np.int64)
         used = min(len(n), int(np.searchsorted(np.cumsum(weights), needed)) + 1)
         weight = int(weights[:used].sum())
-        if used:
-            sums = np.add.reduceat(values, first)[:used]
-            place = mixed(segment[first[:used]].astype(np.uint64) + seed)
-            made.append(mixed(sums + place))
-            if band in scheme.deleting:
-                for i in np.flatnonzero(n[:used] > 1):
-                    part = values[first[i]:first[i] + n[i]]
-                    less = np.array(one_deletions(part), np.uint64)
-                    made.append(mixed(less + place[i]))
-    if weight < needed and len(common):
+        place = mixed(segment[first[:used]].astype(np.uint64) + seed)
+        made.append(mixed(np.add.reduceat(values, first)[:used] + place))
+        if band in scheme.deleting:
+            for i in np.flatnonzero(n[:used] > 1):
+                part = values[first[i]:first[i] + n[i]]
+                made.append(mixed(part.sum(dtype=np.uint64) - part + place[i]))
+    rare_enough = weight >= needed
+    made = [m & ~np.uint64(1) for m in made]
+    if not rare_enough:
         order = np.lexsort((common, rank[rank > 0]))[:needed - weight]
-        made.append(mixed(common[order] + mixed(np.array([seed]))))
         weight += len(order)
-    return np.unique(np.concatenate(made)) if made else np.zeros(0, np.uint64), weight >= needed
+        if 4 * len(common) >= 3 * len(found):
+            made.append(mixed(common[order] + mixed(np.array([seed]))) | np.uint64(1))
+    return (np.unique(np.concatenate(made)) if made else np.zeros(0, np.uint64),
+            weight >= needed, rare_enough)
 
 
-def all_entries(found: np.ndarray, scheme: Scheme) -> np.ndarray:
+def all_entries(found: np.ndarray, scheme: Scheme) -> tuple[np.ndarray, int | None]:
     """The entries of a set in its band, in the band below if a similar set may be there, and among
-    those with too few segments if it is one of them."""
+    those with too few segments if it is one of them.
+
+    A set that needs frequent shingles also stands under each of its rare ones. Two such sets that
+    meet under none have no rare shingle in common, so their frequent ones are all they can share:
+    the second result is how many those are, or None for other sets. With less than three
+    quarters frequent, nothing is similar by frequent shingles alone, and they are left out.
+    """
     n = len(found)
     band = band_of(n)
-    own, enough = entries(found, scheme, band)
-    made = [own]
-    if band and band_of(-(-3 * n // 4)) < band:
-        below, enough_below = entries(found, scheme, band - 1)
-        made.append(below)
-        enough = enough and enough_below
+    made, enough, rare_enough = [], True, True
+    for b in [band, band - 1] if band and band_of(-(-3 * n // 4)) < band else [band]:
+        own, fits, fits_rare = entries(found, scheme, b)
+        made.append(own)
+        enough, rare_enough = enough and fits, rare_enough and fits_rare
     if not enough:
-        made.append(entries(found, scheme, LEFT_OVER)[0])
-    return np.concatenate(made)
+        own, _, fits_rare = entries(found, scheme, LEFT_OVER)
+        made.append(own)
+        rare_enough = rare_enough and fits_rare
+    if rare_enough:
+        return np.concatenate(made), None
+    rare = found[scheme.ranks(found) == 0]
+    made.append(mixed(rare + seed_of(SINGLE)) & ~np.uint64(1))
+    return np.concatenate(made), n - len(rare)
 
 
 def packed(values: np.ndarray, ids: np.ndarray, press: zstandard.ZstdCompressor) -> bytes:
@@ -229,19 +240,24 @@ def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(both[0].view(np.uint64)), both[1]
 
 
+MET = "entry long, doc_id long, told boolean"
+
+
 def meeting_points(docs: DataFrame, scheme: Scheme, total: int) -> DataFrame:
-    """entry and doc_id of every entry that more than one document has.
+    """entry and doc_id of every entry that more than one document has; with ``told`` set, doc_id and
+    the number of its frequent shingles instead, for documents that use them.
 
     Tasks send their entries packed, split by value; of equal sets a task sends one.
     """
     parts = max(1, -(-total // (2 * RECEIVED)))
     sent = "part int, data binary"
-    sent_schema, out = arrow_schema(sent), arrow_schema("entry long, doc_id long")
+    sent_schema, out = arrow_schema(sent), arrow_schema(MET)
 
     def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=1)
         seen: set[bytes] = set()
         values, ids, size = [], [], 0
+        frequent: dict[int, int] = {}
 
         def flushed() -> Iterator[pa.RecordBatch]:
             value, owner = np.concatenate(values), np.concatenate(ids)
@@ -252,6 +268,11 @@ def meeting_points(docs: DataFrame, scheme: Scheme, total: int) -> DataFrame:
                 at = by[bounds[p]:bounds[p + 1]]
                 if len(at):
                     yield record_batch([(p, packed(value[at], owner[at], press))], sent_schema)
+            if frequent:
+                data = packed(np.array(list(frequent.values()), np.uint64),
+                              np.array(list(frequent), np.int64), press)
+                yield record_batch([(parts, data)], sent_schema)
+                frequent.clear()
 
         for batch in chunks(batches):
             for doc_id, text in zip(*columns(batch, "doc_id", "text"), strict=True):
@@ -259,7 +280,9 @@ def meeting_points(docs: DataFrame, scheme: Scheme, total: int) -> DataFrame:
                 if not len(found) or doc_id is None or (key := set_key(found)) in seen:
                     continue
                 seen.add(key)
-                made = all_entries(found, scheme)
+                made, common = all_entries(found, scheme)
+                if common is not None:
+                    frequent[doc_id] = max(common, frequent.get(doc_id, 0))
                 values.append(made)
                 ids.append(np.full(len(made), doc_id, np.int64))
                 size += len(made)
@@ -270,7 +293,16 @@ def meeting_points(docs: DataFrame, scheme: Scheme, total: int) -> DataFrame:
             yield from flushed()
 
     def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [unpacked(d) for b in batches for d in columns(b, "data")[0]]
+        got = []
+        for batch in batches:
+            for part, data in zip(*columns(batch, "part", "data"), strict=True):
+                pair = unpacked(data)
+                if part < parts:
+                    got.append(pair)
+                else:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(pair[0].view(np.int64)), pa.array(pair[1]),
+                         pa.array(np.ones(len(pair[1]), bool))], schema=out)
         if not got:
             return
         value, owner = np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got])
@@ -282,10 +314,10 @@ def meeting_points(docs: DataFrame, scheme: Scheme, total: int) -> DataFrame:
         value, owner = value[shared].view(np.int64), owner[shared]
         for i in range(0, len(value), 100_000):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(value[i:i + 100_000]), pa.array(owner[i:i + 100_000])], schema=out)
+                [pa.array(value[i:i + 100_000]), pa.array(owner[i:i + 100_000]),
+                 pa.array(np.zeros(len(value[i:i + 100_000]), bool))], schema=out)
 
-    return documents(docs).mapInArrow(send, sent).repartition(parts, "part").mapInArrow(
-        meet, "entry long, doc_id long")
+    return documents(docs).mapInArrow(send, sent).repartition(parts, "part").mapInArrow(meet, MET)
 
 
 def sizes_allow(a: str, b: str) -> Column:
@@ -293,15 +325,26 @@ def sizes_allow(a: str, b: str) -> Column:
     return F.coalesce((3 * F.col(a) <= 4 * F.col(b)) & (3 * F.col(b) <= 4 * F.col(a)), F.lit(True))
 
 
-def shared_least(a: str, b: str, plain: Column) -> Column:
+def may_meet() -> Column:
+    """Whether the sets (n, common) and (other_n, other_common) may be similar by this entry: at a
+    frequent shingle, what they have of those has to be enough. An unknown size allows it."""
+    enough = 7 * F.least("common", "other_common") >= 3 * (F.col("n") + F.col("other_n"))
+    return sizes_allow("n", "other_n") & (
+        (F.col("entry").bitwiseAND(F.lit(1)) == 0) | F.coalesce(enough, F.lit(True)))
+
+
+def shared_least(plain: Column) -> Column:
     """Entries that two similar sets share at least.
 
     The one that stops first has used at least one segment more than the smaller set may differ
-    from any other, and each difference spoils one. With deletions or an unknown size it is one.
+    from any other, and each difference spoils one. It is one with deletions, with an unknown size,
+    and for two sets that use frequent shingles, as may_meet leaves some of their entries out.
     """
+    a, b = "n", "other_n"
     small = F.least(a, b)
     used = F.floor((small + F.floor(4 * small / 3)) / 7) + 1
-    both = F.when(plain & F.col(a).isNotNull() & F.col(b).isNotNull(),
+    both = F.when(plain & F.col(a).isNotNull() & F.col(b).isNotNull()
+                  & (F.col("common").isNull() | F.col("other_common").isNull()),
                   used - F.floor((F.col(a) + F.col(b)) / 7))
     return F.greatest(F.lit(1), F.coalesce(both, F.lit(1)))
 
@@ -419,8 +462,10 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     twice = info.groupBy("doc_id").agg(F.count("*").alias("texts")).where("texts > 1")
     info = info.join(twice, "doc_id", "left").select(
         "doc_id", "first", F.when(F.col("texts").isNull(), F.col("n")).alias("n"))
-    points = staged(found.join(info, "doc_id").groupBy("entry", F.col("first").alias("doc_id")).agg(
-        F.max("n").alias("n")), "points")
+    told = found.where("told").groupBy("doc_id").agg(F.max("entry").alias("common"))
+    points = staged(found.where("NOT told").join(info.join(told, "doc_id", "left"), "doc_id").groupBy(
+        "entry", F.col("first").alias("doc_id")).agg(
+        F.max("n").alias("n"), F.max("common").alias("common")), "points")
     linked = similar_pairs(docs, points, scheme)
     shared = info.groupBy("doc_id").agg(
         F.min("first").alias("a"), F.max("first").alias("z")).where("a <> z").join(
@@ -431,19 +476,27 @@ def similar_documents(docs: DataFrame) -> DataFrame:
         F.coalesce("component", "first").alias("component_id"))
 
 
+def enough_shared(met: DataFrame, plain: Column) -> DataFrame:
+    """The pairs (doc_id, other) that meet in enough entries."""
+    return met.groupBy("doc_id", "other").agg(F.count("*").alias("shared"), *(
+        F.max(c).alias(c) for c in ("n", "common", "other_n", "other_common"))).where(
+        F.col("shared") >= shared_least(plain)).select("doc_id", "other")
+
+
 def similar_pairs(docs: DataFrame, points: DataFrame, scheme: Scheme) -> DataFrame:
-    """Links (a, b) that connect all that is similar among ``points`` (entry, doc_id, n)."""
+    """Links (a, b) that connect all that is similar among ``points`` (entry, doc_id, n, common)."""
     plain = F.lit(not scheme.deleting)
-    # The most typical set of an entry is the one that meets others in the most entries.
+    # The most typical set of an entry has the most frequent shingles, or else meets others in the
+    # most entries.
     met = points.groupBy("doc_id").agg(F.count("*").alias("met"))
     lead = points.join(met, "doc_id").groupBy("entry").agg(F.max(F.struct(
-        "met", (-F.col("doc_id")).alias("low"), F.col("n").alias("n"))).alias("top")).select(
-        "entry", (-F.col("top.low")).alias("owner"), F.col("top.n").alias("owner_n"))
-    first = staged(points.join(lead, "entry").where(
-        (F.col("doc_id") != F.col("owner")) & sizes_allow("n", "owner_n")).groupBy(
-        "owner", F.col("doc_id").alias("other")).agg(
-        F.count("*").alias("shared"), F.max("n").alias("n"), F.max("owner_n").alias("owner_n")).where(
-        F.col("shared") >= shared_least("n", "owner_n", plain)).select("owner", "other"), "first-pairs")
+        F.coalesce("common", F.lit(-1)).alias("most"), "met", (-F.col("doc_id")).alias("low"), "n",
+        "common")).alias("top")).select(
+        "entry", (-F.col("top.low")).alias("other"), F.col("top.n").alias("other_n"),
+        F.col("top.common").alias("other_common"))
+    first = staged(enough_shared(points.join(lead, "entry").where(
+        (F.col("doc_id") != F.col("other")) & may_meet()), plain).select(
+        F.col("other").alias("owner"), F.col("doc_id").alias("other")), "first-pairs")
     found = staged(links(docs, first), "links")
     groups = components(found)
     labelled = points.join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
@@ -452,12 +505,11 @@ def similar_pairs(docs: DataFrame, points: DataFrame, scheme: Scheme) -> DataFra
         F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     rest = staged(labelled.join(split.select("entry"), "entry"), "open-points")
     other = rest.select("entry", F.col("doc_id").alias("other"), F.col("n").alias("other_n"),
+                        F.col("common").alias("other_common"),
                         F.col("component").alias("other_component"))
-    more = rest.join(other, "entry").where(
+    more = enough_shared(rest.join(other, "entry").where(
         (F.col("doc_id") < F.col("other")) & (F.col("component") != F.col("other_component"))
-        & sizes_allow("n", "other_n")).groupBy(F.col("doc_id").alias("owner"), "other").agg(
-        F.count("*").alias("shared"), F.max("n").alias("n"), F.max("other_n").alias("other_n")).where(
-        F.col("shared") >= shared_least("n", "other_n", plain)).select("owner", "other")
+        & may_meet()), plain).select(F.col("doc_id").alias("owner"), "other")
     done = first.select(F.least("owner", "other").alias("owner"),
                         F.greatest("owner", "other").alias("other")).distinct()
     return found.unionAll(links(docs, more.join(done, ["owner", "other"], "left_anti")))
