@@ -35,9 +35,9 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.llm import filters
 from eventmart.llm.common import arrow_schema, chunks, columns, documents, record_batch, staged
 from eventmart.llm.components import components
+from eventmart.llm.filters import bits_of, passes
 
 SHINGLE = 5
 #: Sets under this size have a segment per shingle; from it on, bands double.
@@ -365,13 +365,13 @@ def links(docs: DataFrame, pairs: DataFrame) -> DataFrame:
             F.col("owner").alias("doc_id"), "owner",
             F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
             F.lit(0).alias("role"))), "asked")
-    bits = filters.bits_of(asked.select(F.xxhash64("doc_id").alias("h")), "h")
+    bits = bits_of(asked.select(F.xxhash64("doc_id").alias("h")), "h")
     set_schema = arrow_schema("doc_id long, found binary")
 
     def taken(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
             h = batch.column(2).to_numpy(zero_copy_only=False)
-            batch = batch.filter(pa.array(filters.passes(bits, h)))
+            batch = batch.filter(pa.array(passes(bits, h)))
             yield record_batch([(d, shingles(t).tobytes()) for d, t in zip(
                 *columns(batch, "doc_id", "text"), strict=True)], set_schema)
 
