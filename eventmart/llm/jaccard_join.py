@@ -326,9 +326,17 @@ def sizes_allow(a: str, b: str) -> Column:
 
 
 def may_meet() -> Column:
-    """Whether the sets (n, common) and (other_n, other_common) may be similar by this entry: at a
-    frequent shingle, what they have of those has to be enough. An unknown size allows it."""
-    enough = 7 * F.least("common", "other_common") >= 3 * (F.col("n") + F.col("other_n"))
+    """Whether the sets (n, common) and (other_n, other_common) may be similar by this entry.
+
+    At a frequent shingle, these have to be enough, as sets with a rare shingle in common also meet
+    there. If both were compared with the same set (with), they share at most as many of its frequent
+    shingles as the one that has fewer of them (near), and likewise of other frequent shingles. An
+    unknown size allows everything.
+    """
+    most = F.when(F.col("with") == F.col("other_with"), F.least("near", "other_near") + F.least(
+        F.col("common") - F.col("near"), F.col("other_common") - F.col("other_near")))
+    enough = 7 * F.coalesce(most, F.least("common", "other_common")) >= 3 * (
+        F.col("n") + F.col("other_n"))
     return sizes_allow("n", "other_n") & (
         (F.col("entry").bitwiseAND(F.lit(1)) == 0) | F.coalesce(enough, F.lit(True)))
 
@@ -349,8 +357,18 @@ def shared_least(plain: Column) -> Column:
     return F.greatest(F.lit(1), F.coalesce(both, F.lit(1)))
 
 
-def links(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Those of the pairs (owner, other) that are similar, by their shingles.
+COMPARED = "owner long, other long, both long, n long, other_n long, frequent long"
+
+
+def similar_only(compared: DataFrame) -> DataFrame:
+    """The links (a, b) among compared pairs."""
+    return compared.where("100 * both >= 75 * (n + other_n - both)").select(
+        F.col("owner").alias("a"), F.col("other").alias("b"))
+
+
+def compare(docs: DataFrame, pairs: DataFrame, scheme: Scheme) -> DataFrame:
+    """For the pairs (owner, other) the shingles that both have, their sizes, and how many of the shared
+    ones are frequent. Ids that stand for several texts have a row for each two texts.
 
     Only documents in pairs are taken apart: a filter of fixed size passes them and few others. All
     partners of an owner meet its set in one place, in parts of GROUP_ROWS where they are many.
@@ -379,7 +397,7 @@ def links(docs: DataFrame, pairs: DataFrame) -> DataFrame:
         "doc_id", "text", F.xxhash64("doc_id").alias("h")).mapInArrow(taken, "doc_id long, found binary")
     met = asked.join(sets, "doc_id").repartition("owner", "part").sortWithinPartitions(
         "owner", "part", "role")
-    out = arrow_schema("a long, b long")
+    out = arrow_schema(COMPARED)
 
     def compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, []
@@ -394,13 +412,13 @@ def links(docs: DataFrame, pairs: DataFrame) -> DataFrame:
                     held.append(found)
                     continue
                 for own in held:
-                    both = int((own[np.minimum(np.searchsorted(own, found), len(own) - 1)] == found).sum())
-                    if 100 * both >= 75 * (len(own) + len(found) - both):
-                        rows.append((owner, doc_id))
-                        break
+                    if len(own) and len(found):
+                        both = found[own[np.minimum(np.searchsorted(own, found), len(own) - 1)] == found]
+                        rows.append((owner, doc_id, len(both), len(own), len(found),
+                                     int((scheme.ranks(both) > 0).sum())))
             yield record_batch(rows, out)
 
-    return met.mapInArrow(compared, "a long, b long")
+    return met.mapInArrow(compared, COMPARED)
 
 
 def make_scheme(counts: DataFrame, sizes: DataFrame) -> Scheme:
@@ -483,6 +501,20 @@ def enough_shared(met: DataFrame, plain: Column) -> DataFrame:
         F.col("shared") >= shared_least(plain)).select("doc_id", "other")
 
 
+def references(seen: DataFrame, points: DataFrame) -> DataFrame:
+    """For documents that were compared, one that they were compared with (with), the one that most
+    were, and how many of its frequent shingles they have (near). A set that others were compared
+    with may stand for itself."""
+    often = seen.groupBy("owner").agg(F.count("*").alias("times"))
+    own = points.where("common IS NOT NULL AND n IS NOT NULL").groupBy("doc_id").agg(
+        F.max("common").alias("near")).join(often.withColumnRenamed("owner", "doc_id"), "doc_id").select(
+        "doc_id", F.col("doc_id").alias("with"), "near", "times")
+    others = seen.join(often, "owner").select(
+        F.col("other").alias("doc_id"), F.col("owner").alias("with"), F.col("frequent").alias("near"), "times")
+    return own.unionAll(others).groupBy("doc_id").agg(F.max(F.struct("times", "with", "near")).alias("top")
+        ).select("doc_id", "top.with", "top.near")
+
+
 def similar_pairs(docs: DataFrame, points: DataFrame, scheme: Scheme) -> DataFrame:
     """Links (a, b) that connect all that is similar among ``points`` (entry, doc_id, n, common)."""
     plain = F.lit(not scheme.deleting)
@@ -493,23 +525,29 @@ def similar_pairs(docs: DataFrame, points: DataFrame, scheme: Scheme) -> DataFra
         F.coalesce("common", F.lit(-1)).alias("most"), "met", (-F.col("doc_id")).alias("low"), "n",
         "common")).alias("top")).select(
         "entry", (-F.col("top.low")).alias("other"), F.col("top.n").alias("other_n"),
-        F.col("top.common").alias("other_common"))
-    first = staged(enough_shared(points.join(lead, "entry").where(
+        F.col("top.common").alias("other_common"), F.lit(None).cast("long").alias("other_with"),
+        F.lit(None).cast("long").alias("other_near"))
+    points_only = points.withColumns({c: F.lit(None).cast("long") for c in ("with", "near")})
+    first = staged(enough_shared(points_only.join(lead, "entry").where(
         (F.col("doc_id") != F.col("other")) & may_meet()), plain).select(
         F.col("other").alias("owner"), F.col("doc_id").alias("other")), "first-pairs")
-    found = staged(links(docs, first), "links")
+    seen = staged(compare(docs, first, scheme), "compared")
+    found = similar_only(seen)
     groups = components(found)
-    labelled = points.join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
+    labelled = points.join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left").join(
+        references(seen, points), "doc_id", "left").withColumn(
         "component", F.coalesce("component", "doc_id"))
     split = labelled.groupBy("entry").agg(
         F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     rest = staged(labelled.join(split.select("entry"), "entry"), "open-points")
     other = rest.select("entry", F.col("doc_id").alias("other"), F.col("n").alias("other_n"),
                         F.col("common").alias("other_common"),
+                        F.col("with").alias("other_with"), F.col("near").alias("other_near"),
                         F.col("component").alias("other_component"))
     more = enough_shared(rest.join(other, "entry").where(
         (F.col("doc_id") < F.col("other")) & (F.col("component") != F.col("other_component"))
         & may_meet()), plain).select(F.col("doc_id").alias("owner"), "other")
     done = first.select(F.least("owner", "other").alias("owner"),
                         F.greatest("owner", "other").alias("other")).distinct()
-    return found.unionAll(links(docs, more.join(done, ["owner", "other"], "left_anti")))
+    return found.unionAll(similar_only(compare(
+        docs, more.join(done, ["owner", "other"], "left_anti"), scheme)))
