@@ -60,10 +60,11 @@ def repeated_lines(text: str) -> int:
 
 
 def split_chunks(raw: bytes, size: int = CHUNK_BYTES, least: int = LEAST_CHUNK_BYTES) -> list[bytes]:
-    starts = list(range(0, len(raw), size))
+    starts = list(range(0, len(raw), size)) or [0]
     if len(starts) > 1 and len(raw) - starts[-1] < least:
         starts.pop()
-    return [raw[a:b] for a, b in zip(starts, [*starts[1:], len(raw)], strict=True)]
+    found = [raw[a:b] for a, b in zip(starts, [*starts[1:], len(raw)], strict=True)]
+    return [piece for piece in found if piece]
 
 
 def within(n_bytes: int, ratio: float, bands: Sequence[tuple[int, float, float]]) -> bool:
