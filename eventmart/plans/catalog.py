@@ -17,6 +17,7 @@ from eventmart.operators import (
     aggregates, enrich, governance, monitoring, orders, purchases, quality, reports, versioning)
 from eventmart.plans import backfill, jobs
 from eventmart.schemas import (
+    DEAD_LETTERS,
     BODY_ORDER, EVENTS_ENRICHED, EVENTS_FILE, EVENTS_FILE_TEXT, USER_EVENTS, USERS_FILE)
 from eventmart.session import run_dir
 from eventmart.sources import canonical as data
@@ -397,8 +398,8 @@ def _live(spark: SparkSession, sf_dir: str, with_facts: bool = False) -> jobs.Wa
                                  ingested_at=lambda: AS_OF)
     if with_facts:
         product = data.product_tables(spark, sf_dir, late=False)
-        pipeline.products = lambda start: product
-        pipeline.financials = lambda start: data.financials(spark, sf_dir)
+        pipeline.products = lambda: product
+        pipeline.financials = lambda: data.financials(spark, sf_dir)
     query = pipeline.start(_record_stream(spark, sf_dir), run_dir(spark, "checkpoint"))
     live.wait(query, 1800)
     return house
@@ -416,11 +417,38 @@ def stream_facts(spark, sf_dir):
     return plain(_live(spark, sf_dir, with_facts=True).facts())
 
 
-def stream_raw_sink(spark, sf_dir):
-    path = run_dir(spark, "raw")
-    live.wait(live.start_raw_sink(_record_stream(spark, sf_dir), path,
+def _raw_sink(spark: SparkSession, sf_dir: str) -> str:
+    root = run_dir(spark, "raw")
+    live.wait(live.start_raw_sink(_record_stream(spark, sf_dir), root,
                                   run_dir(spark, "checkpoint")), 1800)
-    return plain(spark.read.schema(USER_EVENTS.schema).parquet(path))
+    return root
+
+
+def stream_raw_sink(spark, sf_dir):
+    return plain(tables.read_table(spark, _raw_sink(spark, sf_dir), USER_EVENTS))
+
+
+def raw_sink_dead_letters(spark, sf_dir):
+    return plain(tables.read_table(spark, _raw_sink(spark, sf_dir), DEAD_LETTERS))
+
+
+def consumer_totals(spark, sf_dir):
+    """What the raw sink has read, by partition, good or not."""
+    return live.consumer_totals(spark, _raw_sink(spark, sf_dir)).select(
+        "topic", F.col("partition").cast("bigint").alias("partition"), "num_messages_read",
+        "last_offset")
+
+
+def stream_two_runs(spark, sf_dir):
+    """Two streams with checkpoints of their own into one warehouse: partitions with an even number,
+    then the others. Neither may touch what the other wrote."""
+    house = jobs.Warehouse(spark, run_dir(spark, "two-runs"))
+    for rest in (0, 1):
+        pipeline = live.LivePipeline(house.root, live.Refreshed(lambda: data.users(spark, sf_dir)),
+                                     ingested_at=lambda: AS_OF)
+        part = _record_stream(spark, sf_dir).where(F.col("partition") % 2 == rest)
+        live.wait(pipeline.start(part, run_dir(spark, "checkpoint")), 1800)
+    return plain(house.events())
 
 
 def stored_user_changes(spark, sf_dir):
@@ -447,7 +475,8 @@ _GROUPS: Sequence[Query] = (
     offset_gaps, partition_lag, hourly_anomaly, daily_gap_counts, purchases_without_fact,
     field_drift,
     dead_letters, parsed_events, stream_enriched, stream_agg_daily, stream_facts,
-    stream_raw_sink, stored_user_changes,
+    stream_raw_sink, raw_sink_dead_letters, consumer_totals, stream_two_runs,
+    stored_user_changes,
 )
 
 QUERIES: dict[str, Query] = {query.__name__: query for query in _GROUPS}

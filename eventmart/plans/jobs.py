@@ -16,7 +16,7 @@ from eventmart.operators.purchases import SESSION, denormalize, key_filter, orde
 from eventmart.operators.reports import verification_report
 from eventmart.operators.versioning import one_row_per_order
 from eventmart.schemas import (
-    DATA_TABLES, DEAD_LETTERS, EVENTS_AGG_DAILY, EVENTS_ENRICHED, FACT_PURCHASES,
+    CONSUMED, DATA_TABLES, DEAD_LETTERS, EVENTS_AGG_DAILY, EVENTS_ENRICHED, FACT_PURCHASES,
     FINANCIAL_ORDER, PRODUCT_TABLES, USERS)
 from eventmart.session import run_dir
 from eventmart.sources.files import read_csv
@@ -74,7 +74,7 @@ class Warehouse:
 
 def reset(house: Warehouse) -> None:
     """Empty all data tables; users stay. The next stream needs a new checkpoint folder."""
-    truncate(house.spark, house.root, [*DATA_TABLES, DEAD_LETTERS])
+    truncate(house.spark, house.root, [*DATA_TABLES, DEAD_LETTERS, CONSUMED])
 
 
 def seed_products(house: Warehouse, products: Mapping[str, DataFrame], label: str) -> None:
@@ -121,21 +121,10 @@ def reconcile(house: Warehouse) -> int:
 
 
 def live_pipeline(house: Warehouse, refresh_seconds: float = 300,
-                  ingested_at: str | Column | None = None,
-                  lookback_days: int | None = None) -> LivePipeline:
-    """The stream's pipeline over a warehouse.
-
-    With ``lookback_days`` a batch reads only the months of orders from that many days before
-    its earliest event; older orders are then found by the reconcile job instead.
-    """
-    def since(moment: str | None) -> str | None:
-        return moment if lookback_days is not None else None
-
-    return LivePipeline(
-        house.root, Refreshed(house.users, refresh_seconds),
-        lambda start: house.product_tables(since(start)),
-        lambda start: house.financials(since(start)), lambda: ingested_at,
-        lookback_days or 0)
+                  ingested_at: str | Column | None = None) -> LivePipeline:
+    """The stream's pipeline over a warehouse."""
+    return LivePipeline(house.root, Refreshed(house.users, refresh_seconds),
+                        house.product_tables, house.financials, lambda: ingested_at)
 
 
 def ingest(house: Warehouse, records: DataFrame, checkpoint: str, seconds: float = 120,

@@ -401,8 +401,13 @@ _BODIES = {
           AS ingest_lag_sec FROM good_enriched""",
     "stream_facts": f"SELECT {_list(_FACT)} FROM live_facts",
     "stream_raw_sink": f"SELECT {_list(_RAW)} FROM good",
+    "consumer_totals": """SELECT kafka_topic AS topic,
+        CAST(kafka_partition AS BIGINT) AS partition, count(*) AS num_messages_read,
+        max(kafka_offset) AS last_offset FROM message_rows GROUP BY ALL""",
     "stored_user_changes": _CHANGED_USERS,
 }
+_BODIES["raw_sink_dead_letters"] = _BODIES["dead_letters"]
+_BODIES["stream_two_runs"] = _BODIES["stream_enriched"]
 
 
 def _statement(body: str) -> str:

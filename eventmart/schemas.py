@@ -128,6 +128,11 @@ DEAD_LETTERS = Table(
     "dead_letters",
     _schema(value=TEXT, topic=TEXT, partition=INT, offset=LONG, timestamp=TIME, error=TEXT))
 
+# What each micro-batch read from a topic.
+CONSUMED = Table(
+    "consumed",
+    _schema(topic=TEXT, partition=INT, num_messages_read=LONG, last_offset=LONG))
+
 # Emptied by a reset; the users dimension stays.
 DATA_TABLES = (
     EVENTS_ENRICHED, EVENTS_AGG_DAILY, FACT_PURCHASES, *PRODUCT_TABLES.values(),

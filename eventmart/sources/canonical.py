@@ -218,6 +218,6 @@ def messages(events_df: DataFrame) -> DataFrame:
         if(k = 2, ',"campaign":"spring"', ''), '}')"""
     return events_df.selectExpr(
         "cast(user_id as string) as key",
-        f"if(k = 5, null, substr({text}, 1, if(k = 0, 40, 100000))) as value",
+        f"if(k = 5, null, if(k = 0, left({text}, 40), {text})) as value",
         "kafka_topic as topic", "cast(kafka_partition as int) as partition",
         "kafka_offset as offset", "kafka_timestamp as timestamp")

@@ -32,11 +32,11 @@ def stage_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     out.write.option("header", True).mode("overwrite").csv(path)
 
 
-def expected_rows(spark: SparkSession, path: str, default: int = 20000) -> int:
-    """Rows of a headered CSV file; ``default`` if the file is not there."""
+def expected_rows(spark: SparkSession, path: str, default: int | None = None) -> int:
+    """Rows of a headered CSV file. Without the file it raises, unless a default is given."""
     try:
         return spark.read.option("header", True).csv(path).count()
     except AnalysisException as error:
-        if "PATH_NOT_FOUND" in str(error):
-            return default
-        raise
+        if default is None or "PATH_NOT_FOUND" not in str(error):
+            raise
+        return default

@@ -17,11 +17,11 @@ BLOCK_ROWS = 1_048_576
 
 def stream_options(servers: str, topic: str, max_rows: int = BLOCK_ROWS,
                    starting: str = "earliest", min_partitions: int | None = None) -> dict[str, str]:
-    """Reader options. The query's checkpoint keeps the offsets, as a consumer group would."""
+    """Reader options. The query's checkpoint keeps the offsets, as a consumer group would. Offsets
+    that are gone when the stream reaches them stop it, as is Spark's default."""
     options = {
         "kafka.bootstrap.servers": servers, "subscribe": topic,
         "maxOffsetsPerTrigger": str(max_rows), "startingOffsets": starting,
-        "failOnDataLoss": "false",
     }
     if min_partitions:
         options["minPartitions"] = str(min_partitions)

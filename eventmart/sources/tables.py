@@ -57,6 +57,16 @@ def clustered(df: DataFrame, table: Table) -> DataFrame:
     return balanced.sortWithinPartitions(*table.sort) if table.sort else balanced
 
 
+def batch_label(spark: SparkSession, batch_id: int) -> str:
+    """The label of a micro-batch: the id of its stream, which the checkpoint keeps, and its number.
+
+    Numbers restart with every new checkpoint; the id keeps two streams' batches apart. Outside a
+    stream it is the number alone.
+    """
+    stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{stream}-{batch_id}" if stream else str(batch_id)
+
+
 def write_batch(df: DataFrame, root: str, table: Table, label: str) -> None:
     """Write or replace one batch of a table."""
     writer = clustered(df.select(*table.columns), table).write.mode("overwrite")

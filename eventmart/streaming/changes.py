@@ -11,9 +11,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from eventmart.operators.versioning import apply_changes
-from eventmart.schemas import USERS, Table
-from eventmart.sources.tables import read_table, write_batch
-from eventmart.streaming.records import parse_changes
+from eventmart.schemas import DEAD_LETTERS, USERS, Table
+from eventmart.sources.tables import batch_label, read_table, write_batch
+from eventmart.streaming.records import change_dead_letters, parse_changes
 
 USER_CHANGES = Table(
     "users_changes",
@@ -23,8 +23,11 @@ USER_CHANGES = Table(
 
 
 def start_change_log(records: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
+    """Store the changes of a stream, and what cannot be read as one among the dead letters."""
     def store(batch: DataFrame, batch_id: int) -> None:
-        write_batch(parse_changes(batch), root, USER_CHANGES, str(batch_id))
+        label = batch_label(batch.sparkSession, batch_id)
+        write_batch(change_dead_letters(batch), root, DEAD_LETTERS, label)
+        write_batch(parse_changes(batch), root, USER_CHANGES, label)
 
     return (records.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

@@ -1,7 +1,8 @@
 """The live pipeline: one streaming query that fills four tables per micro-batch.
 
-Each output is written under the batch's number. A batch that runs again replaces what it
-wrote, so nothing counts twice, although the stream delivers at least once.
+Each output is written under the stream's id and the batch's number. A batch that runs again
+replaces what it wrote, so nothing counts twice, although the stream delivers at least once; a
+stream with another checkpoint has another id and adds to what is there.
 """
 
 from __future__ import annotations
@@ -15,15 +16,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from eventmart.functions.times import time_text
 from eventmart.operators.aggregates import daily_states
 from eventmart.operators.enrich import USER_COLUMNS, enrich
 from eventmart.operators.orders import product_orders_all
 from eventmart.operators.purchases import SESSION, denormalize, key_filter, purchases
 from eventmart.operators.skew import BROADCAST_BYTES, payload_bytes
 from eventmart.schemas import (
-    DEAD_LETTERS, EVENTS_AGG_DAILY, EVENTS_ENRICHED, FACT_PURCHASES, USER_EVENTS)
-from eventmart.sources.tables import read_batch, write_batch
+    CONSUMED, DEAD_LETTERS, EVENTS_AGG_DAILY, EVENTS_ENRICHED, FACT_PURCHASES, USER_EVENTS)
+from eventmart.sources.tables import batch_label, read_batch, read_table, write_batch
 from eventmart.streaming.records import dead_letters, good_events, parse_records
 
 REFRESH_SECONDS = 300
@@ -58,50 +58,47 @@ class Refreshed:
 class LivePipeline:
     """Where the stream's tables live and how its lookups are read.
 
-    ``products`` and ``financials`` are called once per batch with a time, ``lookback_days``
-    before the batch's earliest event, which they may use to read less. Each batch sees the
-    orders present when it runs; what arrives later is left to the reconcile job.
+    ``products`` and ``financials`` are called once per batch. Each batch sees the orders present
+    when it runs; what arrives later is left to the reconcile job.
     """
 
     root: str
     users: Refreshed
-    products: Callable[[str | None], Mapping[str, DataFrame]] | None = None
-    financials: Callable[[str | None], DataFrame] | None = None
+    products: Callable[[], Mapping[str, DataFrame]] | None = None
+    financials: Callable[[], DataFrame] | None = None
     ingested_at: Callable[[], str | Column | None] = lambda: None
-    lookback_days: int = 0
 
     def process(self, records: DataFrame, batch_id: int) -> None:
         spark = records.sparkSession
+        label = batch_label(spark, batch_id)
         parsed = parse_records(records).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            write_batch(dead_letters(parsed), self.root, DEAD_LETTERS, str(batch_id))
+            write_batch(dead_letters(parsed), self.root, DEAD_LETTERS, label)
             users, small = self.users.get()
             rows = enrich(good_events(parsed), users, self.ingested_at(), broadcast=small)
-            write_batch(rows, self.root, EVENTS_ENRICHED, str(batch_id))
+            write_batch(rows, self.root, EVENTS_ENRICHED, label)
+            write_batch(batch_counts(records), self.root, CONSUMED, label)
         finally:
             parsed.unpersist()
         # The batch's rows are read back from its files, so neither parsing nor the lookup
         # runs again for the outputs below, and a lost executor does not redo them.
-        stored = read_batch(spark, self.root, EVENTS_ENRICHED, str(batch_id))
-        write_batch(daily_states(stored), self.root, EVENTS_AGG_DAILY, str(batch_id))
+        stored = read_batch(spark, self.root, EVENTS_ENRICHED, label)
+        write_batch(daily_states(stored), self.root, EVENTS_AGG_DAILY, label)
         if self.products and self.financials:
-            self._write_facts(stored, batch_id)
+            self._write_facts(stored, label)
 
-    def _write_facts(self, stored: DataFrame, batch_id: int) -> None:
+    def _write_facts(self, stored: DataFrame, label: str) -> None:
         """Facts of one batch. The order tables shrink to the batch's sessions while they are
         scanned, before versions are compared, so no batch shuffles a whole table."""
         bought = purchases(stored)
-        start = bought.select(time_text(
-            F.min("event_time") - F.make_dt_interval(F.lit(self.lookback_days)))).first()[0]
-        if start is None:
+        if bought.isEmpty():
             return
         of_batch = key_filter(bought, SESSION)
-        narrowed = {line: of_batch(table) for line, table in self.products(start).items()}
+        narrowed = {line: of_batch(table) for line, table in self.products().items()}
         orders = product_orders_all(narrowed).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            paid = key_filter(orders, ["order_id"])(self.financials(start))
-            write_batch(denormalize(stored, orders, paid), self.root, FACT_PURCHASES,
-                        str(batch_id))
+            paid = key_filter(orders, ["order_id"])(self.financials())
+            write_batch(denormalize(stored, orders, paid), self.root, FACT_PURCHASES, label)
         finally:
             orders.unpersist()
 
@@ -124,21 +121,31 @@ def wait(query: StreamingQuery, seconds: float) -> None:
         raise TimeoutError(f"stream not consumed within {seconds} seconds")
 
 
-def start_raw_sink(records: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append the good events of a stream to a raw table, without enrichment."""
-    events = good_events(parse_records(records)).select(*USER_EVENTS.columns)
-    return (events.writeStream.format("parquet").outputMode("append").option("path", path)
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-
-
-def progress_rows(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """A query's recent progress as consumer rows, one per source; a short list by design."""
-    rows = []
-    for progress in query.recentProgress:
-        for source in progress["sources"]:
-            rows.append((str(progress["id"]), int(progress["batchId"]), source["description"],
-                         int(source["numInputRows"])))
-    frame = spark.createDataFrame(
-        rows, "query STRING, batch_id BIGINT, source STRING, num_messages_read BIGINT")
-    return frame.groupBy("query", "source").agg(
-        F.sum("num_messages_read").alias("num_messages_read"))
+def start_raw_sink(records: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
+    """Add the good events of a stream to a raw table below ``root``, without enrichment, and the
+    others to its dead letters."""
+    def store(batch: DataFrame, batch_id: int) -> None:
+        label = batch_label(batch.sparkSession, batch_id)
+        parsed = parse_records(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write_batch(dead_letters(parsed), root, DEAD_LETTERS, label)
+            write_batch(good_events(parsed).select(*USER_EVENTS.columns), root, USER_EVENTS, label)
+            write_batch(batch_counts(batch), root, CONSUMED, label)
+        finally:
+            parsed.unpersist()
+
+    return (records.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
+def batch_counts(batch: DataFrame) -> DataFrame:
+    """Messages of a batch by topic and partition, with the last offset."""
+    return batch.groupBy("topic", "partition").agg(
+        F.count("*").alias("num_messages_read"), F.max("offset").alias("last_offset"))
+
+
+def consumer_totals(spark: SparkSession, root: str) -> DataFrame:
+    """Messages that all batches of all streams have read, by topic and partition."""
+    return read_table(spark, root, CONSUMED).groupBy("topic", "partition").agg(
+        F.sum("num_messages_read").alias("num_messages_read"),
+        F.max("last_offset").alias("last_offset"))

@@ -65,22 +65,47 @@ def dead_letters(parsed: DataFrame) -> DataFrame:
     return parsed.filter("not _good").select(*DEAD_LETTERS.columns)
 
 
+CHANGE = ("user_id STRING, signup_date STRING, city STRING, device_type STRING, "
+          "updated_at STRING, __deleted STRING, _corrupt STRING")
+
+
+def typed_changes(records: DataFrame) -> DataFrame:
+    """Records of the users change stream, without tombstones (no value), with typed columns and
+    ``error``, null for those that can be applied."""
+    raw = records.where("value IS NOT NULL").select("*", F.inline(F.array(F.from_json(
+        "value", CHANGE, {"columnNameOfCorruptRecord": "_corrupt"})))).withColumnsRenamed(
+        {"user_id": "_user_id", "signup_date": "_signup_date", "updated_at": "_updated_at"})
+    days = F.col("_signup_date").try_cast("int")
+    typed = raw.select(
+        *records.columns, "_corrupt", "_user_id", "_updated_at", "_signup_date",
+        F.col("_user_id").try_cast("bigint").alias("user_id"),
+        F.when(days.isNotNull(), F.date_add(F.lit("1970-01-01").cast("date"), days))
+        .otherwise(parse_date("_signup_date")).alias("signup_date"),
+        "city", "device_type", parse_time("_updated_at").alias("updated_at"),
+        F.coalesce(F.col("__deleted") == "true", F.lit(False)).alias("_deleted"))
+
+    def unread(name: str):
+        return F.when(F.col(name).isNull(), F.concat(
+            F.lit(f"{name}: "), F.coalesce(f"_{name}", F.lit("missing"))))
+
+    odd_date = F.when(F.col("signup_date").isNull() & F.col("_signup_date").isNotNull(),
+                      F.concat(F.lit("signup_date: "), "_signup_date"))
+    error = F.when(F.col("_corrupt").isNotNull(), F.lit("malformed message")).otherwise(
+        F.concat_ws("; ", unread("user_id"), unread("updated_at"), odd_date))
+    return typed.withColumn("error", F.nullif(error, F.lit("")))
+
+
 def parse_changes(records: DataFrame) -> DataFrame:
     """Records of the users change stream as rows for ``apply_changes``.
 
     Values are after-images with a ``__deleted`` flag; records without value are tombstones
     and skipped. Dates come as days since the epoch or as text.
     """
-    schema = ("user_id STRING, signup_date STRING, city STRING, device_type STRING, "
-              "updated_at STRING, __deleted STRING")
-    rows = (records.filter(F.col("value").isNotNull())
-            .select(F.from_json("value", schema).alias("c"), "offset").select("c.*", "offset"))
-    days = F.col("signup_date").try_cast("int")
-    return rows.select(
-        F.col("user_id").try_cast("bigint").alias("user_id"),
-        F.when(days.isNotNull(), F.date_add(F.lit("1970-01-01").cast("date"), days))
-        .otherwise(parse_date("signup_date")).alias("signup_date"),
-        "city", "device_type", parse_time("updated_at").alias("updated_at"),
-        F.col("offset").alias("_position"),
-        F.coalesce(F.col("__deleted") == "true", F.lit(False)).alias("_deleted"),
-    ).filter(F.col("user_id").isNotNull())
+    return typed_changes(records).where("error IS NULL").select(
+        "user_id", "signup_date", "city", "device_type", "updated_at",
+        F.col("offset").alias("_position"), "_deleted")
+
+
+def change_dead_letters(records: DataFrame) -> DataFrame:
+    """Changes without a readable user, time or date, with their text and what is wrong."""
+    return typed_changes(records).where("error IS NOT NULL").select(*DEAD_LETTERS.columns)

@@ -4,6 +4,7 @@ from datetime import datetime
 import helpers as h
 import pyarrow.parquet as pq
 import pytest
+from pyspark.errors import AnalysisException
 
 from eventmart.operators.aggregates import daily_states, finalize_states, merge_states
 from eventmart.schemas import (
@@ -33,7 +34,9 @@ def test_csv_events_and_users(spark, tmp_path):
     assert got == [(1, 100.5), (2, None)]
     assert files.read_users(spark, str(tmp_path / "u.csv")).first().city == "Rome"
     assert files.expected_rows(spark, str(tmp_path / "e.csv")) == 2
-    assert files.expected_rows(spark, str(tmp_path / "none.csv")) == 20000
+    with pytest.raises(AnalysisException):
+        files.expected_rows(spark, str(tmp_path / "none.csv"))
+    assert files.expected_rows(spark, str(tmp_path / "none.csv"), default=7) == 7
 
 
 def test_staged_csv_has_a_header_and_one_file_if_asked(spark, tmp_path):

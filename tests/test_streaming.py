@@ -2,6 +2,7 @@
 
 import json
 from datetime import datetime
+from pathlib import Path
 
 import helpers as h
 import pytest
@@ -11,7 +12,7 @@ from eventmart.operators.enrich import enrich
 from eventmart.operators.versioning import one_row_per_order
 from eventmart.plans import jobs
 from eventmart.schemas import (
-    DEAD_LETTERS, ENVELOPE, EVENTS_AGG_DAILY, EVENTS_ENRICHED, FACT_PURCHASES, USERS)
+    DEAD_LETTERS, ENVELOPE, EVENTS_AGG_DAILY, EVENTS_ENRICHED, FACT_PURCHASES, USER_EVENTS, USERS)
 from eventmart.sources.tables import read_table, write_batch
 from eventmart.streaming import changes, live
 from eventmart.streaming.records import dead_letters, good_events, parse_records
@@ -75,8 +76,8 @@ def pipeline(spark, tmp_path):
     people = h.users(spark, (1, "Rome", "ios"), (2, "Bari", "web"))
     return live.LivePipeline(
         str(tmp_path / "house"), live.Refreshed(lambda: people),
-        lambda start: h.tables(spark, h.third(1, 1, "s1"), h.third(2, 2, "s2")),
-        lambda start: h.financials(spark, h.payment(1)), lambda: NOW)
+        lambda: h.tables(spark, h.third(1, 1, "s1"), h.third(2, 2, "s2")),
+        lambda: h.financials(spark, h.payment(1)), lambda: NOW)
 
 
 def run(pipeline, source):
@@ -111,9 +112,14 @@ def test_stream_equals_batch_and_repeats_change_nothing(spark, rows, source, pip
     run(pipeline, source)
     assert contents(spark, pipeline) == before
     # The first batch again, as after a failure before its commit.
+    label = next(p.name for p in Path(house, "events_enriched").glob("batch=*-0")).split("=")[1]
     batches = [f for f in (first, second)
-               if f.count() == stored_rows_of_batch(spark, house, "0")]
-    pipeline.process(batches[0], 0)
+               if f.count() == stored_rows_of_batch(spark, house, label)]
+    spark.sparkContext.setLocalProperty("sql.streaming.queryId", label.removesuffix("-0"))
+    try:
+        pipeline.process(batches[0], 0)
+    finally:
+        spark.sparkContext.setLocalProperty("sql.streaming.queryId", None)
     assert contents(spark, pipeline) == before
 
 
@@ -138,13 +144,18 @@ def test_lookups_are_read_again_after_their_time(spark):
     assert users.get()[1] is True
 
 
-def test_lookback_bounds_what_a_batch_reads(spark, pipeline):
-    asked = []
-    products = pipeline.products
-    pipeline.products = lambda start: asked.append(start) or products(start)
-    pipeline.lookback_days = 30
-    pipeline.process(records(spark, message()), 0)
-    assert asked == ["2025-09-01 10:00:00"]
+def test_another_checkpoint_adds_and_a_repeat_replaces(spark, rows, source, pipeline, tmp_path):
+    source.add(records(spark, message(), message(2, "s2"), "broken"))
+    run(pipeline, source)
+    other = Source(spark, tmp_path / "other")
+    other.add(records(spark, message(3, "s3"), message(4, "s4"), "broken too", start=3))
+    for _ in range(2):
+        run(pipeline, other)
+    stored = read_table(spark, pipeline.root, EVENTS_ENRICHED)
+    assert rows(stored, "user_id") == [(1,), (2,), (3,), (4,)]
+    assert read_table(spark, pipeline.root, DEAD_LETTERS).count() == 2
+    total = live.consumer_totals(spark, pipeline.root).first()
+    assert (total.num_messages_read, total.last_offset) == (6, 5)
 
 
 def test_batch_without_events(spark, pipeline):
@@ -161,20 +172,34 @@ def test_wait_stops_and_raises_when_time_is_up(spark, source, pipeline):
     assert not query.isActive
 
 
-def test_raw_sink_appends_each_record_once(spark, rows, source, tmp_path):
+def test_raw_sink_adds_each_record_once_and_keeps_bad_ones(spark, rows, source, tmp_path):
     out = str(tmp_path / "raw")
     source.add(records(spark, message(), "broken", message(2)))
     for _ in range(2):
         live.wait(live.start_raw_sink(source.stream(), out, source.checkpoint), 120)
-    assert rows(spark.read.parquet(out), "user_id") == [(1,), (2,)]
+    assert rows(read_table(spark, out, USER_EVENTS), "user_id") == [(1,), (2,)]
+    assert rows(read_table(spark, out, DEAD_LETTERS), "value", "error") == [
+        ("broken", "malformed message")]
+
+
+def test_consumer_totals_count_every_batch(spark, source, tmp_path):
+    out = str(tmp_path / "raw")
+    for i in range(4):
+        source.add(records(spark, message(), start=i))
+    live.wait(live.start_raw_sink(source.stream(), out, source.checkpoint), 120)
+    got = live.consumer_totals(spark, out).collect()
+    assert [(r.topic, r.partition, r.num_messages_read, r.last_offset) for r in got] == [
+        ("user_events", 0, 4, 3)]
 
 
-def test_progress_becomes_consumer_rows(spark, source, tmp_path):
-    source.add(records(spark, message(), message(2)))
-    query = live.start_raw_sink(source.stream(), str(tmp_path / "raw"), source.checkpoint)
-    live.wait(query, 120)
-    got = live.progress_rows(spark, query).collect()
-    assert [r.num_messages_read for r in got] == [2]
+def test_unreadable_changes_become_dead_letters(spark, source, tmp_path):
+    house = str(tmp_path / "house")
+    source.add(records(spark, change(1, "Milan", "2025-01-01T00:00:00Z"), "{broken", None,
+                       change("x9", "Milan", "2025-01-01T00:00:00Z"), change(2, "Bari", "soon")))
+    live.wait(changes.start_change_log(source.stream(), house, source.checkpoint), 120)
+    assert read_table(spark, house, changes.USER_CHANGES).count() == 1
+    bad = {r.offset: r.error for r in read_table(spark, house, DEAD_LETTERS).collect()}
+    assert bad == {1: "malformed message", 3: "user_id: x9", 4: "updated_at: soon"}
 
 
 def change(user, city, when, deleted="false"):
