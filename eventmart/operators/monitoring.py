@@ -14,11 +14,19 @@ BASELINE_SECONDS = 7 * 86400
 
 
 def hourly_volume(events: DataFrame) -> DataFrame:
-    """Events per hour from the first to the last hour, hours without events as 0."""
+    """Events per hour from the first to the last hour, hours without events as 0.
+
+    Days are spread over tasks before they unfold into hours, so a stray event far in the future
+    makes many rows but no large task.
+    """
     counts = events.groupBy(F.date_trunc("hour", "event_time").alias("hour")).agg(
         F.count(F.lit(1)).alias("events"))
-    hours = counts.agg(F.min("hour").alias("a"), F.max("hour").alias("b")).select(
-        F.explode(F.expr("sequence(a, b, INTERVAL 1 HOUR)")).alias("hour"))
+    span = counts.agg(F.min("hour").alias("a"), F.max("hour").alias("b"))
+    days = span.select("a", "b", F.explode(F.expr(
+        "sequence(to_date(a), to_date(b), INTERVAL 1 DAY)")).alias("day")).repartition("day")
+    hours = days.select("a", "b", F.explode(F.expr(
+        "sequence(timestamp(day), timestamp(day) + INTERVAL 23 HOUR, INTERVAL 1 HOUR)")).alias(
+        "hour")).filter("hour BETWEEN a AND b").select("hour")
     return hours.join(counts, "hour", "left").select(
         "hour", F.coalesce("events", F.lit(0)).alias("events"))
 
@@ -26,11 +34,16 @@ def hourly_volume(events: DataFrame) -> DataFrame:
 def volume_anomalies(events: DataFrame, low: float = 0.5, high: float = 2.0) -> DataFrame:
     """Hours against the mean of the seven days before them.
 
-    The window runs over hours, 8,760 rows a year, never over events.
+    Windows run within a week that also holds the hours of the week before: 336 rows at most,
+    however long the history is.
     """
-    trailing = Window.orderBy("_second").rangeBetween(-BASELINE_SECONDS, -1)
-    hours = hourly_volume(events).withColumn("_second", F.unix_timestamp("hour"))
-    scored = hours.select("hour", "events", F.avg("events").over(trailing).alias("baseline"))
+    trailing = Window.partitionBy("_week").orderBy("_second").rangeBetween(-BASELINE_SECONDS, -1)
+    second = F.unix_timestamp("hour")
+    week = F.floor(second / BASELINE_SECONDS)
+    hours = hourly_volume(events).withColumn("_second", second).select(
+        "*", week.alias("_own"), F.explode(F.array(week, week + 1)).alias("_week"))
+    scored = hours.withColumn("baseline", F.avg("events").over(trailing)).filter(
+        "_week = _own").select("hour", "events", "baseline")
     ratio = F.col("events") / F.nullif(F.col("baseline"), F.lit(0.0))
     return scored.withColumn(
         "flag", F.when(ratio < low, "LOW").when(ratio > high, "HIGH").otherwise("OK"))

@@ -1,10 +1,10 @@
 """Joins whose sides may be too big to broadcast and whose keys may be hot.
 
-Keys hash into a fixed number of buckets. One cheap pass over the key columns counts rows
-per bucket, combined on the map side, so at most ``BUCKETS`` rows leave the count whatever
-the size of the input. Buckets far above their fair share get several salts: rows of the
-skewed side spread over them and the other side's rows of those few buckets are repeated.
-Everything else joins as usual, and the join's result is the plain join's result.
+Hot keys are found exactly. Rows are counted by hash bucket first, combined on the map side, so
+at most ``BUCKETS`` rows leave that count; keys are counted only in buckets that could hold a hot
+one. A hot key gets a salt per so many of its rows: rows of the skewed side spread over them and the
+other side's rows of that key are repeated. Everything else joins as usual, and the join's result
+is the plain join's result.
 """
 
 from __future__ import annotations
@@ -17,7 +17,9 @@ from pyspark.sql import types as T
 
 BUCKETS = 16384
 ROWS_PER_SALT = 500_000
-FAIR_SHARES = 2
+# A key is hot only above its part of this many, so that fewer keys than this are ever hot and
+# their list is small enough to broadcast.
+MOST_HOT_KEYS = 100_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
@@ -25,17 +27,19 @@ def _bucket(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
-def hot_buckets(df: DataFrame, keys: Sequence[str], buckets: int = BUCKETS,
-                rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
-    """Buckets that need more than one salt: ``(_bucket, _salts)``, at most ``buckets`` rows."""
-    counts = df.groupBy(_bucket(keys, buckets).alias("_bucket")).agg(
-        F.count(F.lit(1)).alias("_rows"))
+def hot_keys(df: DataFrame, keys: Sequence[str], buckets: int = BUCKETS,
+             rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+    """Keys that need more than one salt: the keys and ``_salts``, fewer than MOST_HOT_KEYS rows."""
+    keyed = df.select(*keys).withColumn("_bucket", _bucket(keys, buckets))
+    counts = keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_rows"))
     # One row per bucket is left here, so one window group over all of them is bounded.
     total = F.sum("_rows").over(Window.partitionBy(F.lit(0)))
-    fair = F.greatest(F.lit(float(rows_per_salt)), total * F.lit(FAIR_SHARES / buckets))
-    return (counts
-            .select("_bucket", F.ceil(F.col("_rows") / fair).cast("int").alias("_salts"))
-            .filter(F.col("_salts") > 1))
+    full = counts.withColumn("_most", F.greatest(
+        F.lit(float(rows_per_salt)), total / F.lit(MOST_HOT_KEYS))).filter("_rows > _most")
+    return (keyed.join(F.broadcast(full.select("_bucket", "_most")), "_bucket")
+            .groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), F.max("_most").alias("_most"))
+            .filter("_rows > _most")
+            .select(*keys, F.ceil(F.col("_rows") / F.col("_most")).cast("int").alias("_salts")))
 
 
 def salted_join(many: DataFrame, one: DataFrame, keys: Sequence[str], how: str,
@@ -50,16 +54,12 @@ def salted_join(many: DataFrame, one: DataFrame, keys: Sequence[str], how: str,
     """
     keys = list(keys)
     source = many if count_on is None else count_on
-    hot = F.broadcast(hot_buckets(source.select(*keys), keys, buckets, rows_per_salt))
+    hot = F.broadcast(hot_keys(source, keys, buckets, rows_per_salt))
     salts = F.coalesce(F.col("_salts"), F.lit(1))
-    left = (many.withColumn("_bucket", _bucket(keys, buckets))
-            .join(hot, "_bucket", "left")
-            .withColumn("_salt", F.pmod(F.xxhash64(*spread), salts).cast("int"))
-            .drop("_bucket", "_salts"))
-    right = (one.withColumn("_bucket", _bucket(keys, buckets))
-             .join(hot, "_bucket", "left")
-             .withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
-             .drop("_bucket", "_salts"))
+    left = (many.join(hot, keys, "left")
+            .withColumn("_salt", F.pmod(F.xxhash64(*spread), salts).cast("int")).drop("_salts"))
+    right = (one.join(hot, keys, "left")
+             .withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts"))
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
 
 

@@ -27,6 +27,12 @@ def descending(names: Sequence[str]) -> list[str]:
     return [f"`{name}` DESC NULLS LAST" for name in names]
 
 
+def _maps(df: DataFrame, direction: str) -> list[str]:
+    """Sort terms of map columns: their entries in order of keys, as text."""
+    return [f"CAST(array_sort(map_entries(`{f.name}`)) AS STRING) {direction} NULLS LAST"
+            for f in df.schema.fields if isinstance(f.dataType, T.MapType)]
+
+
 def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key, the first in ``order``, a list of SQL sort terms."""
     keys = ", ".join(f"`{name}`" for name in key)
@@ -37,12 +43,14 @@ def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataF
 def drop_duplicates(df: DataFrame, key: Sequence[str],
                     order: Sequence[str] = ()) -> DataFrame:
     """One row per natural key. All other columns break ties, so reruns keep the same row."""
-    return keep_first(df, key, ascending([*order, *_remaining(df, [*key, *order])]) or ["1"])
+    return keep_first(df, key, [
+        *ascending([*order, *_remaining(df, [*key, *order])]), *_maps(df, "ASC")] or ["1"])
 
 
 def latest_version(df: DataFrame, key: Sequence[str], version: str) -> DataFrame:
     """The row with the highest version per key; equal versions fall to the other columns."""
-    return keep_first(df, key, descending([version, *_remaining(df, [*key, version])]))
+    return keep_first(df, key, [
+        *descending([version, *_remaining(df, [*key, version])]), *_maps(df, "DESC")])
 
 
 def one_row_per_order(facts: DataFrame) -> DataFrame:

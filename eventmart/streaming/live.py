@@ -23,6 +23,7 @@ from eventmart.operators.purchases import SESSION, denormalize, key_filter, purc
 from eventmart.operators.skew import BROADCAST_BYTES, payload_bytes
 from eventmart.schemas import (
     CONSUMED, DEAD_LETTERS, EVENTS_AGG_DAILY, EVENTS_ENRICHED, FACT_PURCHASES, USER_EVENTS)
+from eventmart.session import run_dir
 from eventmart.sources.tables import batch_label, read_batch, read_table, write_batch
 from eventmart.streaming.records import dead_letters, good_events, parse_records
 
@@ -33,8 +34,9 @@ REFRESH_SECONDS = 300
 class Refreshed:
     """A table that is read again once its copy is older than ``seconds``.
 
-    Its size is measured when it is read, not per batch, and decides whether joins to it
-    may broadcast.
+    The copy is written to the shared folder, so batches read its rows and do not derive them
+    again; two folders take turns, so no more than two copies exist. Its size is measured when
+    it is read, not per batch, and decides whether joins to it may broadcast.
     """
 
     load: Callable[[], DataFrame]
@@ -44,15 +46,24 @@ class Refreshed:
     _frame: DataFrame | None = field(default=None, init=False)
     _small: bool = field(default=False, init=False)
     _read_at: float = field(default=0.0, init=False)
+    _folders: list[str] = field(default_factory=list, init=False)
 
     def get(self) -> tuple[DataFrame, bool]:
         now = self.clock()
         if self._frame is None or now - self._read_at >= self.seconds:
-            self._frame = self.load()
+            self._frame = self._copy(self.load())
             self._small = payload_bytes(self._frame.select(*USER_COLUMNS)) <= self.max_bytes
             self._read_at = now
         return self._frame, self._small
 
+    def _copy(self, frame: DataFrame) -> DataFrame:
+        spark = frame.sparkSession
+        if not self._folders:
+            self._folders = [run_dir(spark, "lookup") for _ in range(2)]
+        self._folders.reverse()
+        frame.write.mode("overwrite").parquet(self._folders[0])
+        return spark.read.schema(frame.schema).parquet(self._folders[0])
+
 
 @dataclass
 class LivePipeline:

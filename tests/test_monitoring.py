@@ -21,6 +21,16 @@ def test_baseline_only_covers_seven_days(spark):
     assert (last.events, last.baseline) == (1, 0.0)
 
 
+def test_baselines_equal_one_window_over_all_hours(spark):
+    rng = random.Random(3)
+    rows = [h.event(i, when=f"2025-{rng.randint(9, 10):02d}-{rng.randint(1, 30):02d} "
+                            f"{rng.randint(0, 23):02d}:10:00", offset=i) for i in range(300)]
+    found = m.volume_anomalies(h.events(spark, *rows)).orderBy("hour").collect()
+    for i, row in enumerate(found):
+        before = [r.events for r in found[max(0, i - 168):i]]
+        assert row.baseline == (pytest.approx(sum(before) / len(before)) if before else None)
+
+
 def test_lag_of_partitions_read_and_never_read(spark, rows):
     latest = spark.createDataFrame([(0, 9), (1, 9), (2, 9)],
                                    "kafka_partition BIGINT, latest_offset BIGINT")

@@ -1,5 +1,6 @@
 import helpers as h
 import pytest
+from pyspark.sql import functions as F
 
 from eventmart.operators import monitoring, quality
 
@@ -104,3 +105,13 @@ def test_row_checks_share_one_scan(spark):
     report.collect()
     plan = report._jdf.queryExecution().executedPlan().toString()
     assert "ReusedExchange" in plan
+
+
+@pytest.mark.parametrize("values", [
+    [], [7], [1, 2], [0] * 19 + [100_000], list(range(0, 90_000, 37)), [-5_000, 4095, 4096, 4096, 9000]])
+def test_percentile_equals_sparks(spark, values):
+    counts = spark.createDataFrame([(v,) for v in values] + [(None,)], "lag BIGINT").groupBy(
+        "lag").agg(F.count(F.lit(1)).alias("n"))
+    found = quality.weighted_percentile(counts, "lag", 0.95).collect()
+    wanted = counts.where("lag IS NOT NULL").agg(F.percentile("lag", F.lit(0.95), F.col("n"))).first()[0]
+    assert [r.value for r in found] == [wanted if wanted is None else pytest.approx(wanted)]

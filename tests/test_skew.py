@@ -25,25 +25,31 @@ def test_equals_the_plain_join(sides, rows, how):
     assert rows(plain)
 
 
-def test_hot_bucket_gets_salts_and_is_bounded(sides):
+def test_only_hot_keys_get_salts(sides):
     many, _ = sides
-    hot = {r["_bucket"]: r["_salts"] for r in skew.hot_buckets(many, ["k"], 16, 10).collect()}
-    spot = many.filter("k = 1").select(skew._bucket(["k"], 16)).first()[0]
-    assert hot[spot] > 1
-    assert len(hot) <= 16
+    hot = {r["k"]: r["_salts"] for r in skew.hot_keys(many, ["k"], 4, 10).collect()}
+    assert hot[1] == 40 and set(hot) <= {1, None}
 
 
 def test_rows_of_the_hot_key_spread(sides):
     many, one = sides
-    hot = F.broadcast(skew.hot_buckets(many, ["k"], 16, 10))
-    salted = (many.withColumn("_bucket", skew._bucket(["k"], 16)).join(hot, "_bucket", "left")
-              .withColumn("salt", F.pmod(F.xxhash64("v"), F.coalesce("_salts", F.lit(1)))))
+    hot = F.broadcast(skew.hot_keys(many, ["k"], 16, 10))
+    salted = many.join(hot, "k", "left").withColumn(
+        "salt", F.pmod(F.xxhash64("v"), F.coalesce("_salts", F.lit(1))))
     counts = [r["count"] for r in salted.filter("k = 1").groupBy("salt").count().collect()]
-    assert len(counts) > 1 and max(counts) < 400
+    assert len(counts) > 20 and max(counts) < 40
+
+
+def test_limit_does_not_grow_with_the_table(spark):
+    """Ten keys with a tenth of the rows each are as hot in a long table as in a short one."""
+    for copies in (20, 400):
+        rows = spark.range(10 * copies).selectExpr("id % 10 AS k")
+        found = [r["_salts"] for r in skew.hot_keys(rows, ["k"], 2, 10).collect()]
+        assert found == [copies // 10] * 10
 
 
 def test_small_data_needs_no_salts(sides):
-    assert skew.hot_buckets(sides[0], ["k"]).count() == 0
+    assert skew.hot_keys(sides[0], ["k"]).count() == 0
 
 
 def test_counts_may_come_from_another_frame(sides, rows):

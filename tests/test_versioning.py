@@ -57,3 +57,10 @@ def test_a_later_insert_survives_a_delete(spark, rows):
     assert rows(v.apply_changes(base, log, ["id"], "at"), "city") == [("Turin",)]
     before = v.apply_changes(base, log.filter("_position < 7"), ["id"], "at")
     assert rows(before) == []
+
+
+def test_maps_break_ties(spark):
+    rows = [(1, {"b": "1", "a": "2"}), (1, {"a": "1", "b": "9"})]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "k INT, m MAP<STRING, STRING>")
+        assert v.drop_duplicates(df, ["k"]).first().m == {"a": "1", "b": "9"}
