@@ -22,16 +22,28 @@ def pick(df: DataFrame, **wanted: str) -> DataFrame:
     return numbered.select(*[F.col(f"c{i}").alias(new) for new, i in places.items()])
 
 
+#: Rows that a Python worker gets at a time; texts are long, and Spark's 10,000 of them are not small.
+BATCH_ROWS = 1000
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """The frame, with its session set to hand few rows at a time to Python workers."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df
+
+
 def documents(df: DataFrame) -> DataFrame:
     """The id, as a long, and the text."""
-    return pick(df, doc_id="doc_id", text="text").withColumn("doc_id", F.col("doc_id").cast("long"))
+    return pick(in_small_batches(df), doc_id="doc_id", text="text").withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def chunks(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
-    """The batches in slices of few rows, so that working arrays stay small."""
+    """The batches in slices of few rows, so that working arrays stay small. At the end, memory that
+    Arrow keeps for later goes back, as the worker may serve other stages next."""
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+    pa.default_memory_pool().release_unused()
 
 
 def columns(batch: pa.RecordBatch, *names: str) -> list[list]:

@@ -45,9 +45,9 @@ LEAST_BAND = 16
 #: The counted shingles that every task knows: the most frequent, with a count of at least so many.
 FREQUENT, LEAST_COUNT = 1 << 17, 8
 #: A task counts so many shingles at a time and reports those that it sees in so many documents.
-COUNTED_AT_ONCE, REPORTED = 4_000_000, 2
+COUNTED_AT_ONCE, REPORTED = 2_000_000, 2
 #: Entries that a task gathers before it sends them, and that a task is meant to receive.
-SENT_AT_ONCE, RECEIVED = 2_000_000, 1_000_000
+SENT_AT_ONCE, RECEIVED = 1_000_000, 500_000
 #: A comparison is taken to cost as much as so many entries.
 COMPARISON_COST = 4.0
 #: Comparisons with one set that a task makes.

@@ -21,6 +21,7 @@ task sees all pieces of a length.
 from __future__ import annotations
 
 import base64
+import json
 from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
@@ -37,7 +38,7 @@ CAPACITY = 1024
 #: Complements over all tasks may leave up to this part of a sequence free before best fit.
 SLACK_SHARE = 32
 #: A task looks for complements among so many pieces at a time.
-BLOCK = 8192
+BLOCK = 4096
 END_ID = 2
 
 
@@ -51,14 +52,14 @@ class Encoder:
 
     def __init__(self, path: str, pattern: str) -> None:
         import tiktoken
-        from tokenizers import Tokenizer
 
+        self.path, self.exact = path, None
+        with open(path, encoding="utf-8") as file:
+            self.special = [t["content"] for t in json.load(file)["added_tokens"]]
         with open(path.removesuffix(".json") + ".tiktoken", "rb") as file:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
         self.fast = tiktoken.Encoding("bytes", pat_str=pattern, mergeable_ranks=ranks,
                                       special_tokens={})
-        self.exact = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.exact.get_added_tokens_decoder().values()]
 
     def __call__(self, text: str) -> np.ndarray:
         if not any(s in text for s in self.special):
@@ -67,6 +68,10 @@ class Encoder:
             except BaseException as refused:  # a panic of the library is no Exception
                 if isinstance(refused, (KeyboardInterrupt, SystemExit, MemoryError)):
                     raise
+        if self.exact is None:
+            from tokenizers import Tokenizer
+
+            self.exact = Tokenizer.from_file(self.path)
         return np.array(self.exact.encode(text, add_special_tokens=False).ids, np.uint32)
 
 

@@ -21,7 +21,8 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from eventmart.llm.common import arrow_schema, chunks, columns, documents, record_batch
+from eventmart.llm.common import (
+    arrow_schema, chunks, columns, documents, in_small_batches, record_batch)
 
 DIGITS = frozenset(string.digits)
 LOCAL = frozenset(string.ascii_letters + string.digits + "._%+-")
@@ -254,5 +255,5 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
                      for t in batch.column(place).to_pylist()]
             yield batch.set_column(place, batch.schema.field(place), pa.array(texts, pa.string()))
 
-    return docs.mapInArrow(cleaned, schema)
+    return in_small_batches(docs).mapInArrow(cleaned, schema)
 

@@ -16,7 +16,8 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
-from eventmart.llm.common import arrow_schema, chunks, columns, documents, record_batch
+from eventmart.llm.common import (
+    arrow_schema, chunks, columns, documents, in_small_batches, record_batch)
 
 #: Bytes of text from which a band holds; lowest and highest ratio allowed there. Clean text of
 #: the test tables stays at least a tenth away from both limits.
@@ -126,4 +127,4 @@ def keep(docs: DataFrame, text: str = "text",
             kept = [judge(t or "", press, bands)[6] for t in batch.column(place).to_pylist()]
             yield batch.filter(pa.array(kept, pa.bool_()))
 
-    return docs.mapInArrow(passed, docs.schema)
+    return in_small_batches(docs).mapInArrow(passed, docs.schema)
