@@ -93,6 +93,34 @@ def csv_round_trip(spark, sf_dir):
     return plain(tables.read_table(spark, root, USER_EVENTS))
 
 
+def users_from_csv(spark, sf_dir):
+    """Users staged as CSV, read with their declared schema and loaded."""
+    path = run_dir(spark, "users-csv")
+    files.stage_csv(data.users(spark, sf_dir).select(*[
+        F.col(n).cast("string").alias(n) for n in USERS_FILE.fieldNames()]), path)
+    return plain(enrich.load_users(files.read_users(spark, path), "2024-01-01 00:00:00"))
+
+
+def appended_csv(spark, sf_dir):
+    """Typed events as two CSV folders, by the number of their user, added to a table one after the
+    other; the second is added twice under one label."""
+    root = run_dir(spark, "append")
+    house = jobs.Warehouse(spark, root)
+    rows = data.events(spark, sf_dir).select(*EVENTS_FILE.fieldNames())
+    for rest in (0, 1, 1):
+        files.stage_csv(rows.where(F.col("user_id") % 2 == rest), f"{root}/csv-{rest}")
+        jobs.load_csv(house, f"{root}/csv-{rest}", USER_EVENTS, f"part-{rest}")
+    return plain(tables.read_table(spark, root, USER_EVENTS))
+
+
+def sessions_by_bloom_filter(spark, sf_dir):
+    """Stored events of every hundredth session, a column with Bloom filters off the sort order."""
+    root = run_dir(spark, "bloom")
+    tables.write_batch(data.enriched(spark, sf_dir), root, EVENTS_ENRICHED, "all")
+    stored = tables.read_table(spark, root, EVENTS_ENRICHED)
+    return plain(stored.where(F.col("session_id").like("s-%00")))
+
+
 def expected_source_rows(spark, sf_dir):
     path = run_dir(spark, "source")
     files.stage_csv(_text_rows(spark, sf_dir), path)
@@ -451,6 +479,22 @@ def stream_two_runs(spark, sf_dir):
     return plain(house.events())
 
 
+def change_log_dead_letters(spark, sf_dir):
+    """Errors of the users change stream. Messages of user numbers that end in 3 have a broken
+    number, of those that end in 7 a broken time."""
+    sent = data.changes(spark, sf_dir).select(
+        F.lit("k").alias("key"), F.to_json(F.struct(
+            F.when(F.col("user_id") % 10 == 3, F.concat(F.lit("u"), "user_id")).otherwise(
+                F.col("user_id").cast("string")).alias("user_id"),
+            F.date_format("signup_date", "yyyy-MM-dd").alias("signup_date"), "city", "device_type",
+            F.when(F.col("user_id") % 10 == 7, "soon").otherwise(
+                F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss")).alias("updated_at"),
+            F.col("_deleted").cast("string").alias("__deleted"))).alias("value"),
+        F.lit("users").alias("topic"), F.lit(0).alias("partition"),
+        F.col("user_id").alias("offset"), F.lit(None).cast("timestamp").alias("timestamp"))
+    return records.change_dead_letters(sent).select("offset", "error")
+
+
 def stored_user_changes(spark, sf_dir):
     """Users read through a stored change log."""
     root = run_dir(spark, "changes")
@@ -461,7 +505,8 @@ def stored_user_changes(spark, sf_dir):
 
 _GROUPS: Sequence[Query] = (
     typed_events, enriched_events, loaded_users, published_messages, csv_round_trip,
-    expected_source_rows, stored_events_in_range,
+    expected_source_rows, users_from_csv, appended_csv, sessions_by_bloom_filter,
+    stored_events_in_range,
     order_split_counts, order_pricing, product_orders_all, orders_latest_version,
     fact_purchases, fact_purchases_all_matches, reconcile_missing, late_order_cycle,
     users_after_changes,
@@ -476,7 +521,7 @@ _GROUPS: Sequence[Query] = (
     field_drift,
     dead_letters, parsed_events, stream_enriched, stream_agg_daily, stream_facts,
     stream_raw_sink, raw_sink_dead_letters, consumer_totals, stream_two_runs,
-    stored_user_changes,
+    stored_user_changes, change_log_dead_letters,
 )
 
 QUERIES: dict[str, Query] = {query.__name__: query for query in _GROUPS}

@@ -406,6 +406,14 @@ _BODIES = {
         max(kafka_offset) AS last_offset FROM message_rows GROUP BY ALL""",
     "stored_user_changes": _CHANGED_USERS,
 }
+_BODIES["users_from_csv"] = _BODIES["loaded_users"]
+_BODIES["appended_csv"] = _BODIES["csv_round_trip"]
+_BODIES["sessions_by_bloom_filter"] = (
+    _BODIES["enriched_events"] + " WHERE session_id LIKE 's-%00'")
+_BODIES["change_log_dead_letters"] = """SELECT user_id AS "offset",
+    CASE user_id % 10 WHEN 3 THEN 'user_id: u' || user_id ELSE 'updated_at: soon' END AS error
+    FROM all_people WHERE user_id % 10 IN (3, 7) AND (
+        c_acctbal < 0 OR c_mktsegment IN ('BUILDING', 'MACHINERY'))"""
 _BODIES["raw_sink_dead_letters"] = _BODIES["dead_letters"]
 _BODIES["stream_two_runs"] = _BODIES["stream_enriched"]
 
