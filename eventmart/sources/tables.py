@@ -7,6 +7,7 @@ skipped by their statistics.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -18,7 +19,6 @@ from eventmart.functions.times import month_number
 from eventmart.operators.governance import erased, retained
 from eventmart.operators.versioning import latest_version
 from eventmart.schemas import Table
-from eventmart.session import run_dir
 
 BATCH, MONTH = "batch", "yyyymm"
 BLOOM_FPP = "0.01"
@@ -131,50 +131,96 @@ def truncate(spark: SparkSession, root: str, tables: Iterable[Table]) -> None:
          .parquet(table_path(root, table)))
 
 
-def _partitions(df: DataFrame, table: Table) -> list[dict]:
-    """Partition values that hold rows: a list as long as the number of folders."""
-    rows = df.select(*partition_columns(table)).distinct().collect()
-    return [row.asDict() for row in rows]
+STAGING, SWAPPING = "_rewrites", "_swapping"
 
 
-def _empty_partitions(spark: SparkSession, root: str, table: Table,
-                      partitions: Iterable[dict]) -> None:
-    empty = spark.createDataFrame([], table.schema)
-    for values in partitions:
-        folder = "/".join(f"{name}={values[name]}" for name in partition_columns(table))
-        empty.write.mode("overwrite").parquet(f"{table_path(root, table)}/{folder}")
+def _files(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and its path class."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    return hadoop.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop.Path
+
+
+def _folders(spark: SparkSession, top: str, table: Table, months: Sequence[int] | None = None) -> set[str]:
+    """Partition folders below ``top``, of some months or of all: names, without reading any file."""
+    files, path = _files(spark, top)
+    found = files.globStatus(path(f"{top}/{BATCH}=*/{MONTH}=*")) or []
+    names = {f"{f.getPath().getParent().getName()}/{f.getPath().getName()}" for f in found}
+    return {n for n in names if months is None or int(n.rpartition("=")[2]) in months}
+
+
+def _delete(spark: SparkSession, folders: Iterable[str]) -> None:
+    for folder in folders:
+        files, path = _files(spark, folder)
+        files.delete(path(folder), True)
+
+
+def finish_rewrites(spark: SparkSession, root: str, table: Table) -> int:
+    """Complete the rewrites of a table that were cut off; returns how many.
+
+    One whose staged rows are whole is carried through; one that was still being staged has
+    changed nothing and is dropped.
+    """
+    top = f"{root}/{STAGING}/{table.name}"
+    files, path = _files(spark, top)
+    finished = 0
+    for status in (files.globStatus(path(f"{top}/*")) or []):
+        staged = f"{top}/{status.getPath().getName()}"
+        if files.exists(path(f"{staged}/_SUCCESS")):
+            _swap(spark, root, table, staged)
+            finished += 1
+        _delete(spark, [staged])
+    return finished
+
+
+def _swap(spark: SparkSession, root: str, table: Table, staged: str) -> None:
+    """Move staged folders to their places and delete those that have no rows left. The mark says that
+    the deletions are done, as moved folders are not staged any more."""
+    target = table_path(root, table)
+    files, path = _files(spark, staged)
+    months = [int(m) for m in staged.rpartition("months-")[2].split("-")]
+    if not files.exists(path(f"{staged}/{SWAPPING}")):
+        gone = _folders(spark, target, table, months) - _folders(spark, staged, table)
+        _delete(spark, [f"{target}/{name}" for name in gone])
+        files.create(path(f"{staged}/{SWAPPING}")).close()
+    for name in sorted(_folders(spark, staged, table)):
+        _delete(spark, [f"{target}/{name}"])
+        files.mkdirs(path(f"{target}/{name}").getParent())
+        if not files.rename(path(f"{staged}/{name}"), path(f"{target}/{name}")):
+            raise OSError(f"cannot move {staged}/{name} to {target}")
+    spark.catalog.refreshByPath(target)
 
 
 def rewrite_months(spark: SparkSession, root: str, table: Table, months: Sequence[int],
                    change: Callable[[DataFrame], DataFrame]) -> None:
     """Replace the rows of some months by ``change`` of them; other months are not read.
 
-    The result is staged as a table of its own first. Partitions are then replaced one by one
-    (dynamic overwrite), and those left without rows are emptied.
+    The result is staged below the root first. Its folders then take the old ones' places, folders
+    without rows are deleted, and the staging goes. A rewrite that is cut off anywhere is
+    completed by ``finish_rewrites`` or the next rewrite of the table.
     """
+    finish_rewrites(spark, root, table)
     if not months:
         return
     before = read_stored(spark, root, table).filter(F.col(MONTH).isin(*months))
-    staged = run_dir(spark, f"rewrite-{table.name}")
-    change(before).write.parquet(staged)
-    after = spark.read.schema(_stored_schema(table)).parquet(staged)
-    kept = _partitions(after, table)
-    gone = [p for p in _partitions(before, table) if p not in kept]
-    (after.hint("rebalance", *partition_columns(table))
+    name = f"{uuid.uuid4().hex}-months-{'-'.join(str(m) for m in sorted(months))}"
+    staged = f"{root}/{STAGING}/{table.name}/{name}"
+    (change(before).hint("rebalance", *partition_columns(table))
      .sortWithinPartitions(*partition_columns(table), *table.sort)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .options(**bloom_options(table.bloom))
-     .partitionBy(*partition_columns(table)).parquet(table_path(root, table)))
-    _empty_partitions(spark, root, table, gone)
+     .write.options(**bloom_options(table.bloom)).partitionBy(*partition_columns(table)).parquet(staged))
+    _swap(spark, root, table, staged)
+    _delete(spark, [staged])
 
 
 def drop_expired(spark: SparkSession, root: str, table: Table, as_of: str,
                  months: int = 18) -> None:
-    """Apply the retention period: older months are emptied, the month it cuts is rewritten."""
+    """Apply the retention period: folders of older months are deleted, the month it cuts is
+    rewritten."""
     edge = spark.range(1).select(month_number(
         F.add_months(F.lit(as_of).cast("timestamp"), -months))).first()[0]
-    old = read_stored(spark, root, table).filter(F.col(MONTH) < edge)
-    _empty_partitions(spark, root, table, _partitions(old, table))
+    target = table_path(root, table)
+    _delete(spark, [f"{target}/{name}" for name in _folders(spark, target, table)
+                    if int(name.rpartition("=")[2]) < edge])
+    spark.catalog.refreshByPath(target)
     rewrite_months(spark, root, table, [edge],
                    lambda df: retained(df, as_of, months, table.month_of))
 

@@ -1,4 +1,5 @@
 import glob
+from pathlib import Path
 from datetime import datetime
 
 import helpers as h
@@ -190,3 +191,38 @@ def test_raw_table_without_months(spark, rows, root):
     tables.write_batch(raw, root, USER_EVENTS, "1")
     out = tables.read_table(spark, root, USER_EVENTS)
     assert rows(out) == rows(raw) and out.first().event_time > datetime(2025, 1, 1)
+
+
+@pytest.mark.parametrize("calls", range(1, 9))
+def test_rewrite_that_stops_anywhere_is_finished(spark, rows, root, monkeypatch, calls):
+    """Whatever step fails, finishing leaves all rows of the user erased, or none of them."""
+    tables.write_batch(h.events(spark, *MONTHS), root, EVENTS_ENRICHED, "1")
+    tables.write_batch(h.events(spark, *MONTHS), root, EVENTS_ENRICHED, "2")
+    ids = spark.createDataFrame([(2,)], "user_id BIGINT")
+    delete, left = tables._delete, [calls]
+
+    def failing(session, folders):
+        for folder in folders:
+            left[0] -= 1
+            if not left[0]:
+                raise OSError("stopped")
+            delete(session, [folder])
+
+    monkeypatch.setattr(tables, "_delete", failing)
+    try:
+        tables.erase_subjects(spark, root, EVENTS_ENRICHED, ids)
+    except OSError:
+        pass
+    monkeypatch.setattr(tables, "_delete", delete)
+    tables.finish_rewrites(spark, root, EVENTS_ENRICHED)
+    assert rows(tables.read_table(spark, root, EVENTS_ENRICHED), "user_id") == [(1,), (1,), (3,), (3,)]
+    assert not glob.glob(f"{root}/_rewrites/*/*")
+
+
+def test_rewrite_that_was_not_staged_changes_nothing(spark, rows, root):
+    tables.write_batch(h.events(spark, *MONTHS), root, EVENTS_ENRICHED, "1")
+    before = rows(tables.read_table(spark, root, EVENTS_ENRICHED))
+    spark.range(1).write.parquet(f"{root}/_rewrites/events_enriched/x-months-202510")
+    Path(f"{root}/_rewrites/events_enriched/x-months-202510/_SUCCESS").unlink()
+    assert tables.finish_rewrites(spark, root, EVENTS_ENRICHED) == 0
+    assert rows(tables.read_table(spark, root, EVENTS_ENRICHED)) == before
