@@ -249,7 +249,8 @@ def meeting_points(docs: DataFrame, scheme: Scheme, total: int) -> DataFrame:
 
     Tasks send their entries packed, split by value; of equal sets a task sends one.
     """
-    parts = max(1, -(-total // (2 * RECEIVED)))
+    tasks = max(1, -(-total // (2 * RECEIVED)))
+    parts = 4 * tasks  # several to a task, so that hashing deals them evenly
     sent = "part int, data binary"
     sent_schema, out = arrow_schema(sent), arrow_schema(MET)
 
@@ -317,7 +318,7 @@ def meeting_points(docs: DataFrame, scheme: Scheme, total: int) -> DataFrame:
                 [pa.array(value[i:i + 100_000]), pa.array(owner[i:i + 100_000]),
                  pa.array(np.zeros(len(value[i:i + 100_000]), bool))], schema=out)
 
-    return documents(docs).mapInArrow(send, sent).repartition(parts, "part").mapInArrow(meet, MET)
+    return documents(docs).mapInArrow(send, sent).repartition(tasks, "part").mapInArrow(meet, MET)
 
 
 def sizes_allow(a: str, b: str) -> Column:
@@ -468,7 +469,10 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     """
     counts = staged(counted_sets(docs), "counts")
     rows = counts.where("kind = 0").select(F.col("id").alias("doc_id"), "n", "key")
-    first = rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("first"))
+    # Written by itself, so that the join shuffles both sides and may split a set with many copies.
+    first = staged(rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("key").agg(
+        F.min("doc_id").alias("first"), F.count("*").alias("copies")).where("copies > 1").drop("copies"),
+        "copies")
     named = staged(rows.join(first, "key", "left").select(
         "doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.coalesce("first", "doc_id")).alias("first")),
         "named")
