@@ -262,11 +262,13 @@ def first_events(spark, sf_dir):
 
 
 def backfill_window(spark, sf_dir):
+    """One window of days from the landed events, where some were lost and some came twice."""
     return plain(backfill.enrich_window(data.landed_events(spark, sf_dir),
                                         data.users(spark, sf_dir), *WINDOW))
 
 
 def backfill_counts(spark, sf_dir):
+    """What a dry run of the same window reports."""
     found = data.landed_events(spark, sf_dir)
     return backfill.window_counts(found, backfill.enrich_window(
         found, data.users(spark, sf_dir), *WINDOW))
@@ -348,18 +350,22 @@ def _checks(spark: SparkSession, sf_dir: str):
 
 
 def dq_report(spark, sf_dir):
+    """The ten checks on landed events, whose lost and doubled messages they have to find."""
     return quality.report(_checks(spark, sf_dir))
 
 
 def dq_gate(spark, sf_dir):
+    """The gate over the same report."""
     return quality.gate(dq_report(spark, sf_dir))
 
 
 def duplicate_count(spark, sf_dir):
+    """Doubled messages among the landed events."""
     return quality.duplicate_count(data.landed(spark, sf_dir))
 
 
 def offset_ranges(spark, sf_dir):
+    """Expected and landed offsets; lost messages show as their difference."""
     return monitoring.offset_ranges(data.landed(spark, sf_dir))
 
 
@@ -369,14 +375,17 @@ def ingest_lag(spark, sf_dir):
 
 
 def consumer_progress(spark, sf_dir):
+    """Messages that landed, by partition."""
     return monitoring.partition_progress(data.landed_events(spark, sf_dir))
 
 
 def offset_gaps(spark, sf_dir):
+    """The offsets of lost messages."""
     return monitoring.missing_offsets(data.landed_events(spark, sf_dir))
 
 
 def partition_lag(spark, sf_dir):
+    """A consumer that stopped on 2024-01-29, which the check has to find, against all events."""
     source = data.events(spark, sf_dir)
     latest = source.groupBy("kafka_partition").agg(F.max("kafka_offset").alias("latest_offset"))
     behind = source.filter(F.col("event_time") < moment("2024-01-29 00:00:00"))
@@ -388,11 +397,13 @@ def hourly_anomaly(spark, sf_dir):
 
 
 def daily_gap_counts(spark, sf_dir):
+    """Events sent against events landed, by day."""
     return monitoring.daily_gaps(monitoring.daily_counts(data.events(spark, sf_dir)),
                                  monitoring.daily_counts(data.landed_events(spark, sf_dir)))
 
 
 def purchases_without_fact(spark, sf_dir):
+    """Purchases whose order was late when facts were made."""
     missing = purchases.purchases_without_fact(data.enriched(spark, sf_dir),
                                                data.facts(spark, sf_dir, late=False))
     return plain(missing)
@@ -415,11 +426,12 @@ def parsed_events(spark, sf_dir):
     return plain(records.good_events(parsed))
 
 
-def _record_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return data.messages(data.events_from(data.event_stream(spark, sf_dir)))
+def _record_stream(spark: SparkSession, sf_dir: str, batches: int = 1) -> DataFrame:
+    return data.messages(data.events_from(data.event_stream(spark, sf_dir, batches)))
 
 
-def _live(spark: SparkSession, sf_dir: str, with_facts: bool = False) -> jobs.Warehouse:
+def _live(spark: SparkSession, sf_dir: str, with_facts: bool = False,
+          batches: int = 1) -> jobs.Warehouse:
     """A warehouse filled by the live pipeline from the event stream."""
     house = jobs.Warehouse(spark, run_dir(spark, "live"))
     pipeline = live.LivePipeline(house.root, live.Refreshed(lambda: data.users(spark, sf_dir)),
@@ -428,7 +440,7 @@ def _live(spark: SparkSession, sf_dir: str, with_facts: bool = False) -> jobs.Wa
         product = data.product_tables(spark, sf_dir, late=False)
         pipeline.products = lambda: product
         pipeline.financials = lambda: data.financials(spark, sf_dir)
-    query = pipeline.start(_record_stream(spark, sf_dir), run_dir(spark, "checkpoint"))
+    query = pipeline.start(_record_stream(spark, sf_dir, batches), run_dir(spark, "checkpoint"))
     live.wait(query, 1800)
     return house
 
@@ -438,11 +450,13 @@ def stream_enriched(spark, sf_dir):
 
 
 def stream_agg_daily(spark, sf_dir):
-    return _live(spark, sf_dir).daily()
+    """Daily metrics merged from the states of three micro-batches."""
+    return _live(spark, sf_dir, batches=3).daily()
 
 
 def stream_facts(spark, sf_dir):
-    return plain(_live(spark, sf_dir, with_facts=True).facts())
+    """Facts of purchases that come in three micro-batches."""
+    return plain(_live(spark, sf_dir, with_facts=True, batches=3).facts())
 
 
 def _raw_sink(spark: SparkSession, sf_dir: str) -> str:

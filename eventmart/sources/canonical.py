@@ -25,6 +25,7 @@ from eventmart.operators.orders import (
     financial_rows, order_keys, orders_from_purchases, product_orders_all, split_by_line)
 from eventmart.operators.purchases import denormalize
 from eventmart.schemas import PRODUCT_TABLES
+from eventmart.session import run_dir
 
 PARTITIONS = 4
 
@@ -58,8 +59,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.readStream.schema(_SCHEMAS["events"]).parquet(f"{sf_dir}/events*.parquet")
+def event_stream(spark: SparkSession, sf_dir: str, batches: int = 1) -> DataFrame:
+    """The events as a stream; for several micro-batches they are dealt to as many files first, by
+    event, so that days and users are spread over all of them."""
+    reader = spark.readStream.schema(_SCHEMAS["events"])
+    if batches == 1:
+        return reader.parquet(f"{sf_dir}/events*.parquet")
+    folder = run_dir(spark, "event-stream")
+    table(spark, sf_dir, "events").repartition(batches, "event_id").write.parquet(folder)
+    return reader.option("maxFilesPerTrigger", 1).parquet(folder)
 
 
 def pick(values: tuple, index: str) -> str:
