@@ -51,7 +51,7 @@ SENT_AT_ONCE, RECEIVED = 1_000_000, 500_000
 #: A comparison is taken to cost as much as so many entries.
 COMPARISON_COST = 4.0
 #: Comparisons with one set that a task makes.
-GROUP_ROWS = 2000
+GROUP_ROWS = 256
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 #: The schemes of sets with too few segments, and of single shingles of sets that use frequent ones.
 LEFT_OVER, SINGLE = 99, 98
