@@ -5,10 +5,16 @@ The whole text and each chunk of 4 KiB are compressed on their own. A ratio (byt
 bytes after) is held against limits of the band of lengths it falls in, because short text
 shrinks less. A text is kept if its whole ratio is within its limits and at most a quarter of
 its chunks are outside of theirs. Plain counts of words, symbols and repeats come with it.
+
+The limits were set from Latin script. UTF-8 spends two or three bytes, the first of them nearly
+constant, on letters of other scripts, and these bytes shrink to nothing. There one symbol per
+letter is judged instead (``recoded``); the ratio that is shown is that of UTF-8.
 """
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 
@@ -19,7 +25,7 @@ from pyspark.sql import DataFrame
 from eventmart.llm.common import (
     arrow_schema, chunks, columns, documents, in_small_batches, record_batch)
 
-#: Bytes of text from which a band holds; lowest and highest ratio allowed there. Clean text of
+#: Symbols of text from which a band holds; lowest and highest ratio allowed there. Clean text of
 #: the test tables stays at least a tenth away from both limits.
 BANDS: tuple[tuple[int, float, float], ...] = (
     (0, 0.5, 1.2), (64, 0.75, 1.45), (128, 0.9, 1.8), (256, 1.1, 2.0), (512, 1.25, 2.25),
@@ -31,6 +37,11 @@ CHUNK_BYTES = 4096
 LEAST_CHUNK_BYTES = 1024
 BAD_CHUNK_SHARE = 0.25
 LEVEL = 3
+#: The bytes that letters beyond Latin ones take, in this order, as far as a text leaves them free;
+#: from IDEOGRAPHS and from RARE on, 32 bytes each lead a pair.
+LATIN, BEYOND_LATIN = "\u017f", re.compile("[^\x00-\u017f]")
+IDEOGRAPHS, RARE = 192, 224
+PLACES = sorted(map(chr, range(IDEOGRAPHS)), key=lambda c: (not "a" <= c <= "z", not "A" <= c <= "Z", c))
 SYMBOLS = "#*$%&|<>"
 WHITE_SPACE = " \t\n\v\f\r"
 WINDOW = 5
@@ -61,13 +72,54 @@ def repeated_lines(text: str) -> int:
 
 
 def split_chunks(raw: bytes, size: int = CHUNK_BYTES, least: int = LEAST_CHUNK_BYTES) -> list[bytes]:
+    """Pieces of about ``size`` bytes of UTF-8; one that would begin inside a letter begins behind it."""
     starts = list(range(0, len(raw), size)) or [0]
     if len(starts) > 1 and len(raw) - starts[-1] < least:
         starts.pop()
+    for i, a in enumerate(starts):
+        while a < len(raw) and raw[a] & 0xC0 == 0x80:
+            a += 1
+        starts[i] = a
     found = [raw[a:b] for a, b in zip(starts, [*starts[1:], len(raw)], strict=True)]
     return [piece for piece in found if piece]
 
 
+def recoded(text: str) -> bytes:
+    """The text with one symbol, a byte, for each letter of scripts other than Latin.
+
+    Latin letters stay as they are in UTF-8, which the limits were set from. Others take free bytes in
+    order of first appearance, letters before signs, so a one-to-one change of letters changes next
+    to nothing. Syllables of Hangul are taken apart into letters, and ideographs, which tell about as
+    much as two letters, are two symbols. When a text has more letters than bytes are free, the later
+    ones are two as well.
+    """
+    if not BEYOND_LATIN.search(text):
+        return text.encode()
+    seen = dict.fromkeys(text)
+    free = (c for c in PLACES if c >= "\x80" or c not in seen)
+    letters: dict[str, str] = {}
+    codes: dict[int, str] = {}
+    n_ideographs = n_rare = 0
+    for c in seen:
+        if c <= LATIN:
+            codes[ord(c)] = c.encode().decode("latin-1")
+            continue
+        if "\u3400" <= c <= "\u9fff" or "\uf900" <= c <= "\ufaff" or "\U00020000" <= c <= "\U0003ffff":
+            codes[ord(c)] = chr(IDEOGRAPHS + (n_ideographs >> 8) % 32) + chr(n_ideographs & 255)
+            n_ideographs += 1
+            continue
+        parts = unicodedata.normalize("NFD", c) if "\uac00" <= c <= "\ud7a3" else c
+        for x in parts:
+            if x not in letters:
+                place = next(free, None)
+                if place is None:
+                    place = chr(RARE + (n_rare >> 8) % 32) + chr(n_rare & 255)
+                    n_rare += 1
+                letters[x] = place
+        codes[ord(c)] = "".join(letters[x] for x in parts)
+    return text.translate(codes).encode("latin-1")
+
+
 def within(n_bytes: int, ratio: float, bands: Sequence[tuple[int, float, float]]) -> bool:
     low, high = next((a, b) for start, a, b in reversed(bands) if n_bytes >= start)
     return low <= ratio <= high
@@ -82,17 +134,21 @@ def judge(text: str, press: zstandard.ZstdCompressor,
     def ratio(piece: bytes) -> float:
         return len(piece) / len(press.compress(piece)) if piece else 0.0
 
+    def fits(piece: str) -> bool:
+        symbols = recoded(piece)
+        return within(len(symbols), ratio(symbols), bands)
+
     raw = text.encode()
     words = raw.split()
     repeats = repeated_words(words)
     failed = len(words) < 10 or 100 * repeats > 20 * len(words)
     pieces = split_chunks(raw)
-    whole = ratio(raw)
-    bad = sum(not within(len(p), whole if len(pieces) == 1 else ratio(p), bands) for p in pieces)
-    kept = (not failed and within(len(raw), whole, bands)
-            and bad <= BAD_CHUNK_SHARE * len(pieces))
+    fit = fits(text)
+    bad = int(bool(pieces) and not fit) if len(pieces) < 2 else sum(
+        not fits(p.decode()) for p in pieces)
+    kept = not failed and fit and bad <= BAD_CHUNK_SHARE * len(pieces)
     return (len(words), len(text) - sum(map(text.count, WHITE_SPACE)),
-            sum(map(text.count, SYMBOLS)), repeated_lines(text), repeats, failed, kept, whole,
+            sum(map(text.count, SYMBOLS)), repeated_lines(text), repeats, failed, kept, ratio(raw),
             len(pieces), bad)
 
 

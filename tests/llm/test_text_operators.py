@@ -75,6 +75,24 @@ def test_compression_bands():
     assert [len(c) for c in quality_rules.split_chunks(b"x" * 9000)] == [4096, 4904]
 
 
+def test_compression_bands_of_other_scripts():
+    press, rng = zstandard.ZstdCompressor(level=3), random.Random(3)
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 9))) for _ in range(900)]
+    texts = [" ".join(rng.choice(words) for _ in range(n)) for n in (30, 100, 300, 600, 3000)]
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    for first in (0x3B1, 0x430, 0x5D0, 0x905, 0xE01):  # Greek, Cyrillic, Hebrew, Devanagari, Thai
+        other = str.maketrans(letters, "".join(chr(first + i) for i in range(26)))
+        for text in texts:
+            assert quality_rules.judge(text, press)[6] and quality_rules.judge(text.translate(other), press)[6]
+        assert not quality_rules.judge("same line here. ".translate(other) * 300, press)[6]
+        even = " ".join("".join(chr(first + rng.randrange(26)) for _ in range(70)) for _ in range(60))
+        assert not quality_rules.judge(even + " " + texts[0], press)[6]
+    assert quality_rules.recoded("naïve я") == "naïve b".encode()
+    assert [len(quality_rules.recoded(x)) for x in ("한글", "漢字")] == [6, 4]
+    assert [len(c) for c in quality_rules.split_chunks("я".encode() * 4500)] == [4096, 4904]
+    assert [len(c) for c in quality_rules.split_chunks("a".encode() + "я".encode() * 4500)] == [4097, 4904]
+
+
 def test_keep_returns_the_rows(spark):
     docs = spark.createDataFrame([(1, "one two " * 40, "s"), (2, None, "s"), (3, "a b", "s")],
                                  "doc_id long, text string, source string")
