@@ -4,7 +4,7 @@ A word enters as the sum of a vector of its own (hashed) and the mean of the vec
 trigrams and its first and last four characters (hashed as well), so unseen words with a known
 stem still carry meaning. Gated recurrent units read a window of words in both directions, attention
 pools their states, and a logistic unit scores the pool. A text's score is that of its highest
-window; windows of 24 words overlap by 8, so every stretch of 8 words lies whole in some window.
+window; windows of 24 words overlap by half, so every stretch of 13 words lies whole in some window.
 
 Training sees whole labelled texts: of a toxic text the highest window, of a clean text its highest
 windows are what the loss looks at. The word part of the input projections is computed once per
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from eventmart.llm.common import arrow_schema, chunks, columns, documents, pick, record_batch, remainder
 
-WINDOW, STRIDE = 24, 16
+WINDOW, STRIDE = 24, 12
 WIDTH = 12
 HIDDEN = 8
 SLOTS = 1 << 13

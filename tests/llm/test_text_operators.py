@@ -178,6 +178,14 @@ def test_windows_cover_every_stretch():
     assert toxicity.starts(0) == []
 
 
+def test_windows_overlap_by_half():
+    longest = toxicity.WINDOW // 2 + 1
+    for n in range(1, 120):
+        spans = [(a, min(n, a + toxicity.WINDOW)) for a in toxicity.starts(n)]
+        for a in range(max(1, n - longest + 1)):
+            assert any(s <= a and min(n, a + longest) <= e for s, e in spans)
+
+
 def test_training_finds_the_word_and_its_stem():
     rng = random.Random(8)
     calm = ["".join(rng.choice("etaoinshrdlu") for _ in range(5)) for _ in range(60)]
