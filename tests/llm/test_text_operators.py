@@ -2,6 +2,7 @@
 
 import random
 import re
+import zlib
 
 import numpy as np
 import zstandard
@@ -200,3 +201,30 @@ def test_training_finds_the_word_and_its_stem():
     clean = " ".join(rng.choice(calm) for _ in range(200))
     found = scorer([clean, clean + " vermin", "grubberxyz " + clean, ""])
     assert found[0] < 0.5 < min(found[1:3]) and found[3] < 1e-6
+
+
+def test_long_labelled_texts_are_trained_on(spark):
+    long = "calm word " * 2000
+    docs = spark.createDataFrame([(i, f"{long} {i}") for i in range(8)] * 3 + [(9, "short one")],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 4)) for i in range(8)] + [(9, 0)], "doc_id long, toxic int")
+    held = [i for i in (*range(8), 9) if zlib.crc32(str(i).encode()) % 5 == 0]
+    found = toxicity.training_rows(docs, labels, "toxic", 5)
+    assert found == sorted(x for x, i in [*(((f"{long} {i}", int(i < 4)), i) for i in range(8)), (("short one", 0), 9)]
+                           if i not in held)
+    few = toxicity.training_rows(docs, labels, "toxic", 5, rows=4)  # 4,800 words for each class
+    assert sorted(y for _, y in few if y) == [1] and len(few) <= 3
+
+
+def test_repeated_rows_do_not_travel(spark):
+    docs = spark.createDataFrame([(1, "a text"), (2, "another")] * 500, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    taken = []
+    frame = type(docs)
+    collect = frame.collect
+    frame.collect = lambda df: taken.append(collect(df)) or taken[-1]
+    try:
+        toxicity.training_rows(docs, labels, "toxic", 1 << 30)
+    finally:
+        frame.collect = collect
+    assert sum(map(len, taken)) == 4
