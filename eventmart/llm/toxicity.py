@@ -28,8 +28,7 @@ WINDOW, STRIDE = 24, 12
 WIDTH = 12
 HIDDEN = 8
 SLOTS = 1 << 13
-#: Labelled texts used for training: at most so many of each class, with at most so many words on
-#: average; a single text may be longer.
+#: Labelled texts used for training: at most so many of each class, of at most so many words.
 TRAIN_ROWS = 2000
 TRAIN_WORDS = 1200
 #: Passes over them: first every window takes its text's label, then the highest windows only.
@@ -333,28 +332,23 @@ SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, parts: int,
                   rows: int = TRAIN_ROWS) -> list[tuple[str, int]]:
-    """Texts and labels of at most ``rows`` documents of each class, those with the lowest hashes of
-    their ids, whatever their length.
-
-    Together the texts of a class have at most ``rows`` times TRAIN_WORDS words; one that would
-    exceed this makes room for those behind it. Documents are chosen by id, length and a hash of the
-    text, so only chosen texts travel, and of repeated rows one.
+    """Texts and labels of at most ``rows`` documents of each class, of at most TRAIN_WORDS
+    words, those with the lowest hashes of their ids. Documents are chosen by id, length and a hash of
+    the text, so only chosen texts travel, and of repeated rows one.
     """
     told = pick(labels, doc_id="doc_id", label=label).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("label")
     ).where("doc_id IS NOT NULL AND label IN (0, 1)").where(
         remainder("doc_id", parts) != 0).dropDuplicates()
     texts = documents(docs).where("text <> ''").withColumn("h", F.xxhash64("text"))
-    sized = texts.select("doc_id", "h", F.size(F.split("text", r"\s+")).alias("words")).join(
+    sized = texts.select("doc_id", "h", F.size(F.split("text", r"\s+")).alias("words")).where(
+        F.col("words") <= TRAIN_WORDS).join(
         told, "doc_id").distinct()
     order = F.xxhash64("doc_id"), "doc_id", "h"
     chosen = []
     for value in (1, 0):
-        room = rows * TRAIN_WORDS
         for r in sized.where(F.col("label") == value).orderBy(*order).limit(rows).collect():
-            if r.words <= room:
-                room -= r.words
-                chosen.append((r.doc_id, r.h, r.label))
+            chosen.append((r.doc_id, r.h, r.label))
     wanted = docs.sparkSession.createDataFrame(chosen, "doc_id long, h long, label int")
     found = texts.join(F.broadcast(wanted), ["doc_id", "h"]).dropDuplicates(
         ["doc_id", "h", "label"]).select("text", "label").collect()
@@ -366,7 +360,7 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", parts: int =
     """One row per document: held_out, score from 0 to 1, and whether it reaches the threshold.
 
     Labels of documents whose crc32(doc_id as text) leaves 0 modulo ``parts`` are never used. At
-    most TRAIN_ROWS labelled texts of each class, of TRAIN_WORDS words on average, are used for
+    most TRAIN_ROWS labelled texts of each class, of at most TRAIN_WORDS words, are used for
     training; every document is scored whole. Null ids and labels teach nothing. A null, empty or
     wordless text scores 0. Repeated rows each get a row. Without labels of both classes nothing
     is known, and scores are 0. Other columns than doc_id, text and the label are not read.
