@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm import decontamination, jaccard_join, language_id, packing, pii, quality_model, quality_rules, toxicity, url_filters, warc
+from eventmart.llm import (
+    decontamination, fill_in_middle, jaccard_join, language_id, packing, pii, quality_model, quality_rules,
+    secrets, toxicity, url_filters, warc)
 from eventmart.llm.common import table
 from eventmart.session import run_dir
 
@@ -84,9 +86,54 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.evaluate(pages, changes)
 
 
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(secrets.secret_spans(table(spark, sf_dir, "documents")))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(fill_in_middle.transform(table(spark, sf_dir, "documents")))
+
+
+def _random_sql(kind: secrets.CharacterClass) -> str:
+    """Windows of a class with enough entropy, each counted from nothing."""
+    width, run = kind.window, "lower(run)" if kind.fold else "run"
+    weights = ", ".join(str(secrets.weight(n)) for n in range(1, width + 1))
+    signs = kind.alphabet.replace("-", "\\-")
+    return f"""
+        SELECT doc_id, place, run, '{kind.kind}' AS kind, {width} AS width, i
+        FROM (SELECT doc_id, place, run, i, substr({run}, i + 1, {width}) AS part
+              FROM (SELECT *, unnest(range(length(run) - {width} + 1)) AS i FROM runs))
+        WHERE regexp_full_match(part, '[{signs}]+') AND list_sum(list_transform(
+            list_distinct(string_split(part, '')),
+            lambda c: ([{weights}])[{width} - length(replace(part, c, ''))])) <= {kind.limit}"""
+
+
+def _shape_sql(kind: str, pattern: str, group: int, least: int) -> str:
+    """Matches of a base kind; RE2 folds case beyond ASCII and has no look-behind, so both are spelt out."""
+    if kind == "assign":
+        head, tail = pattern.removeprefix("(?i:").split(")", 1)
+        pattern = "(?:" + "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in head) + ")" + tail
+    pattern = pattern.removeprefix("(?<![0-9a-f])").replace("'", "''")
+    return f"""
+        SELECT doc_id, '{kind}' AS kind,
+               CAST(list_sum(list_transform(gaps[:i], lambda g: length(g))) + coalesce(
+                 list_sum(list_transform(found[:i - 1], lambda m: length(m))), 0) AS BIGINT) AS a,
+               a + length(found[i]) AS b
+        FROM (SELECT *, unnest(range(1, len(found) + 1)) AS i
+              FROM (SELECT doc_id, string_split_regex(body, '{pattern}') AS gaps,
+                           regexp_extract_all(body, '{pattern}') AS found,
+                           regexp_extract_all(body, '{pattern}', {group}) AS parts FROM texts))
+        WHERE length(parts[i]) >= {least}"""
+
+
+_KINDS = [*secrets.BASE_KINDS, *(c.kind for c in secrets.CLASSES)]
+_ALLOWED = "|".join(f"(?:{p})" for p in secrets.ALLOWED)
+_RUN_LENGTH = min(c.window for c in secrets.CLASSES)
+
 QUERIES = {f.__name__: f for f in (
     op1_quality, op2_compression_rules, op3_toxicity, op4_language, op5_decontamination,
-    op6_personal_data, op7_jaccard_join, op8_packing, op9_warc, op10_url_filters)}
+    op6_personal_data, op7_jaccard_join, op8_packing, op9_warc, op10_url_filters,
+    op11_secrets, op13_fill_in_middle)}
 SQL = {
     "op5_decontamination": r"""
         WITH document_words AS (
@@ -182,4 +229,60 @@ SQL = {
                CASE WHEN first_id < page_id THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN first_id < page_id THEN first_id END AS refers_to
         FROM made LEFT JOIN firsts USING (payload_digest)""",
+    "op11_secrets": f"""
+        WITH texts AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS body FROM documents),
+        base AS ({" UNION ALL ".join(_shape_sql(*shape) for shape in secrets.SHAPES)}),
+        runs AS (
+            SELECT doc_id, a AS place, substr(body, a + 1, b - a) AS run
+            FROM ({_shape_sql("run", f"{secrets.RUN}{{{_RUN_LENGTH},}}", 0, 1)}) JOIN texts USING (doc_id)
+            WHERE NOT regexp_full_match(run, '{_ALLOWED}')),
+        windows AS ({" UNION ALL ".join(_random_sql(c) for c in secrets.CLASSES)}),
+        joined AS (
+            SELECT doc_id, kind, place, run, island, min(i) AS a, max(i) + any_value(width) AS b
+            FROM (SELECT *, sum(opens) OVER (PARTITION BY doc_id, kind, place ORDER BY i) AS island
+                  FROM (SELECT *, CASE WHEN i <= lag(i) OVER (
+                            PARTITION BY doc_id, kind, place ORDER BY i) + width THEN 0 ELSE 1 END AS opens
+                        FROM windows))
+            GROUP BY ALL),
+        spans AS (
+            SELECT doc_id, kind, a, b FROM base
+            UNION ALL SELECT doc_id, kind, place + a, place + b FROM joined
+            WHERE NOT regexp_full_match(substr(run, a + 1, b - a), '{_ALLOWED}')),
+        ranked AS (SELECT *, list_position({_KINDS!r}, kind) AS rank FROM spans),
+        kept AS (
+            SELECT *, kind || ':' || a || ':' || b AS entry FROM ranked x
+            WHERE kind IN {secrets.BASE_KINDS!r} OR NOT EXISTS (
+                SELECT 1 FROM ranked y WHERE y.doc_id = x.doc_id AND y.rank < x.rank
+                AND y.a <= x.a AND x.b <= y.b)),
+        texted AS (
+            SELECT doc_id, string_agg(entry, ',' ORDER BY a, rank) AS spans,
+                   string_agg(entry, ',' ORDER BY a, rank) FILTER (kind IN {secrets.BASE_KINDS!r}) AS base,
+                   {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in secrets.BASE_KINDS)}
+            FROM kept GROUP BY doc_id)
+        SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in secrets.BASE_KINDS)},
+               sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+        FROM texts LEFT JOIN texted USING (doc_id)""",
+    "op13_fill_in_middle": """
+        WITH drawn AS (
+            SELECT doc_id, coalesce(text, '') AS body, length(body) AS n,
+                   sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+                   CAST('0x' || h[1:8] AS BIGINT) % (n + 1) AS h1,
+                   CAST('0x' || h[9:16] AS BIGINT) % (n + 1) AS h2,
+                   CAST('0x' || h[17:24] AS BIGINT) % 100 AS h3,
+                   CAST('0x' || h[25:32] AS BIGINT) % 100 AS h4 FROM documents),
+        formed AS (
+            SELECT *, CASE WHEN n = 0 OR contains(body, '<P>') OR contains(body, '<S>')
+                                OR contains(body, '<M>') OR h3 >= 90 THEN 'plain'
+                           WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form,
+                   least(h1, h2) AS a, greatest(h1, h2) AS b FROM drawn),
+        parts AS (
+            SELECT *, substr(body, 1, a) AS p, substr(body, a + 1, b - a) AS m, substr(body, b + 1) AS s
+            FROM formed)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN body
+                      WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                      ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+               sha256(body) AS restored_sha256
+        FROM parts""",
 }
