@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart.llm import (
-    decontamination, fill_in_middle, jaccard_join, language_id, packing, pii, quality_model, quality_rules,
-    secrets, toxicity, url_filters, warc)
-from eventmart.llm.common import table
+    decontamination, fill_in_middle, jaccard_join, language_id, merkle, packing, pii, quality_model,
+    quality_rules, secrets, toxicity, url_filters, warc)
+from eventmart.llm.common import remainder, table
 from eventmart.session import run_dir
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -90,6 +90,15 @@ def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.secret_spans(table(spark, sf_dir, "documents")))
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest of the documents by language, and the documents held against it after one in seven
+    had its n_chars changed."""
+    changed = F.when(remainder("doc_id", 7) == 0, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    found = merkle.manifest(table(spark, sf_dir, "documents"), ("doc_id", "source", "lang", "n_chars", "text"),
+                            "lang", "doc_id", {"n_chars": changed})
+    return merkle.verified(found, "doc_id")
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle.digests(fill_in_middle.transform(table(spark, sf_dir, "documents")))
 
@@ -126,6 +135,10 @@ def _shape_sql(kind: str, pattern: str, group: int, least: int) -> str:
         WHERE length(parts[i]) >= {least}"""
 
 
+def _field(value: str) -> str:
+    return (f"coalesce(octet_length(encode(CAST({value} AS VARCHAR))) || ':' || CAST({value} AS VARCHAR), '-')")
+
+
 _KINDS = [*secrets.BASE_KINDS, *(c.kind for c in secrets.CLASSES)]
 _ALLOWED = "|".join(f"(?:{p})" for p in secrets.ALLOWED)
 _RUN_LENGTH = min(c.window for c in secrets.CLASSES)
@@ -133,7 +146,7 @@ _RUN_LENGTH = min(c.window for c in secrets.CLASSES)
 QUERIES = {f.__name__: f for f in (
     op1_quality, op2_compression_rules, op3_toxicity, op4_language, op5_decontamination,
     op6_personal_data, op7_jaccard_join, op8_packing, op9_warc, op10_url_filters,
-    op11_secrets, op13_fill_in_middle)}
+    op11_secrets, op12_merkle, op13_fill_in_middle)}
 SQL = {
     "op5_decontamination": r"""
         WITH document_words AS (
@@ -262,6 +275,58 @@ SQL = {
         SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in secrets.BASE_KINDS)},
                sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
         FROM texts LEFT JOIN texted USING (doc_id)""",
+    "op12_merkle": f"""
+        WITH RECURSIVE given AS (
+            SELECT doc_id, lang, list_reduce(
+                       list_prepend(CAST(4294967295 AS BIGINT), list_transform(
+                           string_split(coalesce(CAST(doc_id AS VARCHAR), ''), ''),
+                           lambda c: CAST(ascii(c) AS BIGINT))),
+                       lambda crc, b: list_reduce(
+                           list_prepend(xor(crc, b), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])),
+                           lambda x, _: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))
+                     AS crc,
+                   {_field("doc_id")} || {_field("source")} || {_field("lang")} AS head,
+                   n_chars, {_field("text")} AS tail FROM documents),
+        leaves AS (
+            SELECT doc_id, coalesce('+' || lang, '') AS tree, sha256(head || {_field("n_chars")} || tail) AS leaf,
+                   CASE WHEN xor(crc, 4294967295) % 7 = 0
+                        THEN sha256(head || {_field("(n_chars + 1)")} || tail) ELSE leaf END AS claimed
+            FROM given),
+        places AS (
+            SELECT *, row_number() OVER () AS row,
+                   row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+                   count(*) OVER (PARTITION BY tree) AS n FROM leaves),
+        nodes(tree, level, pos, n, digest) AS (
+            SELECT tree, 0, pos, n, leaf FROM places
+            UNION ALL SELECT tree, level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos))
+            FROM nodes WHERE n > 1 GROUP BY tree, level, pos // 2, n),
+        trees AS (
+            SELECT tree, digest AS subroot, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n
+            FROM nodes WHERE n = 1),
+        tops(level, pos, n, digest) AS (
+            SELECT 0, pos, n, subroot FROM trees
+            UNION ALL SELECT level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos))
+            FROM tops WHERE n > 1 GROUP BY level, pos // 2, n),
+        levels AS (
+            SELECT DISTINCT tree, level, 0 AS upper, n FROM nodes WHERE n > 1),
+        steps AS (
+            SELECT row, l.level, 0 AS upper, (p.pos >> l.level) % 2 AS child, s.digest
+            FROM places p JOIN levels l USING (tree)
+            LEFT JOIN nodes s ON s.tree = p.tree AND s.level = l.level AND s.pos = xor(p.pos >> l.level, 1)
+            UNION ALL SELECT row, l.level, 1, (t.pos >> l.level) % 2, s.digest
+            FROM places p JOIN trees t USING (tree) CROSS JOIN (SELECT DISTINCT level FROM tops WHERE n > 1) l
+            LEFT JOIN tops s ON s.level = l.level AND s.pos = xor(t.pos >> l.level, 1)),
+        proofs AS (
+            SELECT row, string_agg(coalesce(digest, ''), '' ORDER BY upper, level) AS siblings,
+                   list(CASE WHEN digest IS NULL THEN '*' WHEN child = 1 THEN digest || '*'
+                             ELSE '*' || digest END ORDER BY upper, level) AS proof
+            FROM steps GROUP BY row)
+        SELECT doc_id, leaf, subroot, root, sha256(coalesce(siblings, '')) AS proof_sha256,
+               list_reduce(list_prepend(claimed, coalesce(proof, [])),
+                           lambda node, step: sha256(replace(step, '*', node))) AS folded_root,
+               folded_root = root AS verified
+        FROM places JOIN trees USING (tree) LEFT JOIN proofs USING (row),
+             (SELECT digest AS root FROM tops WHERE n = 1)""",
     "op13_fill_in_middle": """
         WITH drawn AS (
             SELECT doc_id, coalesce(text, '') AS body, length(body) AS n,
