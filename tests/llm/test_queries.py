@@ -15,7 +15,7 @@ needs_data = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test table
 
 
 def test_names():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries())
     assert set(SQL) <= set(contract.oracle_sql())
 
