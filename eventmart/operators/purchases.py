@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.functions.values import EPOCH_TIME, PURCHASE
@@ -22,7 +23,8 @@ def purchases(events: DataFrame) -> DataFrame:
     return events.filter(F.col("event_type") == PURCHASE)
 
 
-def _purchase_side(events: DataFrame) -> DataFrame:
+def purchase_side(events: DataFrame) -> DataFrame:
+    """What facts take from their purchase."""
     return purchases(events).withColumnRenamed("premium_amount", "event_premium").select(
         *_EVENT_COLUMNS)
 
@@ -51,7 +53,7 @@ def denormalize(events: DataFrame, orders: DataFrame, financials: DataFrame,
     Orders without a payment row hold type defaults, or nulls with ``use_nulls``.
     ``count_on`` is passed to :func:`salted_join`.
     """
-    side = _purchase_side(events)
+    side = purchase_side(events)
     if one_per_order:
         side = drop_duplicates(side, SESSION, order=["event_time"])
     product = orders.withColumnsRenamed({"premium": "order_premium",
@@ -64,6 +66,11 @@ def denormalize(events: DataFrame, orders: DataFrame, financials: DataFrame,
     return _with_financials(matched, financials, use_nulls)
 
 
+def facts_of(matched: DataFrame, financials: DataFrame, use_nulls: bool = False) -> DataFrame:
+    """Facts of purchases that are joined to their orders already, each order once."""
+    return _with_financials(one_row_per_order(matched), financials, use_nulls)
+
+
 def orders_without_fact(orders: DataFrame, facts: DataFrame,
                         count_on: DataFrame | None = None) -> DataFrame:
     """Orders whose id is in no fact row. The ids are distinct before the anti-join."""
@@ -92,6 +99,24 @@ def key_filter(keys: DataFrame, on: Sequence[str],
     return lambda df: df.join(F.broadcast(distinct), list(on), "left_semi")
 
 
+#: Keys that a scan is asked for one by one.
+POINT_KEYS = 1000
+
+
+def point_filter(keys: DataFrame, on: Sequence[str],
+                 most: int = POINT_KEYS) -> Callable[[DataFrame], DataFrame]:
+    """Like :func:`key_filter`, and with at most ``most`` keys their values are named in the scan,
+    so that row groups without them are skipped by their statistics or Bloom filters. Without any
+    key nothing is scanned."""
+    few = keys.select(*on).distinct().limit(most + 1).collect()
+    if len(few) > most:
+        return key_filter(keys, on)
+    named = reduce(Column.__and__, [
+        F.col(name).isin([row[name] for row in few if row[name] is not None]) for name in on])
+    listed = F.broadcast(keys.sparkSession.createDataFrame(few, keys.select(*on).schema))
+    return lambda df: df.where(named).join(listed, list(on), "left_semi")
+
+
 def purchases_without_fact(events: DataFrame, facts: DataFrame) -> DataFrame:
     """Purchases whose session has no fact row."""
     return salted_join(purchases(events), facts.select(*SESSION).distinct(), SESSION,

@@ -15,14 +15,15 @@ from eventmart.functions.messages import event_fields
 from eventmart.functions.times import moment, time_text
 from eventmart.operators import (
     aggregates, enrich, governance, monitoring, orders, purchases, quality, reports, versioning)
-from eventmart.plans import backfill, jobs
+from eventmart.plans import backfill, jobs, ledger, rollup
 from eventmart.schemas import (
     DEAD_LETTERS,
-    BODY_ORDER, EVENTS_ENRICHED, EVENTS_FILE, EVENTS_FILE_TEXT, USER_EVENTS, USERS_FILE)
+    BODY_ORDER, EVENTS_ENRICHED, EVENTS_FILE, EVENTS_FILE_TEXT, FACT_PURCHASES, FINANCIAL_ORDER,
+    USER_EVENTS, USERS_FILE)
 from eventmart.session import run_dir
 from eventmart.sources import canonical as data
 from eventmart.sources import files, kafka, tables
-from eventmart.streaming import changes, live, records
+from eventmart.streaming import changes, joined, live, records
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +33,8 @@ SINCE = "2024-01-15 00:00:00"
 RETENTION_AS_OF = "2025-07-12 00:00:00"
 REGION = "NATION_7"
 LAG_THRESHOLD = 10
+# Longer than a part of the month, so that orders one run late are in time.
+STREAM_DELAY = "12 days"
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -196,6 +199,90 @@ def late_order_cycle(spark, sf_dir):
         F.lit(added[1]).cast("bigint").alias("second_added"), "facts_after", "orders_after")
 
 
+def _part(run: int) -> str:
+    return f"{data.part_of('event_time')} = {run}"
+
+
+def _arrive(house: jobs.Warehouse, sf_dir: str, run: int) -> None:
+    """What arrives in one run: the events of a part of the month, and orders early, in time and late."""
+    if run in data.RUNS:
+        tables.write_batch(data.enriched(house.spark, sf_dir).where(_part(run)), house.root,
+                           EVENTS_ENRICHED, f"part-{run}")
+    jobs.seed_products(house, data.arrived_product_tables(house.spark, sf_dir, run), f"part-{run}")
+
+
+def facts_by_ledger(spark, sf_dir):
+    """Four runs of the ledger's reconcile while events and orders arrive out of order: the facts, and
+    the run that added each."""
+    house = jobs.Warehouse(spark, run_dir(spark, "ledger"))
+    tables.write_batch(data.financials(spark, sf_dir), house.root, FINANCIAL_ORDER, "all")
+    run_of: dict[str, int] = {}
+    for run in (*data.RUNS, 4):
+        _arrive(house, sf_dir, run)
+        ledger.reconcile_new(house)
+        for label in tables.stored_batches(spark, house.root, FACT_PURCHASES):
+            run_of.setdefault(label, run)
+    added = spark.createDataFrame(list(run_of.items()), f"{tables.BATCH} string, run long")
+    stored = tables.read_stored(spark, house.root, FACT_PURCHASES).join(F.broadcast(added), tables.BATCH)
+    return plain(stored.select(*FACT_PURCHASES.columns, "run"))
+
+
+def _joined_streams(spark: SparkSession, sf_dir: str) -> tuple[jobs.Warehouse, list[tuple[int, int, int]]]:
+    """Purchases and orders as two streams, in three runs of one query; dropped and held rows by run."""
+    house = jobs.Warehouse(spark, run_dir(spark, "joined"))
+    landing, checkpoint = run_dir(spark, "landing"), run_dir(spark, "checkpoint")
+    tables.write_batch(data.financials(spark, sf_dir), house.root, FINANCIAL_ORDER, "all")
+    join = joined.OrderJoin(house.root, house.financials, delay=STREAM_DELAY)
+    counts = []
+    for run in data.RUNS:
+        came = data.enriched(spark, sf_dir).where(_part(run))
+        product = orders.product_orders_all(data.arrived_product_tables(spark, sf_dir, run), collapse=False)
+        joined.append(came, f"{landing}/events")
+        joined.append(product, f"{landing}/orders")
+        query = join.start(joined.folder_stream(spark, came, f"{landing}/events"),
+                           joined.folder_stream(spark, product, f"{landing}/orders"), checkpoint)
+        live.wait(query, 1800)
+        counts.append((run, *joined.state_counts(query.recentProgress)))
+    return house, counts
+
+
+def stream_joined_facts(spark, sf_dir):
+    """Facts of purchases and orders that met in the stream's state, and, once the tables are stored, of
+    the orders that came past the watermark or after the stream, with the way that each took."""
+    house, _ = _joined_streams(spark, sf_dir)
+    for run in (*data.RUNS, 4):
+        _arrive(house, sf_dir, run)
+    ledger.reconcile_new(house)
+    stored = tables.read_stored(spark, house.root, FACT_PURCHASES)
+    way = F.when(F.col(tables.BATCH).startswith("fill-"), "reconcile").otherwise("stream")
+    return plain(stored.select(*FACT_PURCHASES.columns, way.alias("way")))
+
+
+def stream_join_state(spark, sf_dir):
+    """By run of the two streams: rows that came past the watermark, and rows left in the state."""
+    _, counts = _joined_streams(spark, sf_dir)
+    return spark.createDataFrame(counts, "run long, dropped long, held long")
+
+
+def stored_revenue_rollup(spark, sf_dir):
+    """The stored rollup after early facts, copies of some at the day before, late orders by reconcile, and
+    the erasure of users, refreshed in between."""
+    house = jobs.Warehouse(spark, run_dir(spark, "rollup"))
+    tables.write_batch(data.enriched(spark, sf_dir), house.root, EVENTS_ENRICHED, "all")
+    jobs.seed(house, data.product_tables(spark, sf_dir, late=False), data.financials(spark, sf_dir))
+    jobs.denormalize_stored(house)
+    rollup.refresh(house)
+    copies = purchases.denormalize(
+        data.enriched(spark, sf_dir), orders.product_orders_all(data.product_tables(spark, sf_dir, where="k = 50")),
+        data.financials(spark, sf_dir)).withColumn("event_time", F.expr("event_time - INTERVAL 1 DAY"))
+    tables.write_batch(copies, house.root, FACT_PURCHASES, "copies")
+    rollup.refresh(house)
+    jobs.seed_products(house, data.product_tables(spark, sf_dir), "late")
+    ledger.reconcile_new(house)
+    rollup.erase(house, _subjects(spark, sf_dir), "furniture")
+    return rollup.revenue(house)
+
+
 def users_after_changes(spark, sf_dir):
     return plain(versioning.apply_changes(
         data.users(spark, sf_dir), data.changes(spark, sf_dir), ["user_id"], "updated_at"))
@@ -523,6 +610,7 @@ _GROUPS: Sequence[Query] = (
     stored_events_in_range,
     order_split_counts, order_pricing, product_orders_all, orders_latest_version,
     fact_purchases, fact_purchases_all_matches, reconcile_missing, late_order_cycle,
+    facts_by_ledger, stored_revenue_rollup,
     users_after_changes,
     agg_daily, agg_daily_sketch, agg_daily_purchases_by_channel, report_table_counts,
     report_enriched_profile, report_coverage, report_by_event_type, report_channels,
@@ -535,7 +623,7 @@ _GROUPS: Sequence[Query] = (
     field_drift,
     dead_letters, parsed_events, stream_enriched, stream_agg_daily, stream_facts,
     stream_raw_sink, raw_sink_dead_letters, consumer_totals, stream_two_runs,
-    stored_user_changes, change_log_dead_letters,
+    stored_user_changes, change_log_dead_letters, stream_joined_facts, stream_join_state,
 )
 
 QUERIES: dict[str, Query] = {query.__name__: query for query in _GROUPS}

@@ -4,74 +4,23 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping
-from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 
 from eventmart.operators import quality
-from eventmart.operators.aggregates import finalize_states
 from eventmart.operators.monitoring import partition_progress
-from eventmart.operators.orders import order_keys, product_orders_all
 from eventmart.operators.purchases import SESSION, denormalize, key_filter, orders_without_fact
 from eventmart.operators.reports import verification_report
-from eventmart.operators.versioning import one_row_per_order
+from eventmart.plans.ledger import reconcile_new
+from eventmart.plans.warehouse import Warehouse
 from eventmart.schemas import (
-    CONSUMED, DATA_TABLES, DEAD_LETTERS, EVENTS_AGG_DAILY, EVENTS_ENRICHED, FACT_PURCHASES,
-    FINANCIAL_ORDER, PRODUCT_TABLES, USERS)
+    CONSUMED, DATA_TABLES, DEAD_LETTERS, FACT_PURCHASES, FINANCIAL_ORDER, PRODUCT_TABLES)
 from eventmart.session import run_dir
 from eventmart.sources.files import read_csv
-from eventmart.sources.tables import read_batch, read_table, truncate, write_batch
-from eventmart.streaming.changes import current_users
+from eventmart.sources.tables import read_batch, truncate, write_batch
 from eventmart.streaming.live import LivePipeline, Refreshed, wait
 
 
-@dataclass
-class Warehouse:
-    """The tables below one root folder, as frames.
-
-    With ``change_log`` the users are the base table with the stored changes applied.
-    """
-
-    spark: SparkSession
-    root: str
-    change_log: bool = False
-
-    def events(self) -> DataFrame:
-        return read_table(self.spark, self.root, EVENTS_ENRICHED)
-
-    def daily(self) -> DataFrame:
-        return finalize_states(read_table(self.spark, self.root, EVENTS_AGG_DAILY))
-
-    def stored_facts(self, start: str | None = None, end: str | None = None) -> DataFrame:
-        """Facts as stored. Copies of an event in two batches leave its order there twice."""
-        return read_table(self.spark, self.root, FACT_PURCHASES, start, end)
-
-    def facts(self) -> DataFrame:
-        """Facts with each order once."""
-        return one_row_per_order(self.stored_facts())
-
-    def users(self) -> DataFrame:
-        if self.change_log:
-            return current_users(self.spark, self.root)
-        return read_table(self.spark, self.root, USERS)
-
-    def product_tables(self, start: str | None = None) -> Mapping[str, DataFrame]:
-        return {line: read_table(self.spark, self.root, table, start)
-                for line, table in PRODUCT_TABLES.items()}
-
-    def orders(self) -> DataFrame:
-        return product_orders_all(self.product_tables())
-
-    def order_keys(self) -> DataFrame:
-        return order_keys(self.product_tables())
-
-    def financials(self, start: str | None = None) -> DataFrame:
-        return read_table(self.spark, self.root, FINANCIAL_ORDER, start)
-
-    def dead_letters(self) -> DataFrame:
-        return read_table(self.spark, self.root, DEAD_LETTERS)
-
-
 def reset(house: Warehouse) -> None:
     """Empty all data tables; users stay. The next stream needs a new checkpoint folder."""
     truncate(house.spark, house.root, [*DATA_TABLES, DEAD_LETTERS, CONSUMED])
@@ -102,7 +51,8 @@ def denormalize_stored(house: Warehouse, label: str = "stored") -> None:
 
 
 def reconcile(house: Warehouse) -> int:
-    """Add the facts of orders that have none yet; returns how many were added.
+    """Add the facts of orders that have none yet, over all that is stored; returns how many were
+    added. Runs that repeat every few minutes use ``ledger.reconcile_new``.
 
     The missing orders are stored first. They are few as a rule, which is then known before
     the join is planned: it can do without a shuffle of all purchases.
@@ -147,8 +97,8 @@ def gate(house: Warehouse, expected: int, as_of: str | None = None,
 
 
 def monitoring(house: Warehouse, expected: int, as_of: str | None = None) -> quality.GateResult:
-    """Reconcile, then the gate."""
-    reconcile(house)
+    """Reconcile what came since the last time, then the gate."""
+    reconcile_new(house)
     return gate(house, expected, as_of)
 
 

@@ -145,6 +145,20 @@ facts AS ({_fact('true').format(source='enriched')}),
 early_facts AS ({_fact('p.k >= 4').format(source='enriched')}),
 late_facts AS ({_fact('p.k < 4').format(source='enriched')}),
 landed_facts AS ({_fact('true').format(source='landed')}),
+parted AS (
+  SELECT *, CASE WHEN k < 2 THEN part + 1 WHEN k < 4 THEN 3 WHEN k < 6 THEN greatest(part - 1, 1)
+                 ELSE part END AS arrival
+  FROM (SELECT event_id + 1 AS order_id, event_time, k,
+               CASE WHEN event_time < TIMESTAMP '2024-01-11' THEN 1
+                    WHEN event_time < TIMESTAMP '2024-01-21' THEN 2 ELSE 3 END AS part
+        FROM ev WHERE event_type = 'purchase')),
+marks AS (
+  SELECT run, least((SELECT max(event_time) FROM parted WHERE part <= run),
+                    (SELECT max(event_time) FROM parted WHERE arrival <= run)) - INTERVAL 12 DAY AS mark
+  FROM (VALUES (1), (2), (3)) runs(run)),
+met AS (
+  SELECT p.*, arrival <= 3 AND NOT (arrival > 1 AND event_time <= coalesce(mark, TIMESTAMP '1970-01-01')) AS in_stream
+  FROM parted p LEFT JOIN marks ON run = arrival - 1),
 daily AS (
   SELECT CAST(event_time AS DATE) AS event_date, channel, city, device_type, event_type,
          count(*) AS events_count, count(DISTINCT user_id) AS unique_users,
@@ -406,6 +420,22 @@ _BODIES = {
         max(kafka_offset) AS last_offset FROM message_rows GROUP BY ALL""",
     "stored_user_changes": _CHANGED_USERS,
 }
+_BODIES["facts_by_ledger"] = f"""SELECT {_list(_FACT)}, CAST(run AS BIGINT) AS run
+    FROM facts JOIN (SELECT order_id, greatest(part, arrival) AS run FROM parted) USING (order_id)"""
+_BODIES["stream_joined_facts"] = f"""SELECT {_list(_FACT)},
+        CASE WHEN in_stream THEN 'stream' ELSE 'reconcile' END AS way
+    FROM facts JOIN (SELECT order_id, in_stream FROM met) USING (order_id)"""
+_BODIES["stream_join_state"] = """SELECT CAST(run AS BIGINT) AS run,
+        (SELECT count(*) FROM met WHERE arrival = run AND NOT in_stream) AS dropped,
+        (SELECT count(*) FROM parted WHERE part <= run AND event_time > mark - INTERVAL 1 HOUR)
+          + (SELECT count(*) FROM met WHERE arrival <= run AND in_stream
+             AND event_time > mark - INTERVAL 1 HOUR) AS held
+    FROM marks"""
+_BODIES["stored_revenue_rollup"] = f"""SELECT product_line,
+        CAST(event_time - CASE WHEN k = 50 THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END AS DATE) AS day,
+        {_MONEY_SUM} AS revenue, count(*) AS orders
+    FROM facts JOIN (SELECT event_id + 1 AS order_id, k FROM ev) USING (order_id)
+    WHERE user_id NOT IN (SELECT user_id FROM subjects) GROUP BY ALL"""
 _BODIES["users_from_csv"] = _BODIES["loaded_users"]
 _BODIES["appended_csv"] = _BODIES["csv_round_trip"]
 _BODIES["sessions_by_bloom_filter"] = (

@@ -114,7 +114,7 @@ FACT_PURCHASES = Table(
             payment_method=TEXT, installments=INT, discount_amount=DOUBLE, tax_amount=DOUBLE,
             net_amount=DOUBLE, payment_status=TEXT, paid_at=TIME),
     sort=("city", "product_line", "event_time", "user_id"), month_of="event_time",
-    bloom=("user_id",))
+    bloom=("user_id", "order_id"))
 
 EVENTS_ENRICHED_BACKFILL = Table(
     "events_enriched_backfill",
@@ -133,8 +133,24 @@ CONSUMED = Table(
     "consumed",
     _schema(topic=TEXT, partition=INT, num_messages_read=LONG, last_offset=LONG))
 
+# Orders that have no fact yet, as the last reconcile run left them, and the newest batches it saw:
+# per table the newest time of writing, with the labels written at that time.
+OPEN_ORDERS = Table(
+    "open_orders", _schema(**_ORDER, product_line=TEXT, attributes=T.MapType(TEXT, TEXT)),
+    key=(*_ORDER_KEY, "product_line"), version="created_at", sort=("order_id",))
+SEEN_BATCHES = Table("seen_batches", _schema(table=TEXT, label=TEXT, written=LONG))
+
+# Changes of the revenue per line and day, one batch per refresh or erasure, and the batches of
+# facts that are counted in it.
+REVENUE_CHANGES = Table(
+    "revenue_changes",
+    _schema(product_line=TEXT, day=DATE, revenue=T.DecimalType(38, 2), orders=LONG),
+    key=("product_line", "day"), sort=("product_line", "day"))
+COUNTED_BATCHES = Table("counted_batches", _schema(label=TEXT))
+
 # Emptied by a reset; the users dimension stays.
 DATA_TABLES = (
     EVENTS_ENRICHED, EVENTS_AGG_DAILY, FACT_PURCHASES, *PRODUCT_TABLES.values(),
-    FINANCIAL_ORDER, EVENTS_ENRICHED_BACKFILL, USER_EVENTS,
+    FINANCIAL_ORDER, EVENTS_ENRICHED_BACKFILL, USER_EVENTS, OPEN_ORDERS, SEEN_BATCHES,
+    REVENUE_CHANGES, COUNTED_BATCHES,
 )

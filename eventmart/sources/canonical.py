@@ -158,10 +158,11 @@ def all_orders(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFra
     return orders_from_purchases(events(spark, sf_dir).filter(where), F.expr("event_id + 1"))
 
 
-def product_tables(spark: SparkSession, sf_dir: str, late: bool = True) -> dict[str, DataFrame]:
+def product_tables(spark: SparkSession, sf_dir: str, late: bool = True,
+                   where: str = "true") -> dict[str, DataFrame]:
     """The four product tables; without the late orders unless ``late``."""
     tables = {}
-    orders = all_orders(spark, sf_dir, "true" if late else "k >= 4")
+    orders = all_orders(spark, sf_dir, where if late else f"k >= 4 and {where}")
     for line, rows in split_by_line(orders).items():
         known = {f.name: f.dataType.simpleString() for f in PRODUCT_TABLES[line].schema.fields}
         tables[line] = rows.selectExpr(*[
@@ -195,6 +196,28 @@ def facts(spark: SparkSession, sf_dir: str, late: bool = True) -> DataFrame:
                        financials(spark, sf_dir), count_on=order_keys(tables))
 
 
+#: First days of the second and third part of the month.
+PARTS = ("2024-01-11", "2024-01-21")
+RUNS = (1, 2, 3)
+
+
+def part_of(time: str) -> str:
+    """SQL for the part of the month that a time lies in: 1, 2 or 3."""
+    return f"if({time} < '{PARTS[0]}', 1, if({time} < '{PARTS[1]}', 2, 3))"
+
+
+def arrival(part: str) -> str:
+    """SQL for the run in which an order arrives, by its purchase's part and k: a run late for k of 0
+    and 1, in the third run for 2 and 3, a run early for 4 and 5, else with its purchase. The fourth
+    run is after the stream."""
+    return f"case when k < 2 then {part} + 1 when k < 4 then 3 when k < 6 then greatest({part} - 1, 1) else {part} end"
+
+
+def arrived_product_tables(spark: SparkSession, sf_dir: str, run: int) -> dict[str, DataFrame]:
+    """The product tables' rows that arrive in one run."""
+    return product_tables(spark, sf_dir, where=f"{arrival(part_of('event_time'))} = {run}")
+
+
 def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A change log of users: moves, removals and additions, by market segment and balance."""
     people = customers(spark, sf_dir)

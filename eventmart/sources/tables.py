@@ -100,6 +100,29 @@ def read_batch(spark: SparkSession, root: str, table: Table, label: str) -> Data
         f"{table_path(root, table)}/{BATCH}={label}").select(*table.columns)
 
 
+def stored_batches(spark: SparkSession, root: str, table: Table) -> dict[str, int]:
+    """Labels of the batches that are written whole, and when, in milliseconds of the file system's clock."""
+    top = table_path(root, table)
+    files, path = _files(spark, top)
+    return {f.getPath().getParent().getName().removeprefix(f"{BATCH}="): f.getModificationTime()
+            for f in files.globStatus(path(f"{top}/{BATCH}=*/_SUCCESS")) or []}
+
+
+def read_batches(spark: SparkSession, root: str, table: Table, labels: Iterable[str]) -> DataFrame:
+    """Some batches of a table; the folders of the others are not listed."""
+    top = table_path(root, table)
+    folders = [f"{top}/{BATCH}={label}" for label in sorted(labels)]
+    if not folders:
+        return spark.createDataFrame([], table.schema)
+    return spark.read.schema(_stored_schema(table)).option("basePath", top).parquet(
+        *folders).select(*table.columns)
+
+
+def drop_batches(spark: SparkSession, root: str, table: Table, labels: Iterable[str]) -> None:
+    """Delete some batches of a table."""
+    _delete(spark, [f"{table_path(root, table)}/{BATCH}={label}" for label in labels])
+
+
 def between(df: DataFrame, table: Table, start: str | None, end: str | None) -> DataFrame:
     """Rows with start <= time < end. The same bounds on the month prune whole folders."""
     for bound, newer in ((start, True), (end, False)):
