@@ -11,15 +11,20 @@ from pyspark.sql import functions as F
 from eventmart.session import run_dir
 
 
+def numbered(df: DataFrame) -> tuple[DataFrame, list[str]]:
+    """The frame with its columns named by their places, c0 and on, and the names they had: names may
+    clash, places do not. ``toDF`` puts the names back."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]), df.columns
+
+
 def pick(df: DataFrame, **wanted: str) -> DataFrame:
     """Only the wanted columns, as ``new_name=name_in_df``.
 
     Columns are found by exact name and position, so further columns may have any names: a
     result column's, another case of a wanted name, or the same name twice (the first counts).
     """
-    places = {new: df.columns.index(old) for new, old in wanted.items()}
-    numbered = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
-    return numbered.select(*[F.col(f"c{i}").alias(new) for new, i in places.items()])
+    plain, names = numbered(df)
+    return plain.select(*[F.col(f"c{names.index(old)}").alias(new) for new, old in wanted.items()])
 
 
 #: Rows that a Python worker gets at a time; texts are long, and Spark's 10,000 of them are not small.
@@ -52,7 +57,10 @@ def columns(batch: pa.RecordBatch, *names: str) -> list[list]:
 
 def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
     """The frame written to the shared folder and read again: lineage ends there, and the
-    rows outlive any executor."""
+    rows outlive any executor. Names that clash, which files cannot hold, stay outside of them."""
+    if len({column.lower() for column in df.columns}) < len(df.columns):
+        plain, names = numbered(df)
+        return staged(plain, name, **options).toDF(*names)
     folder = run_dir(df.sparkSession, name)
     df.write.options(**options).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import staged
+from eventmart.llm.common import numbered, staged
 
 #: 64-bit words: 512 KiB, which keeps false passes under 3 % up to 120,000 ids.
 WORDS = 1 << 16
@@ -53,9 +53,12 @@ def without(df: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFrame:
     """The rows whose id is not among ``ids`` (a column of the same name, without repeats); null ids stay.
 
     Rows that the filter does not pass are surely not among them and stay where they are; only the
-    others meet the ids in a join.
+    others meet the ids in a join. Columns may have any names.
     """
     ids = staged(ids.select(column), "ids")
     bits = constant(bits_of(ids.select(F.xxhash64(column).alias("h")), "h"))
-    maybe = F.coalesce(passes_column(bits, F.xxhash64(column)), F.lit(False)) & F.col(column).isNotNull()
-    return df.where(~maybe).unionAll(df.where(maybe).join(ids, column, "left_anti").select(*df.columns))
+    plain, names = numbered(df)
+    key = f"c{names.index(column)}"
+    maybe = F.coalesce(passes_column(bits, F.xxhash64(key)), F.lit(False)) & F.col(key).isNotNull()
+    return plain.where(~maybe).unionAll(plain.where(maybe).join(
+        ids.withColumnRenamed(column, key), key, "left_anti").select(*plain.columns)).toDF(*names)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from eventmart.llm.common import (
-    arrow_schema, chunks, columns, documents, in_small_batches, record_batch)
+    arrow_schema, chunks, columns, documents, in_small_batches, numbered, record_batch)
 
 DIGITS = frozenset(string.digits)
 LOCAL = frozenset(string.ascii_letters + string.digits + "._%+-")
@@ -245,8 +245,9 @@ def personal_spans(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """The documents with personal data replaced in ``text``; all other columns and null texts
-    stay as they are. Column names have to be unique."""
-    schema, place = docs.schema, docs.columns.index(text)
+    stay as they are. Columns may have any names; of two named ``text`` the first counts."""
+    plain, names = numbered(in_small_batches(docs))
+    place = names.index(text)
 
     def cleaned(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cues = anchors()
@@ -255,5 +256,5 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
                      for t in batch.column(place).to_pylist()]
             yield batch.set_column(place, batch.schema.field(place), pa.array(texts, pa.string()))
 
-    return in_small_batches(docs).mapInArrow(cleaned, schema)
+    return plain.mapInArrow(cleaned, plain.schema).toDF(*names)
 

@@ -2,36 +2,60 @@
 of its length should is repetitive or noise.
 
 The whole text and each chunk of 4 KiB are compressed on their own. A ratio (bytes before by
-bytes after) is held against limits of the band of lengths it falls in, because short text
-shrinks less. A text is kept if its whole ratio is within its limits and at most a quarter of
-its chunks are outside of theirs. Plain counts of words, symbols and repeats come with it.
+bytes after) grows with the length, and scatters less the longer a text is, so its limits are curves over
+the length, given at powers of two and straight between them on logarithmic scales. A text is kept if its
+whole ratio is within its limits and at most a quarter of its chunks are outside of theirs. Plain
+counts of words, symbols and repeats come with it.
 
 The limits were set from Latin script. UTF-8 spends two or three bytes, the first of them nearly
 constant, on letters of other scripts, and these bytes shrink to nothing. There one symbol per
-letter is judged instead (``recoded``); the ratio that is shown is that of UTF-8.
+letter is judged instead (``recoded``). Both ratios are returned: that of UTF-8 and the judged one.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
+from bisect import bisect
 from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
+from dataclasses import dataclass
 
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
 from eventmart.llm.common import (
-    arrow_schema, chunks, columns, documents, in_small_batches, record_batch)
-
-#: Symbols of text from which a band holds; lowest and highest ratio allowed there. Clean text of
-#: the test tables stays at least a tenth away from both limits.
-BANDS: tuple[tuple[int, float, float], ...] = (
-    (0, 0.5, 1.2), (64, 0.75, 1.45), (128, 0.9, 1.8), (256, 1.1, 2.0), (512, 1.25, 2.25),
-    (1024, 1.4, 2.4), (2048, 1.55, 2.5), (4096, 1.65, 2.6), (8192, 1.75, 2.65),
-    (16384, 1.8, 2.8), (65536, 1.8, 3.2),
-)
+    arrow_schema, chunks, columns, documents, in_small_batches, numbered, record_batch)
+
+@dataclass(frozen=True)
+class Limits:
+    """Lowest and highest ratio at some lengths; a length between two has limits between theirs, one beyond
+    the first or last has that one's."""
+
+    lengths: tuple[int, ...]
+    lowest: tuple[float, ...]
+    highest: tuple[float, ...]
+
+    def hold(self, length: int, ratio: float) -> bool:
+        i = bisect(self.lengths, length)
+        if i in (0, len(self.lengths)):
+            i = max(i - 1, 0)
+            return self.lowest[i] <= ratio <= self.highest[i]
+        way = math.log(length / self.lengths[i - 1]) / math.log(self.lengths[i] / self.lengths[i - 1])
+        low, high = (side[i - 1] * (side[i] / side[i - 1]) ** way for side in (self.lowest, self.highest))
+        return low <= ratio <= high
+
+
+# Fixed values, set from clean labelled texts: nearly all of them lie within at every length. Short texts
+# have room, as a few words say little; of long ones the chunks decide.
+WHOLE_LIMITS = Limits(
+    (32, 64, 128, 256, 640, 1024, 2048, 4096, 8192, 16384, 65536, 1048576),
+    (0.50, 0.68, 0.89, 1.11, 1.30, 1.48, 1.67, 1.82, 1.90, 1.95, 1.98, 1.98),
+    (1.00, 1.30, 1.60, 1.78, 1.95, 2.00, 2.14, 2.27, 2.45, 2.75, 2.95, 3.30))
+#: Of chunks, which begin and end anywhere. Few clean texts have more than one beyond them.
+CHUNK_LIMITS = Limits((1024, 2048, 4096, 5120), (1.50, 1.64, 1.76, 1.78), (2.02, 2.18, 2.30, 2.34))
 CHUNK_BYTES = 4096
 #: A last piece under this size belongs to the chunk before it.
 LEAST_CHUNK_BYTES = 1024
@@ -48,7 +72,7 @@ WINDOW = 5
 
 SCHEMA = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
           "n_repeat_words long, base_failed boolean, kept boolean, ratio double, "
-          "n_chunks long, n_bad_chunks long")
+          "judged_ratio double, n_chunks long, n_bad_chunks long")
 
 
 def repeated_words(words: Sequence[bytes], size: int = WINDOW) -> int:
@@ -120,41 +144,37 @@ def recoded(text: str) -> bytes:
     return text.translate(codes).encode("latin-1")
 
 
-def within(n_bytes: int, ratio: float, bands: Sequence[tuple[int, float, float]]) -> bool:
-    low, high = next((a, b) for start, a, b in reversed(bands) if n_bytes >= start)
-    return low <= ratio <= high
+Judged = tuple[int, int, int, int, int, bool, bool, float, float, int, int]
 
 
-Judged = tuple[int, int, int, int, int, bool, bool, float, int, int]
-
-
-def judge(text: str, press: zstandard.ZstdCompressor,
-          bands: Sequence[tuple[int, float, float]] = BANDS) -> Judged:
+def judge(text: str, press: zstandard.ZstdCompressor, whole: Limits = WHOLE_LIMITS,
+          chunk: Limits = CHUNK_LIMITS) -> Judged:
     """The columns of SCHEMA after doc_id, for one text."""
     def ratio(piece: bytes) -> float:
         return len(piece) / len(press.compress(piece)) if piece else 0.0
 
-    def fits(piece: str) -> bool:
-        symbols = recoded(piece)
-        return within(len(symbols), ratio(symbols), bands)
-
     raw = text.encode()
     words = raw.split()
     repeats = repeated_words(words)
     failed = len(words) < 10 or 100 * repeats > 20 * len(words)
+    symbols = recoded(text)
+    judged = ratio(symbols)
+    fit = whole.hold(len(symbols), judged)
     pieces = split_chunks(raw)
-    fit = fits(text)
-    bad = int(bool(pieces) and not fit) if len(pieces) < 2 else sum(
-        not fits(p.decode()) for p in pieces)
+    if len(pieces) < 2:
+        bad = int(bool(pieces) and not fit)
+    else:
+        parts = [recoded(p.decode()) for p in pieces]
+        bad = sum(not chunk.hold(len(p), ratio(p)) for p in parts)
     kept = not failed and fit and bad <= BAD_CHUNK_SHARE * len(pieces)
     return (len(words), len(text) - sum(map(text.count, WHITE_SPACE)),
-            sum(map(text.count, SYMBOLS)), repeated_lines(text), repeats, failed, kept, ratio(raw),
-            len(pieces), bad)
+            sum(map(text.count, SYMBOLS)), repeated_lines(text), repeats, failed, kept,
+            judged if symbols == raw else ratio(raw), judged, len(pieces), bad)
 
 
-def compression_verdicts(docs: DataFrame,
-                         bands: Sequence[tuple[int, float, float]] = BANDS) -> DataFrame:
-    """One row per document: counts, ratio, chunks outside their limits, and the verdict.
+def compression_verdicts(docs: DataFrame, whole: Limits = WHOLE_LIMITS,
+                         chunk: Limits = CHUNK_LIMITS) -> DataFrame:
+    """One row per document: counts, both ratios, chunks outside their limits, and the verdict.
 
     Null and empty texts have no words, ratio 0 and no chunks, and fail by length. Repeated
     rows each get a row; a null id stays null. Of the input only doc_id and text are read, so
@@ -165,22 +185,24 @@ def compression_verdicts(docs: DataFrame,
     def judged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=LEVEL)
         for batch in chunks(batches):
-            rows = [(doc_id, *judge(text or "", press, bands))
+            rows = [(doc_id, *judge(text or "", press, whole, chunk))
                     for doc_id, text in zip(*columns(batch, "doc_id", "text"), strict=True)]
             yield record_batch(rows, out)
 
     return documents(docs).mapInArrow(judged, SCHEMA)
 
 
-def keep(docs: DataFrame, text: str = "text",
-         bands: Sequence[tuple[int, float, float]] = BANDS) -> DataFrame:
-    """The rows whose text passes, with all their columns. Null texts go."""
-    place = docs.columns.index(text)
+def keep(docs: DataFrame, text: str = "text", whole: Limits = WHOLE_LIMITS,
+         chunk: Limits = CHUNK_LIMITS) -> DataFrame:
+    """The rows whose text passes, with all their columns, which may have any names; of two named ``text``
+    the first counts. Null texts go."""
+    plain, names = numbered(in_small_batches(docs))
+    place = names.index(text)
 
     def passed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=LEVEL)
         for batch in chunks(batches):
-            kept = [judge(t or "", press, bands)[6] for t in batch.column(place).to_pylist()]
+            kept = [judge(t or "", press, whole, chunk)[6] for t in batch.column(place).to_pylist()]
             yield batch.filter(pa.array(kept, pa.bool_()))
 
-    return in_small_batches(docs).mapInArrow(passed, docs.schema)
+    return plain.mapInArrow(passed, plain.schema).toDF(*names)

@@ -1,10 +1,14 @@
 """Nulls, empty and long texts, repeated rows, empty tables and clashing columns, for every operator."""
 
+import random
+
 import pytest
 
+import corpus_pipeline
 from eventmart.llm import (
     decontamination, jaccard_join, language_id, packing, pii, quality_model, quality_rules, queries,
     toxicity, url_filters, warc)
+from eventmart.llm.common import staged
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, `Text` string"
 LONG = "word " * 30_000
@@ -71,6 +75,49 @@ def test_defined_results(spark, operators):
     assert sum(r.length for r in pieces if r.doc_id == 5) > 30_000
 
 
+STAGE_NAMES = ["doc_id", "text", "lang", "source", "n_chars", "DOC_ID", "Text", "text", "component_id", "c0"]
+
+
+@pytest.fixture(scope="module")
+def sf_dir(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("tables"))
+    spark.createDataFrame(BENCHMARK, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return folder
+
+
+def stage_docs(spark, rows):
+    """Documents with further columns whose names clash, one of them by another case and one twice."""
+    return spark.createDataFrame([(*r[:5], -1, "T", "second", 7, "z") for r in rows], (
+        "a long, b string, c string, d string, e long, f long, g string, h string, i long, j string")).toDF(*STAGE_NAMES)
+
+
+@pytest.mark.parametrize("stage", corpus_pipeline.STAGES, ids=[name for name, _ in corpus_pipeline.STAGES])
+def test_stages_keep_clashing_columns(spark, sf_dir, stage):
+    name, run = stage
+    draw = random.Random(1)
+    good = " ".join("".join(draw.choice("etaoinshrdlu") for _ in range(draw.randint(2, 9))) for _ in range(120))
+    rows = [*ROWS, (8, good + " a@b.cd", "en", "s", 1), (8, good + " a@b.cd", "en", "s", 1),
+            (9, good + " a@b.cd x", "en", "s", 1), (None, good, None, None, None)]
+    docs = staged(stage_docs(spark, rows), "clashing")
+    assert docs.columns == STAGE_NAMES
+    found = run(spark, docs, sf_dir)
+    if name == "packing":
+        assert {r.doc_id for r in found.collect()} == {r[0] for r in rows}
+        assert run(spark, stage_docs(spark, []), sf_dir).collect() == []
+        return
+    assert found.columns == STAGE_NAMES
+    left = [tuple(r) for r in staged(found, "kept").collect()]
+    wanted = {"quality_rules": [8, 8, 9, None], "jaccard_join": [1, 2, 3, 4, 5, 6, 6, 8, 8, None, None],
+              "decontamination": [1, 2, 3, 4, 5, 8, 8, 9, None, None],
+              "personal_data": [1, 2, 3, 4, 5, 6, 6, 7, 8, 8, 9, None, None]}[name]
+    assert sorted((r[0] for r in left), key=str) == sorted(wanted, key=str)
+    assert {r[5:] for r in left} == {(-1, "T", "second", 7, "z")}
+    texts = {r[0]: r[1] for r in left if r[0]}
+    assert texts[8] == good + (" <EMAIL>" if name == "personal_data" else " a@b.cd")
+    empty = staged(run(spark, stage_docs(spark, []), sf_dir), "none")
+    assert empty.columns == STAGE_NAMES and empty.collect() == []
+
+
 def test_no_labels_and_no_benchmark(spark):
     docs = spark.createDataFrame(ROWS, DOCS)
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")

@@ -1,10 +1,13 @@
 """Rules, spans, languages and models on whole texts."""
 
+import os
 import random
 import re
 
 import numpy as np
+import pytest
 import zstandard
+from pyspark.sql import functions as F
 
 from eventmart.llm import language_id, pii, quality_model, quality_rules, toxicity
 
@@ -93,10 +96,65 @@ def test_compression_bands_of_other_scripts():
     assert [len(c) for c in quality_rules.split_chunks("a".encode() + "я".encode() * 4500)] == [4097, 4904]
 
 
+def test_limits_are_continuous():
+    limits = quality_rules.Limits((10, 1000), (1.0, 4.0), (2.0, 8.0))
+    assert limits.hold(100, 2.0) and limits.hold(100, 4.0)
+    assert not limits.hold(100, 1.99) and not limits.hold(100, 4.01)
+    assert limits.hold(0, 1.0) and limits.hold(10, 2.0) and limits.hold(10**9, 8.0) and not limits.hold(5, 2.1)
+    for known in (quality_rules.WHOLE_LIMITS, quality_rules.CHUNK_LIMITS):
+        assert all(a < b for a, b in zip(known.lowest, known.highest, strict=True))
+
+
+def prose(rng, n):
+    words = ["".join(rng.choice("eeetttaaoooiinnsshhrrddlucmfwypvbgk") for _ in range(rng.randint(2, 9))) for _ in range(2000)]
+    return [rng.choice(words) for _ in range(n)]
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
+def test_verdicts_on_labelled_rows(spark):
+    """Of texts that pass the base rule, clean ones stay and most bad ones go."""
+    read = [spark.read.parquet(f"/root/testdata/sf0.01/{name}.parquet") for name in ("documents", "labels")]
+    found = quality_rules.compression_verdicts(read[0]).where("NOT base_failed").join(
+        read[1].where("quality IS NOT NULL"), "doc_id").groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("share")).collect()
+    share = {r.quality: r.share for r in found}
+    assert share[1] >= 0.98 and share[0] <= 0.4
+
+
+def test_chunks_are_judged_on_their_own():
+    """Half of the chunks repeat one line: the whole ratio alone may pass, its chunks do not."""
+    press, rng = zstandard.ZstdCompressor(level=3), random.Random(6)
+    plain, odd = " ".join(prose(rng, 2000)), "".join(rng.choice("abcdefgh") * 12 + " " for _ in range(900))
+    wide = quality_rules.Limits((1,), (0.0,), (1000.0,))
+    found = quality_rules.judge(plain + odd, press, wide)
+    assert found[9] >= 4 and found[10] > found[9] / 4 and not found[6]
+    assert quality_rules.judge(plain, press, wide)[10] == 0
+    assert quality_rules.judge(plain + odd, press, wide, wide)[6]
+
+
+def test_base_columns_by_brute_force(spark):
+    rng = random.Random(7)
+    texts = ["".join(rng.choice("ab é|#\n\t\u2003x") for _ in range(rng.choice((0, 5, 60, 300)))) for _ in range(200)]
+    texts += [None, "", "one two " * 40, " ".join(map(str, range(12)))]
+    found = {r.doc_id: r for r in quality_rules.compression_verdicts(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, text in enumerate(texts):
+        words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        grams = [tuple(words[k:k + 5]) for k in range(len(words) - 4)]
+        repeats = len({k + j for k, g in enumerate(grams) if grams.count(g) > 1 for j in range(5)})
+        lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        r = found[i]
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == (
+            len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")),
+            sum(x in lines[:k] for k, x in enumerate(lines)), repeats,
+            len(words) < 10 or 100 * repeats > 20 * len(words))
+        assert not (r.kept and r.base_failed)
+
+
 def test_keep_returns_the_rows(spark):
-    docs = spark.createDataFrame([(1, "one two " * 40, "s"), (2, None, "s"), (3, "a b", "s")],
+    good = " ".join(prose(random.Random(8), 120))
+    docs = spark.createDataFrame([(1, "one two " * 40, "s"), (2, None, "s"), (3, "a b", "s"), (4, good, "t")],
                                  "doc_id long, text string, source string")
-    assert quality_rules.keep(docs).collect() == []
+    assert [tuple(r) for r in quality_rules.keep(docs).collect()] == [(4, good, "t")]
 
 
 def test_trigrams_are_counted_inside_texts():
