@@ -13,8 +13,11 @@ from eventmart.operators.orders import latest_financials
 from eventmart.operators.skew import BROADCAST_BYTES, payload_bytes, salted_join
 from eventmart.operators.versioning import drop_duplicates, one_row_per_order
 from eventmart.schemas import FACT_PURCHASES
+from eventmart.session import run_dir
+from eventmart.sources.buckets import SLOT, OrderBuckets
 
 SESSION = ["user_id", "session_id"]
+_ORDER_NAMES = {"premium": "order_premium", "created_at": "order_created_at"}
 _EVENT_COLUMNS = ("event_time", "user_id", "session_id", "channel", "event_premium", "city",
                   "device_type", "signup_date")
 
@@ -56,8 +59,7 @@ def denormalize(events: DataFrame, orders: DataFrame, financials: DataFrame,
     side = purchase_side(events)
     if one_per_order:
         side = drop_duplicates(side, SESSION, order=["event_time"])
-    product = orders.withColumnsRenamed({"premium": "order_premium",
-                                         "created_at": "order_created_at"})
+    product = orders.withColumnsRenamed(_ORDER_NAMES)
     matched = salted_join(product, side, SESSION, "inner", spread=["order_id"],
                           count_on=count_on)
     if one_per_order:
@@ -71,6 +73,32 @@ def facts_of(matched: DataFrame, financials: DataFrame, use_nulls: bool = False)
     return _with_financials(one_row_per_order(matched), financials, use_nulls)
 
 
+def denormalize_in_buckets(events: DataFrame, orders: OrderBuckets, financials: Callable[[], DataFrame]) -> DataFrame:
+    """Like :func:`denormalize` with one row per order, for a batch of events over bucketed orders.
+
+    Only buckets with a session of the batch are read, and only the batch is shuffled to them. Hot
+    buckets go through the salted join. ``events`` are read several times: pass a stored frame.
+    """
+    spark = events.sparkSession
+    side = drop_duplicates(purchase_side(events), SESSION, order=["event_time"]).withColumn(SLOT, orders.slot())
+    hot = set(orders.hot_slots(spark))
+    slots = {row[SLOT] for row in side.select(SLOT).distinct().collect()}
+    matched = []
+    if slots - hot:
+        near = orders.read(spark, sorted(slots - hot)).withColumnsRenamed(_ORDER_NAMES)
+        matched.append(near.join(side, [SLOT, *SESSION]).drop(SLOT))
+    if slots & hot:
+        far = orders.read(spark, sorted(slots & hot)).drop(SLOT).withColumnsRenamed(_ORDER_NAMES)
+        matched.append(salted_join(far, side.drop(SLOT), SESSION, "inner", spread=["order_id"]))
+    if not matched:
+        return spark.createDataFrame([], FACT_PURCHASES.schema)
+    rows = one_row_per_order(reduce(DataFrame.unionByName, matched))
+    folder = run_dir(spark, "matched")
+    rows.write.parquet(folder)
+    rows = spark.read.schema(rows.schema).parquet(folder)
+    return _with_financials(rows, point_filter(rows, ["order_id"])(financials()), use_nulls=False)
+
+
 def orders_without_fact(orders: DataFrame, facts: DataFrame,
                         count_on: DataFrame | None = None) -> DataFrame:
     """Orders whose id is in no fact row. The ids are distinct before the anti-join."""

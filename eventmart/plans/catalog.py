@@ -22,7 +22,7 @@ from eventmart.schemas import (
     USER_EVENTS, USERS_FILE)
 from eventmart.session import run_dir
 from eventmart.sources import canonical as data
-from eventmart.sources import files, kafka, tables
+from eventmart.sources import buckets, files, kafka, tables
 from eventmart.streaming import changes, joined, live, records
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -518,7 +518,7 @@ def _record_stream(spark: SparkSession, sf_dir: str, batches: int = 1) -> DataFr
 
 
 def _live(spark: SparkSession, sf_dir: str, with_facts: bool = False,
-          batches: int = 1) -> jobs.Warehouse:
+          batches: int = 1, in_buckets: bool = False) -> jobs.Warehouse:
     """A warehouse filled by the live pipeline from the event stream."""
     house = jobs.Warehouse(spark, run_dir(spark, "live"))
     pipeline = live.LivePipeline(house.root, live.Refreshed(lambda: data.users(spark, sf_dir)),
@@ -527,6 +527,10 @@ def _live(spark: SparkSession, sf_dir: str, with_facts: bool = False,
         product = data.product_tables(spark, sf_dir, late=False)
         pipeline.products = lambda: product
         pipeline.financials = lambda: data.financials(spark, sf_dir)
+    if in_buckets:
+        pipeline.order_buckets = buckets.OrderBuckets(house.root)
+        pipeline.order_buckets.add(orders.product_orders_all(
+            data.product_tables(spark, sf_dir, late=False), collapse=False))
     query = pipeline.start(_record_stream(spark, sf_dir, batches), run_dir(spark, "checkpoint"))
     live.wait(query, 1800)
     return house
@@ -546,6 +550,11 @@ def stream_facts(spark, sf_dir):
     return plain(_live(spark, sf_dir, with_facts=True, batches=3).facts())
 
 
+def stream_facts_in_buckets(spark, sf_dir):
+    """The same facts, with the orders in hash buckets by session."""
+    return plain(_live(spark, sf_dir, with_facts=True, batches=3, in_buckets=True).facts())
+
+
 def _raw_sink(spark: SparkSession, sf_dir: str) -> str:
     root = run_dir(spark, "raw")
     live.wait(live.start_raw_sink(_record_stream(spark, sf_dir), root,
@@ -622,7 +631,7 @@ _GROUPS: Sequence[Query] = (
     offset_gaps, partition_lag, hourly_anomaly, daily_gap_counts, purchases_without_fact,
     field_drift,
     dead_letters, parsed_events, stream_enriched, stream_agg_daily, stream_facts,
-    stream_raw_sink, raw_sink_dead_letters, consumer_totals, stream_two_runs,
+    stream_facts_in_buckets, stream_raw_sink, raw_sink_dead_letters, consumer_totals, stream_two_runs,
     stored_user_changes, change_log_dead_letters, stream_joined_facts, stream_join_state,
 )
 

@@ -445,6 +445,7 @@ _BODIES["change_log_dead_letters"] = """SELECT user_id AS "offset",
     FROM all_people WHERE user_id % 10 IN (3, 7) AND (
         c_acctbal < 0 OR c_mktsegment IN ('BUILDING', 'MACHINERY'))"""
 _BODIES["raw_sink_dead_letters"] = _BODIES["dead_letters"]
+_BODIES["stream_facts_in_buckets"] = _BODIES["stream_facts"]
 _BODIES["stream_two_runs"] = _BODIES["stream_enriched"]
 
 

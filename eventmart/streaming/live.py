@@ -19,11 +19,13 @@ from pyspark.sql.streaming import StreamingQuery
 from eventmart.operators.aggregates import daily_states
 from eventmart.operators.enrich import USER_COLUMNS, enrich
 from eventmart.operators.orders import product_orders_all
-from eventmart.operators.purchases import SESSION, denormalize, key_filter, purchases
+from eventmart.operators.purchases import (
+    SESSION, denormalize, denormalize_in_buckets, key_filter, purchases)
 from eventmart.operators.skew import BROADCAST_BYTES, payload_bytes
 from eventmart.schemas import (
     CONSUMED, DEAD_LETTERS, EVENTS_AGG_DAILY, EVENTS_ENRICHED, FACT_PURCHASES, USER_EVENTS)
 from eventmart.session import run_dir
+from eventmart.sources.buckets import OrderBuckets
 from eventmart.sources.tables import batch_label, read_batch, read_table, write_batch
 from eventmart.streaming.records import dead_letters, good_events, parse_records
 
@@ -70,7 +72,8 @@ class LivePipeline:
     """Where the stream's tables live and how its lookups are read.
 
     ``products`` and ``financials`` are called once per batch. Each batch sees the orders present
-    when it runs; what arrives later is left to the reconcile job.
+    when it runs; what arrives later is left to the reconcile job. With ``order_buckets`` orders come
+    from there, and a batch opens only the buckets of its sessions.
     """
 
     root: str
@@ -78,6 +81,7 @@ class LivePipeline:
     products: Callable[[], Mapping[str, DataFrame]] | None = None
     financials: Callable[[], DataFrame] | None = None
     ingested_at: Callable[[], str | Column | None] = lambda: None
+    order_buckets: OrderBuckets | None = None
 
     def process(self, records: DataFrame, batch_id: int) -> None:
         spark = records.sparkSession
@@ -95,7 +99,10 @@ class LivePipeline:
         # runs again for the outputs below, and a lost executor does not redo them.
         stored = read_batch(spark, self.root, EVENTS_ENRICHED, label)
         write_batch(daily_states(stored), self.root, EVENTS_AGG_DAILY, label)
-        if self.products and self.financials:
+        if self.order_buckets and self.financials:
+            write_batch(denormalize_in_buckets(stored, self.order_buckets, self.financials), self.root,
+                        FACT_PURCHASES, label)
+        elif self.products and self.financials:
             self._write_facts(stored, label)
 
     def _write_facts(self, stored: DataFrame, label: str) -> None:
