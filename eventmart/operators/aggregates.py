@@ -1,14 +1,18 @@
-"""Daily metrics as mergeable states, their final values and the revenue rollup."""
+"""Daily metrics and lags as mergeable states, their final values and the revenue rollup."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.functions.numbers import exact_sum
 from eventmart.functions.times import day_start
 from eventmart.functions.values import PURCHASE
-from eventmart.schemas import DAILY_KEYS, EVENTS_AGG_DAILY
+from eventmart.schemas import DAILY_KEYS, EVENTS_AGG_DAILY, LAG_STATES
+
+LAG_SHARES = {"p50_lag": 0.5, "p95_lag": 0.95, "p99_lag": 0.99}
 
 
 def _daily(events: DataFrame) -> DataFrame:
@@ -48,6 +52,26 @@ def finalize_states(states: DataFrame) -> DataFrame:
         (F.sum("premium_avg.total") / F.sum("premium_avg.n")).alias("premium_avg")))
 
 
+def lag_states(events: DataFrame) -> DataFrame:
+    """Sketches of the ingest lags per day and type, in which quantiles of any merged set of them are
+    found within about 1.5 % of the rank, in a few KB whatever the number of events."""
+    return (events.where(F.col("ingest_lag_sec").isNotNull())
+            .groupBy(F.to_date("event_time").alias("event_date"), "event_type").agg(
+                F.count(F.lit(1)).alias("n"), F.max("ingest_lag_sec").alias("max_lag"),
+                F.kll_sketch_agg_bigint("ingest_lag_sec").alias("lags"))
+            .select(*LAG_STATES.columns))
+
+
+def lag_quantiles(states: DataFrame, by: Sequence[str] = ("event_type",),
+                  shares: Mapping[str, float] = LAG_SHARES) -> DataFrame:
+    """Quantiles of the lags in all states of each group, their number and the largest."""
+    merged = states.groupBy(*by).agg(
+        F.sum("n").alias("n"), F.max("max_lag").alias("max_lag"),
+        F.kll_merge_agg_bigint("lags").alias("lags"))
+    return merged.select(*by, "n", "max_lag", *[
+        F.kll_sketch_get_quantile_bigint("lags", F.lit(share)).alias(name) for name, share in shares.items()])
+
+
 def daily_metrics(events: DataFrame) -> DataFrame:
     """The same metrics straight from the events, with exact numbers of users."""
     return (_daily(events).groupBy(*DAILY_KEYS).agg(

@@ -1,14 +1,16 @@
 """Data-quality checks: one row ``(check_name, status, metric)`` each, and the gate over them.
 
-All checks that look at single event rows share one scan. Rows are counted per distinct lag
-first; the exact percentile then looks at bins of lags, and into one or two of these.
+All checks that look at single event rows share one scan. It counts rows per distinct lag, and these
+counts, far fewer than the events, are written once; the profile and the exact percentile, which looks
+at bins of lags and into one or two of these, read them back. The checks on the profile unfold from
+one row.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,6 +19,7 @@ from eventmart.functions.numbers import half_even
 from eventmart.functions.times import moment, time_text
 from eventmart.functions.values import EPOCH_TIME, LAG_LIMIT_SECONDS, PURCHASE, UNKNOWN
 from eventmart.operators.monitoring import offset_ranges
+from eventmart.session import run_dir
 
 # Seconds of lag to a bin of the percentile's first step.
 LAG_BIN = 4096
@@ -54,11 +57,14 @@ def lag_histogram(events: DataFrame) -> DataFrame:
 
 
 def event_profile(events: DataFrame) -> DataFrame:
-    """One row with every number the row-level checks need."""
+    """One row with every number the row-level checks need. The events are read here, once."""
     def total(name: str) -> Column:
         return F.coalesce(F.sum(name), F.lit(0)).alias(name)
 
     lags = lag_histogram(events)
+    folder = run_dir(events.sparkSession, "lags")
+    lags.write.parquet(folder)
+    lags = events.sparkSession.read.schema(lags.schema).parquet(folder)
     return lags.agg(
         total("n"), total("unmatched"), total("null_premium"), total("odd_premium"),
         total("purchase_events"), F.max("max_ingested_at").alias("max_ingested_at"),
@@ -97,25 +103,66 @@ def weighted_percentile(counts: DataFrame, column: str, share: float,
         (F.col("a") + F.col("part") * (F.col("b") - F.col("a"))).cast("double").alias("value"))
 
 
+def _parity(expected: int) -> Column:
+    return _check("row_count_parity", F.abs(F.col("n") - F.lit(expected)) == 0,
+                  F.concat(_text("clickhouse=", "n"), F.lit(f" expected={expected}")))
+
+
+def _integrity() -> Column:
+    return _check("referential_integrity_users", F.col("unmatched") == 0,
+                  _text("unmatched_users=", "unmatched"))
+
+
+def _null_premium() -> Column:
+    return _check("null_premium_on_purchase", F.col("null_premium") == 0,
+                  _text("null_purchase_premiums=", "null_premium"))
+
+
+def _odd_premium() -> Column:
+    return _check("premium_on_non_purchase", F.col("odd_premium") == 0,
+                  _text("non_purchase_with_premium=", "odd_premium"), "WARN")
+
+
+def _freshness(as_of: str | Column | None) -> Column:
+    return _check(
+        "ingestion_freshness",
+        F.col("max_ingested_at") >= moment(as_of) - F.expr("INTERVAL 1 DAY"),
+        F.concat(_text("max_event_time=", time_text("max_event_time"), EPOCH_TIME),
+                 _text(" max_ingested_at=", time_text("max_ingested_at"), EPOCH_TIME)))
+
+
+def _coverage() -> Column:
+    return _check("denorm_purchase_coverage", F.col("fact_rows") <= F.col("purchase_events"),
+                  F.concat(_text("fact_rows=", "fact_rows"), _text(" purchase_events=", "purchase_events")))
+
+
+def _lag() -> Column:
+    return _check("ingestion_lag", F.col("p95_lag") < LAG_LIMIT_SECONDS,
+                  F.concat(_text("p95_lag_sec=", half_even("p95_lag").cast("bigint"), "nan"),
+                           _text(" max_lag_sec=", "max_lag")), "WARN")
+
+
+def with_fact_rows(profile: DataFrame, facts: DataFrame) -> DataFrame:
+    """The profile with the number of facts. Two one-row frames are added, not crossed."""
+    rows = profile.withColumn("fact_rows", F.lit(0).cast("bigint")).unionByName(
+        facts.agg(F.count(F.lit(1)).alias("fact_rows")), allowMissingColumns=True)
+    return rows.agg(*[F.max(name).alias(name) for name in rows.columns])
+
+
 def row_count_parity(profile: DataFrame, expected: int) -> DataFrame:
-    return _rows(profile, _check(
-        "row_count_parity", F.abs(F.col("n") - F.lit(expected)) == 0,
-        F.concat(_text("clickhouse=", "n"), F.lit(f" expected={expected}"))))
+    return _rows(profile, _parity(expected))
 
 
 def referential_integrity(profile: DataFrame) -> DataFrame:
-    return _rows(profile, _check("referential_integrity_users", F.col("unmatched") == 0,
-                                 _text("unmatched_users=", "unmatched")))
+    return _rows(profile, _integrity())
 
 
 def null_premium(profile: DataFrame) -> DataFrame:
-    return _rows(profile, _check("null_premium_on_purchase", F.col("null_premium") == 0,
-                                 _text("null_purchase_premiums=", "null_premium")))
+    return _rows(profile, _null_premium())
 
 
 def premium_on_non_purchase(profile: DataFrame) -> DataFrame:
-    return _rows(profile, _check("premium_on_non_purchase", F.col("odd_premium") == 0,
-                                 _text("non_purchase_with_premium=", "odd_premium"), "WARN"))
+    return _rows(profile, _odd_premium())
 
 
 def duplicate_count(events: DataFrame) -> DataFrame:
@@ -131,24 +178,19 @@ def duplicate_events(events: DataFrame) -> DataFrame:
 
 
 def freshness(profile: DataFrame, as_of: str | Column | None = None) -> DataFrame:
-    return _rows(profile, _check(
-        "ingestion_freshness",
-        F.col("max_ingested_at") >= moment(as_of) - F.expr("INTERVAL 1 DAY"),
-        F.concat(_text("max_event_time=", time_text("max_event_time"), EPOCH_TIME),
-                 _text(" max_ingested_at=", time_text("max_ingested_at"), EPOCH_TIME))))
+    return _rows(profile, _freshness(as_of))
 
 
 def denorm_coverage(profile: DataFrame, facts: DataFrame) -> DataFrame:
-    """Facts may not outnumber purchases. Two one-row counts are added, not crossed."""
-    counts = profile.select(F.col("purchase_events"), F.lit(0).cast("bigint").alias("fact_rows"))
-    counts = counts.unionByName(facts.agg(
-        F.lit(0).cast("bigint").alias("purchase_events"), F.count(F.lit(1)).alias("fact_rows")))
-    both = counts.agg(F.sum("purchase_events").alias("purchase_events"),
-                      F.sum("fact_rows").alias("fact_rows"))
-    return _rows(both, _check(
-        "denorm_purchase_coverage", F.col("fact_rows") <= F.col("purchase_events"),
-        F.concat(_text("fact_rows=", "fact_rows"), _text(" purchase_events=",
-                                                         "purchase_events"))))
+    """Facts may not outnumber purchases."""
+    return _rows(with_fact_rows(profile, facts), _coverage())
+
+
+def profile_checks(profile: DataFrame, facts: DataFrame, expected: int,
+                   as_of: str | Column | None = None) -> DataFrame:
+    """The seven checks that need no more than the profile and the number of facts, from one row."""
+    return _rows(with_fact_rows(profile, facts), _parity(expected), _integrity(), _null_premium(),
+                 _odd_premium(), _freshness(as_of), _coverage(), _lag())
 
 
 def consumer_errors(consumers: DataFrame, dead_letters: DataFrame | None = None) -> DataFrame:
@@ -186,33 +228,49 @@ def lag_percentiles(profile: DataFrame) -> DataFrame:
 
 
 def ingestion_lag(profile: DataFrame) -> DataFrame:
-    return _rows(profile, _check(
-        "ingestion_lag", F.col("p95_lag") < LAG_LIMIT_SECONDS,
-        F.concat(_text("p95_lag_sec=", half_even("p95_lag").cast("bigint"), "nan"),
-                 _text(" max_lag_sec=", "max_lag")), "WARN"))
+    return _rows(profile, _lag())
+
+
+class Checks(dict):
+    """The ten checks by name, built only when called, and what they look at.
+
+    The events are profiled when the first check that needs it is built.
+    """
+
+    def __init__(self, events: DataFrame, facts: DataFrame, consumers: DataFrame, expected: int,
+                 as_of: str | Column | None = None, dead_letters: DataFrame | None = None) -> None:
+        self.events, self.facts, self.consumers, self.expected = events, facts, consumers, expected
+        self.as_of, self.dead_letters = as_of, dead_letters
+        super().__init__({
+            "row_count_parity": lambda: row_count_parity(self.profile, expected),
+            "referential_integrity_users": lambda: referential_integrity(self.profile),
+            "null_premium_on_purchase": lambda: null_premium(self.profile),
+            "premium_on_non_purchase": lambda: premium_on_non_purchase(self.profile),
+            "duplicate_events": lambda: duplicate_events(events),
+            "ingestion_freshness": lambda: freshness(self.profile, as_of),
+            "denorm_purchase_coverage": lambda: denorm_coverage(self.profile, facts),
+            "kafka_consumer_errors": lambda: consumer_errors(consumers, dead_letters),
+            "offset_continuity": lambda: offset_continuity(events),
+            "ingestion_lag": lambda: ingestion_lag(self.profile),
+        })
+
+    @cached_property
+    def profile(self) -> DataFrame:
+        return event_profile(self.events)
 
 
 def checks(events: DataFrame, facts: DataFrame, consumers: DataFrame, expected: int,
-           as_of: str | Column | None = None,
-           dead_letters: DataFrame | None = None) -> Mapping[str, Callable[[], DataFrame]]:
-    """The ten checks by name, built only when called."""
-    profile = event_profile(events)
-    return {
-        "row_count_parity": lambda: row_count_parity(profile, expected),
-        "referential_integrity_users": lambda: referential_integrity(profile),
-        "null_premium_on_purchase": lambda: null_premium(profile),
-        "premium_on_non_purchase": lambda: premium_on_non_purchase(profile),
-        "duplicate_events": lambda: duplicate_events(events),
-        "ingestion_freshness": lambda: freshness(profile, as_of),
-        "denorm_purchase_coverage": lambda: denorm_coverage(profile, facts),
-        "kafka_consumer_errors": lambda: consumer_errors(consumers, dead_letters),
-        "offset_continuity": lambda: offset_continuity(events),
-        "ingestion_lag": lambda: ingestion_lag(profile),
-    }
+           as_of: str | Column | None = None, dead_letters: DataFrame | None = None) -> Checks:
+    return Checks(events, facts, consumers, expected, as_of, dead_letters)
 
 
 def report(built: Mapping[str, Callable[[], DataFrame]]) -> DataFrame:
-    """All checks as one frame. The shared profile is one exchange, reused by its readers."""
+    """The checks as one frame; of all ten, seven come from one row."""
+    if isinstance(built, Checks):
+        return reduce(DataFrame.unionByName, [
+            profile_checks(built.profile, built.facts, built.expected, built.as_of),
+            duplicate_events(built.events), consumer_errors(built.consumers, built.dead_letters),
+            offset_continuity(built.events)])
     return reduce(DataFrame.unionByName, [make() for make in built.values()])
 
 
@@ -236,7 +294,7 @@ class GateResult:
 def run_gate(built: Mapping[str, Callable[[], DataFrame]]) -> GateResult:
     """Run the checks; one that raises counts as a failure, one without a row is skipped.
 
-    They run together first and one by one only if that raises.
+    They run together first and one by one only if that raises, and are told in their order.
     """
     try:
         found = report(built).collect()
@@ -244,7 +302,8 @@ def run_gate(built: Mapping[str, Callable[[], DataFrame]]) -> GateResult:
         found = None
     result = GateResult()
     if found is not None:
-        for row in found:
+        places = {name: i for i, name in enumerate(built)}
+        for row in sorted(found, key=lambda row: places.get(row["check_name"], 0)):
             result.add(*row)
         return result
     for name, make in built.items():

@@ -19,7 +19,7 @@ from eventmart.plans import backfill, jobs, ledger, rollup
 from eventmart.schemas import (
     DEAD_LETTERS,
     BODY_ORDER, EVENTS_ENRICHED, EVENTS_FILE, EVENTS_FILE_TEXT, FACT_PURCHASES, FINANCIAL_ORDER,
-    USER_EVENTS, USERS_FILE)
+    LAG_STATES, USER_EVENTS, USERS_FILE)
 from eventmart.session import run_dir
 from eventmart.sources import canonical as data
 from eventmart.sources import buckets, files, kafka, tables
@@ -117,11 +117,14 @@ def appended_csv(spark, sf_dir):
 
 
 def sessions_by_bloom_filter(spark, sf_dir):
-    """Stored events of every hundredth session, a column with Bloom filters off the sort order."""
+    """All stored events of the sessions that were the last of their type in their partition, looked up
+    by value in a column with Bloom filters off the sort order."""
     root = run_dir(spark, "bloom")
     tables.write_batch(data.enriched(spark, sf_dir), root, EVENTS_ENRICHED, "all")
     stored = tables.read_table(spark, root, EVENTS_ENRICHED)
-    return plain(stored.where(F.col("session_id").like("s-%00")))
+    last = stored.groupBy("event_type", "kafka_partition").agg(
+        F.max_by("session_id", F.struct("event_time", "session_id")).alias("session_id"))
+    return plain(purchases.point_filter(last, ["session_id"])(stored))
 
 
 def expected_source_rows(spark, sf_dir):
@@ -518,11 +521,11 @@ def _record_stream(spark: SparkSession, sf_dir: str, batches: int = 1) -> DataFr
 
 
 def _live(spark: SparkSession, sf_dir: str, with_facts: bool = False,
-          batches: int = 1, in_buckets: bool = False) -> jobs.Warehouse:
+          batches: int = 1, in_buckets: bool = False, lag_sketches: bool = False) -> jobs.Warehouse:
     """A warehouse filled by the live pipeline from the event stream."""
     house = jobs.Warehouse(spark, run_dir(spark, "live"))
     pipeline = live.LivePipeline(house.root, live.Refreshed(lambda: data.users(spark, sf_dir)),
-                                 ingested_at=lambda: AS_OF)
+                                 ingested_at=lambda: AS_OF, lag_sketches=lag_sketches)
     if with_facts:
         product = data.product_tables(spark, sf_dir, late=False)
         pipeline.products = lambda: product
@@ -550,6 +553,46 @@ def stream_facts(spark, sf_dir):
     return plain(_live(spark, sf_dir, with_facts=True, batches=3).facts())
 
 
+def stream_lag_quantiles(spark, sf_dir):
+    """Lags of three micro-batches by type, from their sketches: whether each quantile's true rank is within
+    two hundredths of the asked one."""
+    house = _live(spark, sf_dir, batches=3, lag_sketches=True)
+    found = aggregates.lag_quantiles(tables.read_table(spark, house.root, LAG_STATES))
+    names = aggregates.LAG_SHARES
+    ranks = house.events().join(F.broadcast(found), "event_type").groupBy(
+        "event_type", "n", "max_lag").agg(F.count(F.lit(1)).alias("events"), *[
+            F.avg((F.col("ingest_lag_sec") <= F.col(name)).cast("int")).alias(name) for name in names])
+    return ranks.select("event_type", "n", "max_lag", "events", *[
+        (F.abs(F.col(name) - share) <= 0.02).alias(name) for name, share in names.items()])
+
+
+def _redelivered(spark: SparkSession, sf_dir: str, run: int) -> DataFrame:
+    """Messages of one run: those of its part of the month; those with k of 50 twice; again, with later
+    times, those with 51 from the part before and those with 52 from the part before that."""
+    sent = data.events(spark, sf_dir)
+
+    def again(k: int, parts: int) -> DataFrame:
+        return sent.where(f"k = {k} and {data.part_of('event_time')} = {run - parts}").withColumn(
+            "kafka_timestamp", F.expr(f"kafka_timestamp + INTERVAL {10 * parts} DAY"))
+
+    return data.messages(reduce(DataFrame.unionByName, [
+        sent.where(_part(run)), again(50, 0), again(51, 1), again(52, 2)]))
+
+
+def stream_without_copies(spark, sf_dir):
+    """Events of a stream whose messages come again: in the same batch, in the next, and after the time
+    for which it is known that they came, when they are taken in once more."""
+    house = jobs.Warehouse(spark, run_dir(spark, "copies"))
+    pipeline = live.LivePipeline(house.root, live.Refreshed(lambda: data.users(spark, sf_dir)),
+                                 ingested_at=lambda: AS_OF, redelivery="5 days")
+    landing, checkpoint = run_dir(spark, "landing"), run_dir(spark, "checkpoint")
+    for run in data.RUNS:
+        came = _redelivered(spark, sf_dir, run)
+        joined.append(came, landing)
+        live.wait(pipeline.start(joined.folder_stream(spark, came, landing), checkpoint), 1800)
+    return plain(house.events())
+
+
 def stream_facts_in_buckets(spark, sf_dir):
     """The same facts, with the orders in hash buckets by session."""
     return plain(_live(spark, sf_dir, with_facts=True, batches=3, in_buckets=True).facts())
@@ -633,6 +676,7 @@ _GROUPS: Sequence[Query] = (
     dead_letters, parsed_events, stream_enriched, stream_agg_daily, stream_facts,
     stream_facts_in_buckets, stream_raw_sink, raw_sink_dead_letters, consumer_totals, stream_two_runs,
     stored_user_changes, change_log_dead_letters, stream_joined_facts, stream_join_state,
+    stream_lag_quantiles, stream_without_copies,
 )
 
 QUERIES: dict[str, Query] = {query.__name__: query for query in _GROUPS}

@@ -438,13 +438,25 @@ _BODIES["stored_revenue_rollup"] = f"""SELECT product_line,
     WHERE user_id NOT IN (SELECT user_id FROM subjects) GROUP BY ALL"""
 _BODIES["users_from_csv"] = _BODIES["loaded_users"]
 _BODIES["appended_csv"] = _BODIES["csv_round_trip"]
-_BODIES["sessions_by_bloom_filter"] = (
-    _BODIES["enriched_events"] + " WHERE session_id LIKE 's-%00'")
+_BODIES["sessions_by_bloom_filter"] = _BODIES["enriched_events"] + """
+    WHERE session_id IN (SELECT arg_max(session_id, (event_time, session_id)) FROM ev
+                         GROUP BY event_type, kafka_partition)"""
+_BODIES["stream_lag_quantiles"] = """SELECT event_type, count(*) AS n,
+        max(CAST(epoch(TIMESTAMP '2024-01-31 00:00:00' - kafka_timestamp) AS BIGINT)) AS max_lag,
+        count(*) AS events, TRUE AS p50_lag, TRUE AS p95_lag, TRUE AS p99_lag FROM good GROUP BY 1"""
 _BODIES["change_log_dead_letters"] = """SELECT user_id AS "offset",
     CASE user_id % 10 WHEN 3 THEN 'user_id: u' || user_id ELSE 'updated_at: soon' END AS error
     FROM all_people WHERE user_id % 10 IN (3, 7) AND (
         c_acctbal < 0 OR c_mktsegment IN ('BUILDING', 'MACHINERY'))"""
 _BODIES["raw_sink_dead_letters"] = _BODIES["dead_letters"]
+_BODIES["stream_without_copies"] = f"""WITH delivered AS (
+        SELECT * FROM good_enriched UNION ALL BY NAME
+        SELECT * REPLACE (kafka_timestamp + INTERVAL 20 DAY AS kafka_timestamp) FROM good_enriched
+        WHERE k = 52 AND event_time < TIMESTAMP '2024-01-11')
+    SELECT {_list([c for c in _ENRICHED if c not in ('_ingested_at', 'ingest_lag_sec')])},
+        '2024-01-31 00:00:00' AS _ingested_at,
+        CAST(epoch(TIMESTAMP '2024-01-31 00:00:00' - kafka_timestamp) AS BIGINT) AS ingest_lag_sec
+    FROM delivered"""
 _BODIES["stream_facts_in_buckets"] = _BODIES["stream_facts"]
 _BODIES["stream_two_runs"] = _BODIES["stream_enriched"]
 

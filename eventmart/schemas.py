@@ -75,6 +75,12 @@ EVENTS_AGG_DAILY = Table(
     key=DAILY_KEYS,
     sort=("event_date", "event_type", "channel", "city", "device_type"), month_of="event_date")
 
+# Sketches of ingest lags, one per batch, day and type.
+LAG_STATES = Table(
+    "lag_states",
+    _schema(event_date=DATE, event_type=TEXT, n=LONG, max_lag=LONG, lags=BYTES),
+    key=("event_date", "event_type"), sort=("event_date", "event_type"), month_of="event_date")
+
 _ORDER = {"order_id": LONG, "user_id": LONG, "session_id": TEXT, "premium": DOUBLE,
           "created_at": TIME}
 _ORDER_KEY = ("user_id", "session_id", "order_id")
@@ -152,5 +158,5 @@ COUNTED_BATCHES = Table("counted_batches", _schema(label=TEXT))
 DATA_TABLES = (
     EVENTS_ENRICHED, EVENTS_AGG_DAILY, FACT_PURCHASES, *PRODUCT_TABLES.values(),
     FINANCIAL_ORDER, EVENTS_ENRICHED_BACKFILL, USER_EVENTS, OPEN_ORDERS, SEEN_BATCHES,
-    REVENUE_CHANGES, COUNTED_BATCHES,
+    REVENUE_CHANGES, COUNTED_BATCHES, LAG_STATES,
 )

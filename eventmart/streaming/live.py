@@ -16,18 +16,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from eventmart.operators.aggregates import daily_states
+from eventmart.operators.aggregates import daily_states, lag_states
 from eventmart.operators.enrich import USER_COLUMNS, enrich
 from eventmart.operators.orders import product_orders_all
 from eventmart.operators.purchases import (
     SESSION, denormalize, denormalize_in_buckets, key_filter, purchases)
 from eventmart.operators.skew import BROADCAST_BYTES, payload_bytes
 from eventmart.schemas import (
-    CONSUMED, DEAD_LETTERS, EVENTS_AGG_DAILY, EVENTS_ENRICHED, FACT_PURCHASES, USER_EVENTS)
+    CONSUMED, DEAD_LETTERS, EVENTS_AGG_DAILY, EVENTS_ENRICHED, FACT_PURCHASES, LAG_STATES, USER_EVENTS)
 from eventmart.session import run_dir
 from eventmart.sources.buckets import OrderBuckets
 from eventmart.sources.tables import batch_label, read_batch, read_table, write_batch
-from eventmart.streaming.records import dead_letters, good_events, parse_records
+from eventmart.streaming.records import (
+    dead_letters, first_deliveries, good_events, parse_records)
 
 REFRESH_SECONDS = 300
 
@@ -73,7 +74,9 @@ class LivePipeline:
 
     ``products`` and ``financials`` are called once per batch. Each batch sees the orders present
     when it runs; what arrives later is left to the reconcile job. With ``order_buckets`` orders come
-    from there, and a batch opens only the buckets of its sessions.
+    from there, and a batch opens only the buckets of its sessions. With ``redelivery``, a time such as
+    "1 hour", messages that come again within it never reach the tables. With ``lag_sketches`` each batch
+    adds sketches of its ingest lags.
     """
 
     root: str
@@ -82,6 +85,8 @@ class LivePipeline:
     financials: Callable[[], DataFrame] | None = None
     ingested_at: Callable[[], str | Column | None] = lambda: None
     order_buckets: OrderBuckets | None = None
+    redelivery: str | None = None
+    lag_sketches: bool = False
 
     def process(self, records: DataFrame, batch_id: int) -> None:
         spark = records.sparkSession
@@ -99,6 +104,8 @@ class LivePipeline:
         # runs again for the outputs below, and a lost executor does not redo them.
         stored = read_batch(spark, self.root, EVENTS_ENRICHED, label)
         write_batch(daily_states(stored), self.root, EVENTS_AGG_DAILY, label)
+        if self.lag_sketches:
+            write_batch(lag_states(stored), self.root, LAG_STATES, label)
         if self.order_buckets and self.financials:
             write_batch(denormalize_in_buckets(stored, self.order_buckets, self.financials), self.root,
                         FACT_PURCHASES, label)
@@ -123,6 +130,8 @@ class LivePipeline:
     def start(self, records: DataFrame, checkpoint: str, every: str | None = None,
               name: str | None = None) -> StreamingQuery:
         """Start the query: over what is there now, or every so often, such as "10 seconds"."""
+        if self.redelivery:
+            records = first_deliveries(records, self.redelivery)
         writer = records.writeStream.foreachBatch(self.process).option(
             "checkpointLocation", checkpoint)
         if name:

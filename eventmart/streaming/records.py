@@ -53,6 +53,22 @@ def parse_records(records: DataFrame) -> DataFrame:
     return typed.select(*names, *EVENT_FIELDS, good.alias("_good"), error.alias("error"))
 
 
+def first_deliveries(records: DataFrame, delay: str) -> DataFrame:
+    """A stream's records without redelivered ones: of those that hold the same event, the first.
+
+    An event is known for ``delay`` after its first message's time, as long as the watermark takes to
+    get there; the state holds no more than that. A copy that comes later passes, and reads that drop
+    copies have to find it. A record older than the watermark is dropped. Records that are no event are
+    told apart by their position.
+    """
+    parsed = parse_records(records)
+    event = F.struct("event_time", "user_id", "session_id", "event_type")
+    position = F.struct("topic", "partition", "offset")
+    key = F.when(F.col("_good"), F.to_json(event)).otherwise(F.to_json(position))
+    return (parsed.select(*records.columns, key.alias("_event")).withWatermark("timestamp", delay)
+            .dropDuplicatesWithinWatermark(["_event"]).drop("_event"))
+
+
 def good_events(parsed: DataFrame) -> DataFrame:
     """Events of the good records with their position in the stream."""
     return parsed.filter("_good").withColumnsRenamed({

@@ -67,3 +67,20 @@ def test_revenue(spark, rows):
         ("2025-10-01 00:00:00", 0.1, 1), ("2025-10-02 00:00:00", 0.2, 1)]
     assert rows(a.revenue_by_line_since(facts, "2025-10-01 00:00:00")) == [("third", 0.3)]
     assert rows(a.revenue_by_line_since(facts, "2025-10-02 00:00:00")) == [("third", 0.2)]
+
+
+def test_lag_quantiles_of_merged_states(spark):
+    draw = random.Random(4)
+    lags = [int(draw.lognormvariate(3, 2)) for _ in range(3000)]
+    events = spark.createDataFrame([(h.at("2025-10-01 10:00:00"), "view", x, i % 5) for i, x in enumerate(lags)] + [
+        (h.at("2025-10-01 10:00:00"), "view", None, 0)], "event_time timestamp, event_type string, ingest_lag_sec long, batch int")
+    states = None
+    for batch in range(5):
+        part = a.lag_states(events.where(f"batch = {batch}"))
+        states = part if states is None else states.unionByName(part)
+    row, = a.lag_quantiles(states).collect()
+    assert (row.event_type, row.n, row.max_lag) == ("view", 3000, max(lags))
+    for name, share in a.LAG_SHARES.items():
+        below, upto = sum(x < row[name] for x in lags), sum(x <= row[name] for x in lags)
+        assert below / 3000 - 0.02 <= share <= upto / 3000 + 0.02
+    assert a.lag_quantiles(states.limit(0)).collect() == []

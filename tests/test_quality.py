@@ -115,3 +115,13 @@ def test_percentile_equals_sparks(spark, values):
     found = quality.weighted_percentile(counts, "lag", 0.95).collect()
     wanted = counts.where("lag IS NOT NULL").agg(F.percentile("lag", F.lit(0.95), F.col("n"))).first()[0]
     assert [r.value for r in found] == [wanted if wanted is None else pytest.approx(wanted)]
+
+
+def test_the_whole_report_reads_the_events_four_times(spark, tmp_path):
+    """Profile, duplicates, consumers and offsets; the profile's own read is done when it is built."""
+    h.events(spark, *GOOD).write.parquet(str(tmp_path / "events"))
+    events = spark.read.parquet(str(tmp_path / "events"))
+    report = quality.report(quality.checks(events, spark.range(4), monitoring.partition_progress(events), 4, AS_OF))
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(f"{tmp_path.name}/events") <= 3 and plan.count("FileScan parquet") <= 6
+    assert len(report.collect()) == 10

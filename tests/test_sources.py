@@ -226,3 +226,45 @@ def test_rewrite_that_was_not_staged_changes_nothing(spark, rows, root):
     Path(f"{root}/_rewrites/events_enriched/x-months-202510/_SUCCESS").unlink()
     assert tables.finish_rewrites(spark, root, EVENTS_ENRICHED) == 0
     assert rows(tables.read_table(spark, root, EVENTS_ENRICHED)) == before
+
+
+def test_point_lookups_skip_row_groups_by_bloom_filters(spark, tmp_path):
+    """Sessions by value, off the sort order: statistics cannot tell, Bloom filters can."""
+    from eventmart.operators.purchases import point_filter
+
+    rows = spark.range(40_000).selectExpr(
+        "timestamp '2025-10-01 00:00:00' AS event_time", "id AS user_id",
+        "concat('s-', pmod(xxhash64(id), 40000)) AS session_id").coalesce(1).sortWithinPartitions("user_id")
+    wanted = spark.createDataFrame([("s-17",), ("s-4242",), (None,)], "session_id string")
+    read = {}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for name, options in (("plain", {}), ("bloom", tables.bloom_options(["session_id"]))):
+            path = str(tmp_path / name)
+            # Row groups are checked for their size every hundred rows here, and so hold about a thousand.
+            rows.write.options(**options, **{
+                "parquet.block.size": "8192", "parquet.page.size.row.check.min": "100",
+                "parquet.page.size.row.check.max": "100", "parquet.enable.dictionary": "false",
+                "parquet.block.size.row.check.min": "100"}).parquet(path)
+            found = point_filter(wanted, ["session_id"])(spark.read.parquet(path))
+            found.write.format("noop").mode("overwrite").save()
+            execution = found._jdf.queryExecution()
+            got = found.collect()
+            leaves = execution.executedPlan().collectLeaves()
+            scans = [leaves.apply(i) for i in range(leaves.size()) if "Parquet" in leaves.apply(i).toString()]
+            assert all("In(session_id" in s.toString() or "session_id" in s.toString() for s in scans)
+            read[name] = (sorted(r.user_id for r in got), scans[0].metrics().apply("numOutputRows").value())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert read["plain"][0] == read["bloom"][0]
+    assert 0 <= read["bloom"][1] < read["plain"][1] == 40_000
+
+
+def test_point_filter_without_keys_scans_nothing(spark, tmp_path):
+    from eventmart.operators.purchases import point_filter
+
+    none = spark.createDataFrame([], "user_id long")
+    found = point_filter(none, ["user_id"])(spark.range(5).withColumnRenamed("id", "user_id"))
+    assert found.collect() == [] and "LocalTableScan" in found._jdf.queryExecution().executedPlan().toString()
+    many = spark.range(30).withColumnRenamed("id", "user_id")
+    assert point_filter(many.limit(20), ["user_id"], most=10)(many).count() == 20

@@ -221,3 +221,24 @@ def test_user_changes_from_a_stream(spark, rows, source, tmp_path):
     assert jobs.Warehouse(spark, house, change_log=True).users().count() == 2
     changes.fold(spark, house, str(tmp_path / "new"))
     assert rows(read_table(spark, str(tmp_path / "new"), USERS), "user_id") == [(1,), (3,)]
+
+
+def test_redelivered_messages_come_in_once(spark, source, pipeline, rows):
+    """Copies in one batch, in another, and after the event is forgotten; bad records all stay."""
+    def sent(value, offset, when):
+        return ("k", value, "user_events", 0, offset, datetime(2025, 10, *when))
+
+    def run(*records):
+        source.add(spark.createDataFrame(list(records), ENVELOPE))
+        live.wait(pipeline.start(spark.readStream.schema(ENVELOPE).parquet(source.path), source.checkpoint), 120)
+        return rows(read_table(spark, pipeline.root, EVENTS_ENRICHED), "kafka_offset")
+
+    pipeline.products = None
+    pipeline.redelivery = "2 hours"
+    one, two = message(1, "s1"), message(2, "s2")
+    assert run(sent(one, 0, (1, 10)), sent(one, 0, (1, 10)), sent("bad", 1, (1, 10)), sent("bad", 2, (1, 10))) == [(0,)]
+    assert run(sent(one, 3, (1, 11)), sent(two, 4, (1, 12))) == [(0,), (4,)]
+    # The watermark stands at 10 of the second now: the first event is forgotten.
+    run(sent(message(3, "s3"), 5, (2, 12)))
+    assert run(sent(one, 6, (2, 13))) == [(0,), (4,), (5,), (6,)]
+    assert rows(read_table(spark, pipeline.root, DEAD_LETTERS), "offset") == [(1,), (2,)]
