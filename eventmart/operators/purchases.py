@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.functions.values import EPOCH_TIME, PURCHASE
+from eventmart.operators.filters import key_filter, point_filter
 from eventmart.operators.orders import latest_financials
-from eventmart.operators.skew import BROADCAST_BYTES, payload_bytes, salted_join
+from eventmart.operators.skew import salted_join
 from eventmart.operators.versioning import drop_duplicates, one_row_per_order
 from eventmart.schemas import FACT_PURCHASES
 from eventmart.session import run_dir
@@ -18,6 +19,9 @@ from eventmart.sources.buckets import SLOT, OrderBuckets
 
 SESSION = ["user_id", "session_id"]
 _ORDER_NAMES = {"premium": "order_premium", "created_at": "order_created_at"}
+__all__ = [
+    "SESSION", "denormalize", "denormalize_in_buckets", "facts_of", "key_filter", "orders_without_fact",
+    "point_filter", "purchase_side", "purchases", "purchases_without_fact", "reconcile"]
 _EVENT_COLUMNS = ("event_time", "user_id", "session_id", "channel", "event_premium", "city",
                   "device_type", "signup_date")
 
@@ -113,38 +117,6 @@ def reconcile(events: DataFrame, orders: DataFrame, financials: DataFrame, facts
     return denormalize(events, missing, financials, count_on=count_on)
 
 
-def key_filter(keys: DataFrame, on: Sequence[str],
-               max_bytes: int = BROADCAST_BYTES) -> Callable[[DataFrame], DataFrame]:
-    """A filter to rows whose key is in ``keys``, or one that keeps all if the keys are many.
-
-    It goes ahead of a join on the same key, so either way the join's result is the same;
-    with few keys it spares the shuffle of a whole table. ``keys`` is read to be measured, so
-    pass a stored, cached or small frame.
-    """
-    distinct = keys.select(*on).distinct()
-    if payload_bytes(distinct) > max_bytes:
-        return lambda df: df
-    return lambda df: df.join(F.broadcast(distinct), list(on), "left_semi")
-
-
-#: Keys that a scan is asked for one by one.
-POINT_KEYS = 1000
-
-
-def point_filter(keys: DataFrame, on: Sequence[str],
-                 most: int = POINT_KEYS) -> Callable[[DataFrame], DataFrame]:
-    """Like :func:`key_filter`, and with at most ``most`` keys their values are named in the scan,
-    so that row groups without them are skipped by their statistics or Bloom filters. Without any
-    key nothing is scanned."""
-    few = keys.select(*on).distinct().limit(most + 1).collect()
-    if len(few) > most:
-        return key_filter(keys, on)
-    named = reduce(Column.__and__, [
-        F.col(name).isin([row[name] for row in few if row[name] is not None]) for name in on])
-    listed = F.broadcast(keys.sparkSession.createDataFrame(few, keys.select(*on).schema))
-    return lambda df: df.where(named).join(listed, list(on), "left_semi")
-
-
 def purchases_without_fact(events: DataFrame, facts: DataFrame) -> DataFrame:
     """Purchases whose session has no fact row."""
     return salted_join(purchases(events), facts.select(*SESSION).distinct(), SESSION,

@@ -23,7 +23,7 @@ from eventmart.schemas import (
 from eventmart.session import run_dir
 from eventmart.sources import canonical as data
 from eventmart.sources import buckets, files, kafka, tables
-from eventmart.streaming import changes, joined, live, records
+from eventmart.streaming import changes, joined, live, records, users
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -648,6 +648,32 @@ def change_log_dead_letters(spark, sf_dir):
     return records.change_dead_letters(sent).select("offset", "error")
 
 
+def users_from_change_stream(spark, sf_dir):
+    """Users by the raw change stream: moves in a first run, folded into the buckets that changed; then
+    additions, and removals with the tombstone that follows each."""
+    store = users.UserStore(spark, run_dir(spark, "users"), buckets=16)
+    store.load(data.users(spark, sf_dir))
+    log = data.changes(spark, sf_dir)
+    sent = log.select(
+        F.col("user_id").cast("string").alias("key"), F.to_json(F.struct(
+            "user_id", F.date_format("signup_date", "yyyy-MM-dd").alias("signup_date"), "city", "device_type",
+            F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss").alias("updated_at"),
+            F.col("_deleted").cast("string").alias("__deleted"))).alias("value"),
+        F.lit("users").alias("topic"), F.lit(0).alias("partition"), (F.col("_position") * 2).alias("offset"),
+        F.lit(None).cast("timestamp").alias("timestamp"), "_deleted", "city")
+    moved = F.col("city").startswith("NEW-")
+    tombstones = sent.where("_deleted").withColumns({
+        "value": F.lit(None).cast("string"), "offset": F.col("offset") + 1})
+    landing, checkpoint = run_dir(spark, "landing"), run_dir(spark, "checkpoint")
+    for came in (sent.where(moved), sent.where(~moved).unionByName(tombstones)):
+        came = came.drop("_deleted", "city")
+        joined.append(came, landing)
+        live.wait(store.start(joined.folder_stream(spark, came, landing), checkpoint), 1800)
+        store.fold()
+        store.sweep()
+    return plain(store.current())
+
+
 def stored_user_changes(spark, sf_dir):
     """Users read through a stored change log."""
     root = run_dir(spark, "changes")
@@ -676,7 +702,7 @@ _GROUPS: Sequence[Query] = (
     dead_letters, parsed_events, stream_enriched, stream_agg_daily, stream_facts,
     stream_facts_in_buckets, stream_raw_sink, raw_sink_dead_letters, consumer_totals, stream_two_runs,
     stored_user_changes, change_log_dead_letters, stream_joined_facts, stream_join_state,
-    stream_lag_quantiles, stream_without_copies,
+    stream_lag_quantiles, stream_without_copies, users_from_change_stream,
 )
 
 QUERIES: dict[str, Query] = {query.__name__: query for query in _GROUPS}

@@ -449,6 +449,7 @@ _BODIES["change_log_dead_letters"] = """SELECT user_id AS "offset",
     FROM all_people WHERE user_id % 10 IN (3, 7) AND (
         c_acctbal < 0 OR c_mktsegment IN ('BUILDING', 'MACHINERY'))"""
 _BODIES["raw_sink_dead_letters"] = _BODIES["dead_letters"]
+_BODIES["users_from_change_stream"] = _CHANGED_USERS
 _BODIES["stream_without_copies"] = f"""WITH delivered AS (
         SELECT * FROM good_enriched UNION ALL BY NAME
         SELECT * REPLACE (kafka_timestamp + INTERVAL 20 DAY AS kafka_timestamp) FROM good_enriched

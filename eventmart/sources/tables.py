@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventmart.functions.times import month_number
+from eventmart.operators.filters import point_filter
 from eventmart.operators.governance import erased, retained
 from eventmart.operators.versioning import latest_version
 from eventmart.schemas import Table
@@ -118,6 +119,17 @@ def read_batches(spark: SparkSession, root: str, table: Table, labels: Iterable[
         *folders).select(*table.columns)
 
 
+def stored_folders(spark: SparkSession, top: str, inner: str) -> list[str]:
+    """Folders ``batch=<label>/<inner>=<value>`` below ``top``."""
+    files, path = _files(spark, top)
+    return [f"{f.getPath().getParent().getName()}/{f.getPath().getName()}"
+            for f in files.globStatus(path(f"{top}/{BATCH}=*/{inner}=*")) or []]
+
+
+def drop_folders(spark: SparkSession, folders: Iterable[str]) -> None:
+    _delete(spark, folders)
+
+
 def drop_batches(spark: SparkSession, root: str, table: Table, labels: Iterable[str]) -> None:
     """Delete some batches of a table."""
     _delete(spark, [f"{table_path(root, table)}/{BATCH}={label}" for label in labels])
@@ -154,7 +166,7 @@ def truncate(spark: SparkSession, root: str, tables: Iterable[Table]) -> None:
          .parquet(table_path(root, table)))
 
 
-STAGING, SWAPPING = "_rewrites", "_swapping"
+STAGING, SWAPPING, REPLACED = "_rewrites", "_swapping", "_replaced"
 
 
 def _files(spark: SparkSession, path: str):
@@ -177,6 +189,42 @@ def _delete(spark: SparkSession, folders: Iterable[str]) -> None:
         files.delete(path(folder), True)
 
 
+def _replace_files(spark: SparkSession, root: str, table: Table, staged: str) -> None:
+    """Delete the files that a staged rewrite replaces and move its own to their folders. New names differ
+    from old ones, so either half may be repeated."""
+    files, path = _files(spark, staged)
+    for row in spark.read.text(f"{staged}/{REPLACED}").collect():
+        files.delete(path(row.value), False)
+    for f in files.globStatus(path(f"{staged}/{BATCH}=*/{MONTH}=*/*.parquet")) or []:
+        month = f.getPath().getParent()
+        home = f"{table_path(root, table)}/{month.getParent().getName()}/{month.getName()}"
+        files.mkdirs(path(home))
+        if not files.rename(f.getPath(), path(f"{home}/{f.getPath().getName()}")):
+            raise OSError(f"cannot move {f.getPath()} to {home}")
+    spark.catalog.refreshByPath(table_path(root, table))
+
+
+def rewrite_files(spark: SparkSession, root: str, table: Table, names: Sequence[str],
+                  change: Callable[[DataFrame], DataFrame]) -> None:
+    """Replace the rows of some files by ``change`` of them; all other files stay as they are.
+
+    The new files are staged with the list of those that they replace. One that is cut off is completed
+    or dropped by ``finish_rewrites``.
+    """
+    finish_rewrites(spark, root, table)
+    if not names:
+        return
+    staged = f"{root}/{STAGING}/{table.name}/{uuid.uuid4().hex}-files"
+    before = spark.read.schema(_stored_schema(table)).option(
+        "basePath", table_path(root, table)).parquet(*names)
+    spark.createDataFrame([(name,) for name in names], "value string").coalesce(1).write.text(f"{staged}/{REPLACED}")
+    (change(before).hint("rebalance", *partition_columns(table))
+     .sortWithinPartitions(*partition_columns(table), *table.sort)
+     .write.mode("append").options(**bloom_options(table.bloom)).partitionBy(*partition_columns(table)).parquet(staged))
+    _replace_files(spark, root, table, staged)
+    _delete(spark, [staged])
+
+
 def finish_rewrites(spark: SparkSession, root: str, table: Table) -> int:
     """Complete the rewrites of a table that were cut off; returns how many.
 
@@ -189,7 +237,10 @@ def finish_rewrites(spark: SparkSession, root: str, table: Table) -> int:
     for status in (files.globStatus(path(f"{top}/*")) or []):
         staged = f"{top}/{status.getPath().getName()}"
         if files.exists(path(f"{staged}/_SUCCESS")):
-            _swap(spark, root, table, staged)
+            if files.exists(path(f"{staged}/{REPLACED}")):
+                _replace_files(spark, root, table, staged)
+            else:
+                _swap(spark, root, table, staged)
             finished += 1
         _delete(spark, [staged])
     return finished
@@ -248,12 +299,19 @@ def drop_expired(spark: SparkSession, root: str, table: Table, as_of: str,
                    lambda df: retained(df, as_of, months, table.month_of))
 
 
+def files_with(spark: SparkSession, root: str, table: Table, subjects: DataFrame) -> list[str]:
+    """The files that hold a row of some users. Only the user column is read, and of the files with
+    Bloom filters or statistics against few users, only those that may hold one."""
+    stored = read_stored(spark, root, table).select("user_id", "_metadata.file_path")
+    hit = point_filter(subjects, ["user_id"])(stored).select("file_path").distinct()
+    return sorted(row[0] for row in hit.collect())
+
+
 def erase_subjects(spark: SparkSession, root: str, table: Table, subjects: DataFrame) -> None:
-    """Remove all rows of some users; only months with such rows are rewritten."""
-    hit = (read_stored(spark, root, table).select("user_id", MONTH)
-           .join(subjects.select("user_id"), "user_id", "left_semi").select(MONTH).distinct())
-    rewrite_months(spark, root, table, [row[0] for row in hit.collect()],
-                   lambda df: erased(df, subjects))
+    """Remove all rows of some users; only files with such rows are rewritten."""
+    finish_rewrites(spark, root, table)
+    rewrite_files(spark, root, table, files_with(spark, root, table, subjects),
+                  lambda df: erased(df, subjects))
 
 
 def collapse_versions(spark: SparkSession, root: str, table: Table,

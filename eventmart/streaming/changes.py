@@ -6,6 +6,8 @@ A batch costs its own rows only; ``fold`` writes a new base when the log has gro
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -22,12 +24,17 @@ USER_CHANGES = Table(
     key=USERS.key, version=USERS.version, sort=("user_id",))
 
 
-def start_change_log(records: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
-    """Store the changes of a stream, and what cannot be read as one among the dead letters."""
+def start_change_log(records: DataFrame, root: str, checkpoint: str,
+                     add: Callable[[DataFrame, str], None] | None = None) -> StreamingQuery:
+    """Store the changes of a stream, and what cannot be read as one among the dead letters. ``add``
+    takes a batch's changes and label to another place than the plain log."""
     def store(batch: DataFrame, batch_id: int) -> None:
         label = batch_label(batch.sparkSession, batch_id)
         write_batch(change_dead_letters(batch), root, DEAD_LETTERS, label)
-        write_batch(parse_changes(batch), root, USER_CHANGES, label)
+        if add:
+            add(parse_changes(batch), label)
+        else:
+            write_batch(parse_changes(batch), root, USER_CHANGES, label)
 
     return (records.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

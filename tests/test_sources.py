@@ -6,6 +6,7 @@ import helpers as h
 import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from eventmart.operators.aggregates import daily_states, finalize_states, merge_states
 from eventmart.schemas import (
@@ -166,6 +167,45 @@ def test_erasure_rewrites_only_months_with_the_user(spark, rows, root):
     assert glob.glob(f"{root}/events_enriched/batch=1/yyyymm=202509/*.parquet") == kept
 
 
+def test_erasure_leaves_files_without_the_user_alone(spark, rows, root):
+    """Of two files of one month and batch, only the one with the user is replaced."""
+    data = h.events(spark, *[h.event(i, f"s{i}", offset=i) for i in range(1, 9)])
+    folder = f"{root}/events_enriched/batch=1"
+    data.withColumn("yyyymm", F.lit(202510)).repartitionByRange(2, "user_id").write.partitionBy("yyyymm").parquet(folder)
+    before = {f: Path(f).stat().st_mtime_ns for f in glob.glob(f"{folder}/yyyymm=202510/*.parquet")}
+    subjects = spark.createDataFrame([(2,), (77,)], "user_id BIGINT")
+    hit, = tables.files_with(spark, root, EVENTS_ENRICHED, subjects)
+    tables.erase_subjects(spark, root, EVENTS_ENRICHED, subjects)
+    after = {f: Path(f).stat().st_mtime_ns for f in glob.glob(f"{folder}/yyyymm=202510/*.parquet")}
+    same = set(before) & set(after)
+    assert len(before) == 2 and len(same) == 1 and all(before[f] == after[f] for f in same)
+    assert not hit.endswith(Path(next(iter(same))).name)
+    assert rows(tables.read_table(spark, root, EVENTS_ENRICHED), "user_id") == [(i,) for i in (1, 3, 4, 5, 6, 7, 8)]
+    tables.erase_subjects(spark, root, EVENTS_ENRICHED, subjects)
+    assert set(after) == set(glob.glob(f"{folder}/yyyymm=202510/*.parquet"))
+
+
+@pytest.mark.parametrize("moved", [False, True])
+def test_replacing_files_may_stop_and_go_on(spark, rows, root, monkeypatch, moved):
+    """Cut off before the swap, or with the old files gone and the new ones not all moved."""
+    tables.write_batch(h.events(spark, *MONTHS), root, EVENTS_ENRICHED, "1")
+    replace = tables._replace_files
+
+    def failing(session, top, table, staged):
+        if moved:
+            for row in session.read.text(f"{staged}/_replaced").collect():
+                Path(row.value.removeprefix("file:")).unlink()
+        raise OSError("stopped")
+
+    monkeypatch.setattr(tables, "_replace_files", failing)
+    subjects = spark.createDataFrame([(1,), (2,)], "user_id BIGINT")
+    with pytest.raises(OSError, match="stopped"):
+        tables.erase_subjects(spark, root, EVENTS_ENRICHED, subjects)
+    monkeypatch.setattr(tables, "_replace_files", replace)
+    assert tables.finish_rewrites(spark, root, EVENTS_ENRICHED) == 1
+    assert rows(tables.read_table(spark, root, EVENTS_ENRICHED), "user_id") == [(3,)]
+
+
 def test_collapse_versions_in_place(spark, rows, root):
     frame = spark.createDataFrame(
         [h.third(1, premium=1.0), h.third(1, premium=2.0, when="2025-10-02 10:00:00")],

@@ -242,3 +242,38 @@ def test_redelivered_messages_come_in_once(spark, source, pipeline, rows):
     run(sent(message(3, "s3"), 5, (2, 12)))
     assert run(sent(one, 6, (2, 13))) == [(0,), (4,), (5,), (6,)]
     assert rows(read_table(spark, pipeline.root, DEAD_LETTERS), "offset") == [(1,), (2,)]
+
+
+def test_user_store_folds_single_buckets(spark, rows, tmp_path):
+    from eventmart.streaming.users import FOLDED, UserStore
+
+    def changed(*found):
+        return spark.createDataFrame([
+            (u, None, city, "ios", h.at(when), position, gone) for u, city, when, position, gone in found],
+            changes.USER_CHANGES.schema)
+
+    store = UserStore(spark, str(tmp_path), buckets=4)
+    assert store.current().collect() == []
+    store.load(h.users(spark, *[(u, "Rome", "ios") for u in range(1, 21)]))
+    store.add(changed((1, "Bari", "2025-01-01 00:00:00", 1, False), (2, "Rome", "2024-01-01 00:00:00", 2, True),
+                      (30, "Pisa", "2025-01-01 00:00:00", 3, False)), "a")
+    wanted = sorted([(1, "Bari"), (30, "Pisa"), *[(u, "Rome") for u in range(3, 21)]], key=lambda r: [str(v) for v in r])
+    assert rows(store.current(), "user_id", "city") == wanted
+    kept = {f: f.stat().st_mtime_ns for f in Path(tmp_path, "users_base").rglob("*.parquet")}
+    chosen = store.fold()
+    assert 0 < len(chosen) < 4 and rows(store.current(), "user_id", "city") == wanted
+    # A change older than what is folded changes nothing; a newer one does.
+    store.add(changed((1, "Lodi", "2024-06-01 00:00:00", 4, False)), "b")
+    assert rows(store.current(), "user_id", "city") == wanted
+    assert store.sweep() > 0 and rows(store.current(), "user_id", "city") == wanted
+    assert all(f.stat().st_mtime_ns == t for f, t in kept.items() if f.exists()) and any(f.exists() for f in kept)
+    assert store.fold(least_share=0.9) == [] and store.sweep() == 0
+    store.add(changed((2, "Nola", "2025-06-01 00:00:00", 5, False)), "c")
+    assert (2, "Nola") in rows(store.current(), "user_id", "city")
+    # A fold that is cut off after its list is written counts for nothing, and is done again.
+    write_batch(spark.createDataFrame([(0, "c"), (1, "c"), (2, "c"), (3, "c")], FOLDED.schema), store.root, FOLDED, "fold-00000002")
+    assert (2, "Nola") in rows(store.current(), "user_id", "city")
+    before = rows(store.current(), "user_id", "city")
+    store.fold()
+    assert rows(store.current(), "user_id", "city") == before == rows(
+        UserStore(spark, store.root, 4, max_bytes=0).current(), "user_id", "city")
