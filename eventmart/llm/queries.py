@@ -57,7 +57,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pages as captures of the year 2024 by page id, against lists that the pages' own hosts,
+    """All pages as captures of the year 2024 by page id, against lists that all the pages' hosts,
     domains and first path segments make up: each is listed on a day that its smallest page id
     gives, some are taken off 60 days later, and some of these come back after 90 more."""
     pages = table(spark, sf_dir, "pages").select(
@@ -76,7 +76,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.lit("prefix").alias("kind"),
                  F.concat("host", F.lit("/"), "segment").alias("pattern"))))).where(
         "pattern IS NOT NULL").groupBy("list", "action", "kind", "pattern").agg(
-        F.min("page_id").alias("first")).where("list <> 'hosts' OR first % 3 = 0")
+        F.min("page_id").alias("first"))
     changes = sources.select("*", F.inline(F.expr(
         "filter(array(struct('add' AS change, 0 AS later, TRUE AS made), "
         "struct('remove' AS change, 60 AS later, first % 2 = 0 AS made), "
@@ -200,8 +200,7 @@ SQL = {
         sources AS (
             SELECT list, action, kind, lower(pattern) AS pattern, first
             FROM (SELECT list, action, kind, pattern, min(page_id) AS first FROM named
-                  GROUP BY ALL)
-            WHERE list <> 'hosts' OR first % 3 = 0),
+                  GROUP BY ALL)),
         changes AS (
             SELECT *, 'add' AS change, 0 AS later FROM sources
             UNION ALL SELECT *, 'remove', 60 FROM sources WHERE first % 2 = 0

@@ -13,6 +13,7 @@ distinct word of a task and kept in a table of bounded size.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
@@ -265,7 +266,9 @@ def train(texts: Sequence[str], labels: Sequence[int]) -> Weights:
     inputs, labels = Inputs.of(list(numbers)), np.asarray(labels, np.float32)
     rng, adam = np.random.default_rng(SEED), Adam(w)
     marks = labels[owner]
-    passes = max(1, LEAST_STEPS * BATCH // (3 * len(texts) * (WARM_EPOCHS + EPOCHS)))
+    # A text gives about three windows an epoch, and an epoch is a batch at least.
+    batches = max(1, 3 * len(texts) // BATCH)
+    passes = math.ceil(LEAST_STEPS / (batches * (WARM_EPOCHS + EPOCHS)))
     warm, last = WARM_EPOCHS * passes, (WARM_EPOCHS + EPOCHS) * passes
     for epoch in range(last):
         if epoch < warm:
