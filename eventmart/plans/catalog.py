@@ -19,7 +19,7 @@ from eventmart.plans import backfill, jobs, ledger, rollup
 from eventmart.schemas import (
     DEAD_LETTERS,
     BODY_ORDER, EVENTS_ENRICHED, EVENTS_FILE, EVENTS_FILE_TEXT, FACT_PURCHASES, FINANCIAL_ORDER,
-    LAG_STATES, USER_EVENTS, USERS_FILE)
+    LAG_STATES, USER_EVENTS, USERS, USERS_FILE)
 from eventmart.session import run_dir
 from eventmart.sources import canonical as data
 from eventmart.sources import buckets, files, kafka, tables
@@ -87,6 +87,13 @@ def published_messages(spark, sf_dir):
         for n in EVENTS_FILE.fieldNames()])
 
 
+def first_published_messages(spark, sf_dir):
+    """The first hundred messages in order of time."""
+    return kafka.keyed_messages(plain(data.events(spark, sf_dir).select(*EVENTS_FILE.fieldNames())), 100).select(
+        "key", F.get_json_object("value", "$.event_time").alias("event_time"),
+        F.get_json_object("value", "$.session_id").alias("session_id"))
+
+
 def csv_round_trip(spark, sf_dir):
     """Events staged as CSV, loaded into the raw table and read from there."""
     root = run_dir(spark, "csv")
@@ -175,6 +182,24 @@ def fact_purchases_all_matches(spark, sf_dir):
         data.financials(spark, sf_dir), orders.order_keys(product), one_per_order=False))
 
 
+def _visit_facts(spark: SparkSession, sf_dir: str, one_per_order: bool) -> DataFrame:
+    product = data.product_tables(spark, sf_dir, visits=True)
+    return plain(purchases.denormalize(
+        data.enriched(spark, sf_dir, visits=True), orders.product_orders_all(product),
+        data.financials(spark, sf_dir), orders.order_keys(product), one_per_order))
+
+
+def visit_facts(spark, sf_dir):
+    """Facts where sessions hold several purchases and several orders: each order once, at the session's
+    earliest purchase."""
+    return _visit_facts(spark, sf_dir, one_per_order=True)
+
+
+def visit_matches(spark, sf_dir):
+    """The plain join over the same sessions: every purchase with every order."""
+    return _visit_facts(spark, sf_dir, one_per_order=False)
+
+
 def reconcile_missing(spark, sf_dir):
     """Fact rows added once the late orders are there."""
     product = data.product_tables(spark, sf_dir)
@@ -648,6 +673,79 @@ def change_log_dead_letters(spark, sf_dir):
     return records.change_dead_letters(sent).select("offset", "error")
 
 
+def stream_after_user_refresh(spark, sf_dir):
+    """Events of one stream in two runs, between which users move, come and go; the lookup is read again."""
+    house = jobs.Warehouse(spark, run_dir(spark, "refresh"))
+    people = [data.users(spark, sf_dir), versioning.apply_changes(
+        data.users(spark, sf_dir), data.changes(spark, sf_dir), ["user_id"], "updated_at")]
+    pipeline = live.LivePipeline(house.root, live.Refreshed(lambda: people[0], seconds=0),
+                                 ingested_at=lambda: AS_OF)
+    landing, checkpoint = run_dir(spark, "landing"), run_dir(spark, "checkpoint")
+    for run in (1, 2):
+        came = data.messages(data.events(spark, sf_dir).where(
+            _part(1) if run == 1 else f"{data.part_of('event_time')} > 1"))
+        joined.append(came, landing)
+        live.wait(pipeline.start(joined.folder_stream(spark, came, landing), checkpoint), 1800)
+        people.reverse()
+    return plain(house.events())
+
+
+# Chained jobs
+
+
+def _seeded(spark: SparkSession, sf_dir: str, name: str, late: bool = True) -> jobs.Warehouse:
+    """A warehouse with users and order tables."""
+    house = jobs.Warehouse(spark, run_dir(spark, name))
+    tables.write_batch(data.users(spark, sf_dir), house.root, USERS, "base")
+    jobs.seed(house, data.product_tables(spark, sf_dir, late), data.financials(spark, sf_dir))
+    return house
+
+
+def _gate_rows(spark: SparkSession, result: quality.GateResult) -> DataFrame:
+    return spark.createDataFrame(result.rows, "check_name string, status string, metric string")
+
+
+def full_run_report(spark, sf_dir):
+    """The product lines of the report after a full run: reset, seed, ingest, reconcile, verify."""
+    house = _seeded(spark, sf_dir, "full")
+    tables.write_batch(data.enriched(spark, sf_dir), house.root, EVENTS_ENRICHED, "before-the-reset")
+    report = jobs.full_run(house, data.product_tables(spark, sf_dir), data.financials(spark, sf_dir),
+                           _record_stream(spark, sf_dir), run_dir(spark, "checkpoint"), 1800, AS_OF)
+    return report["fact_product_lines"]
+
+
+def ingest_cycle_gate(spark, sf_dir):
+    """The gate after an ingest cycle whose stream brings all events, though some orders only come with the
+    next cycle."""
+    house = _seeded(spark, sf_dir, "cycle", late=False)
+    expected = data.table(spark, sf_dir, "events").count()
+    return _gate_rows(spark, jobs.ingest_cycle(
+        house, _record_stream(spark, sf_dir), run_dir(spark, "checkpoint"), expected, 1800, AS_OF))
+
+
+def monitoring_gate(spark, sf_dir):
+    """The gate of the monitoring job over stored events, once late orders have come and been reconciled."""
+    house = _seeded(spark, sf_dir, "monitoring", late=False)
+    tables.write_batch(data.landed(spark, sf_dir), house.root, EVENTS_ENRICHED, "all")
+    expected = data.table(spark, sf_dir, "events").count()
+    jobs.monitoring(house, expected, AS_OF)
+    jobs.seed_products(house, data.product_tables(spark, sf_dir, where="k < 4"), "late")
+    return _gate_rows(spark, jobs.monitoring(house, expected, AS_OF))
+
+
+def truncated_tables(spark, sf_dir):
+    """Rows by table after all data tables were emptied; the users stay, and a table takes rows again."""
+    house = _seeded(spark, sf_dir, "truncate")
+    tables.write_batch(data.enriched(spark, sf_dir), house.root, EVENTS_ENRICHED, "all")
+    jobs.denormalize_stored(house)
+    jobs.reset(house)
+    tables.write_batch(data.financials(spark, sf_dir), house.root, FINANCIAL_ORDER, "again")
+    counted = {"users": house.users(), "events_enriched": house.events(), "fact_purchases": house.facts(),
+               "product_orders": house.orders(), "financial_order": house.financials()}
+    return reduce(DataFrame.unionByName, [
+        reports.row_count(df, "rows").select(F.lit(name).alias("name"), "rows") for name, df in counted.items()])
+
+
 def users_from_change_stream(spark, sf_dir):
     """Users by the raw change stream: moves in a first run, folded into the buckets that changed; then
     additions, and removals with the tombstone that follows each."""
@@ -683,11 +781,12 @@ def stored_user_changes(spark, sf_dir):
 
 
 _GROUPS: Sequence[Query] = (
-    typed_events, enriched_events, loaded_users, published_messages, csv_round_trip,
+    typed_events, enriched_events, loaded_users, published_messages, first_published_messages,
+    csv_round_trip,
     expected_source_rows, users_from_csv, appended_csv, sessions_by_bloom_filter,
     stored_events_in_range,
     order_split_counts, order_pricing, product_orders_all, orders_latest_version,
-    fact_purchases, fact_purchases_all_matches, reconcile_missing, late_order_cycle,
+    fact_purchases, fact_purchases_all_matches, visit_facts, visit_matches, reconcile_missing, late_order_cycle,
     facts_by_ledger, stored_revenue_rollup,
     users_after_changes,
     agg_daily, agg_daily_sketch, agg_daily_purchases_by_channel, report_table_counts,
@@ -702,7 +801,8 @@ _GROUPS: Sequence[Query] = (
     dead_letters, parsed_events, stream_enriched, stream_agg_daily, stream_facts,
     stream_facts_in_buckets, stream_raw_sink, raw_sink_dead_letters, consumer_totals, stream_two_runs,
     stored_user_changes, change_log_dead_letters, stream_joined_facts, stream_join_state,
-    stream_lag_quantiles, stream_without_copies, users_from_change_stream,
+    stream_lag_quantiles, stream_without_copies, stream_after_user_refresh, users_from_change_stream,
+    full_run_report, ingest_cycle_gate, monitoring_gate, truncated_tables,
 )
 
 QUERIES: dict[str, Query] = {query.__name__: query for query in _GROUPS}

@@ -95,6 +95,57 @@ def _enriched(source: str) -> str:
   FROM {source} e LEFT JOIN people u ON e.user_id = u.user_id"""
 
 
+def _checks(source: str, facts: str, name: str = "") -> str:
+    """The ten checks over some events and facts, as tables ``ranges``, ``duplicates`` and ``checks``."""
+    return f"""{name}ranges AS (
+  SELECT kafka_partition, max(kafka_offset) - min(kafka_offset) + 1 AS expected,
+         count(DISTINCT kafka_offset) AS actual FROM {source} GROUP BY 1),
+{name}duplicates AS (
+  SELECT CAST(sum(c) - count(*) AS BIGINT) AS extra FROM (
+    SELECT count(*) AS c FROM {source} GROUP BY event_time, user_id, session_id, event_type)),
+{name}checks AS (
+  SELECT 'row_count_parity' AS check_name,
+         CASE WHEN (SELECT count(*) FROM {source}) = (SELECT count(*) FROM events)
+              THEN 'PASS' ELSE 'FAIL' END AS status,
+         'clickhouse=' || (SELECT count(*) FROM {source}) || ' expected='
+           || (SELECT count(*) FROM events) AS metric
+  UNION ALL SELECT 'referential_integrity_users',
+         CASE WHEN count(*) FILTER (city = 'UNKNOWN') = 0 THEN 'PASS' ELSE 'FAIL' END,
+         'unmatched_users=' || count(*) FILTER (city = 'UNKNOWN') FROM {source}
+  UNION ALL SELECT 'null_premium_on_purchase',
+         CASE WHEN count(*) FILTER (event_type = 'purchase' AND premium_amount IS NULL) = 0
+              THEN 'PASS' ELSE 'FAIL' END,
+         'null_purchase_premiums='
+           || count(*) FILTER (event_type = 'purchase' AND premium_amount IS NULL) FROM {source}
+  UNION ALL SELECT 'premium_on_non_purchase',
+         CASE WHEN count(*) FILTER (event_type <> 'purchase' AND premium_amount IS NOT NULL) = 0
+              THEN 'PASS' ELSE 'WARN' END,
+         'non_purchase_with_premium='
+           || count(*) FILTER (event_type <> 'purchase' AND premium_amount IS NOT NULL) FROM {source}
+  UNION ALL SELECT 'duplicate_events', CASE WHEN extra = 0 THEN 'PASS' ELSE 'FAIL' END,
+         'extra_duplicate_rows=' || extra FROM {name}duplicates
+  UNION ALL SELECT 'ingestion_freshness',
+         CASE WHEN max(_ingested_at) >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 1 DAY
+              THEN 'PASS' ELSE 'FAIL' END,
+         'max_event_time=' || strftime(max(event_time), '%Y-%m-%d %H:%M:%S')
+           || ' max_ingested_at=' || strftime(max(_ingested_at), '%Y-%m-%d %H:%M:%S') FROM {source}
+  UNION ALL SELECT 'denorm_purchase_coverage',
+         CASE WHEN (SELECT count(*) FROM {facts})
+                   <= (SELECT count(*) FROM {source} WHERE event_type = 'purchase')
+              THEN 'PASS' ELSE 'FAIL' END,
+         'fact_rows=' || (SELECT count(*) FROM {facts}) || ' purchase_events='
+           || (SELECT count(*) FROM {source} WHERE event_type = 'purchase')
+  UNION ALL SELECT 'kafka_consumer_errors', 'PASS',
+         'assignments=' || count(DISTINCT kafka_partition) FROM {source}
+  UNION ALL SELECT 'offset_continuity',
+         CASE WHEN sum(expected) = sum(actual) THEN 'PASS' ELSE 'FAIL' END,
+         'missing_in_offset_ranges=' || CAST(sum(expected) - sum(actual) AS BIGINT) FROM {name}ranges
+  UNION ALL SELECT 'ingestion_lag',
+         CASE WHEN quantile_cont(ingest_lag_sec, 0.95) < 600 THEN 'PASS' ELSE 'WARN' END,
+         'p95_lag_sec=' || CAST(round_even(quantile_cont(ingest_lag_sec, 0.95), 0) AS BIGINT)
+           || ' max_lag_sec=' || max(ingest_lag_sec) FROM {source})"""
+
+
 _BASE = f"""WITH source_events AS (
   SELECT event_id, date_trunc('second', ts) AS event_time, user_id, event_type, value,
          CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events),
@@ -144,6 +195,7 @@ payments AS (
 facts AS ({_fact('true').format(source='enriched')}),
 early_facts AS ({_fact('p.k >= 4').format(source='enriched')}),
 late_facts AS ({_fact('p.k < 4').format(source='enriched')}),
+sent_facts AS (SELECT * FROM facts WHERE session_id IN (SELECT session_id FROM landed_ev)),
 landed_facts AS ({_fact('true').format(source='landed')}),
 parted AS (
   SELECT *, CASE WHEN k < 2 THEN part + 1 WHEN k < 4 THEN 3 WHEN k < 6 THEN greatest(part - 1, 1)
@@ -170,53 +222,7 @@ window_rows AS (
          l.premium_amount, l.city, l.device_type, u.signup_date
   FROM landed l LEFT JOIN people u ON l.user_id = u.user_id
   WHERE CAST(l.event_time AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-14'),
-ranges AS (
-  SELECT kafka_partition, max(kafka_offset) - min(kafka_offset) + 1 AS expected,
-         count(DISTINCT kafka_offset) AS actual FROM landed GROUP BY 1),
-duplicates AS (
-  SELECT CAST(sum(c) - count(*) AS BIGINT) AS extra FROM (
-    SELECT count(*) AS c FROM landed GROUP BY event_time, user_id, session_id, event_type)),
-checks AS (
-  SELECT 'row_count_parity' AS check_name,
-         CASE WHEN (SELECT count(*) FROM landed) = (SELECT count(*) FROM events)
-              THEN 'PASS' ELSE 'FAIL' END AS status,
-         'clickhouse=' || (SELECT count(*) FROM landed) || ' expected='
-           || (SELECT count(*) FROM events) AS metric
-  UNION ALL SELECT 'referential_integrity_users',
-         CASE WHEN count(*) FILTER (city = 'UNKNOWN') = 0 THEN 'PASS' ELSE 'FAIL' END,
-         'unmatched_users=' || count(*) FILTER (city = 'UNKNOWN') FROM landed
-  UNION ALL SELECT 'null_premium_on_purchase',
-         CASE WHEN count(*) FILTER (event_type = 'purchase' AND premium_amount IS NULL) = 0
-              THEN 'PASS' ELSE 'FAIL' END,
-         'null_purchase_premiums='
-           || count(*) FILTER (event_type = 'purchase' AND premium_amount IS NULL) FROM landed
-  UNION ALL SELECT 'premium_on_non_purchase',
-         CASE WHEN count(*) FILTER (event_type <> 'purchase' AND premium_amount IS NOT NULL) = 0
-              THEN 'PASS' ELSE 'WARN' END,
-         'non_purchase_with_premium='
-           || count(*) FILTER (event_type <> 'purchase' AND premium_amount IS NOT NULL) FROM landed
-  UNION ALL SELECT 'duplicate_events', CASE WHEN extra = 0 THEN 'PASS' ELSE 'FAIL' END,
-         'extra_duplicate_rows=' || extra FROM duplicates
-  UNION ALL SELECT 'ingestion_freshness',
-         CASE WHEN max(_ingested_at) >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 1 DAY
-              THEN 'PASS' ELSE 'FAIL' END,
-         'max_event_time=' || strftime(max(event_time), '%Y-%m-%d %H:%M:%S')
-           || ' max_ingested_at=' || strftime(max(_ingested_at), '%Y-%m-%d %H:%M:%S') FROM landed
-  UNION ALL SELECT 'denorm_purchase_coverage',
-         CASE WHEN (SELECT count(*) FROM facts)
-                   <= (SELECT count(*) FROM landed WHERE event_type = 'purchase')
-              THEN 'PASS' ELSE 'FAIL' END,
-         'fact_rows=' || (SELECT count(*) FROM facts) || ' purchase_events='
-           || (SELECT count(*) FROM landed WHERE event_type = 'purchase')
-  UNION ALL SELECT 'kafka_consumer_errors', 'PASS',
-         'assignments=' || count(DISTINCT kafka_partition) FROM landed
-  UNION ALL SELECT 'offset_continuity',
-         CASE WHEN sum(expected) = sum(actual) THEN 'PASS' ELSE 'FAIL' END,
-         'missing_in_offset_ranges=' || CAST(sum(expected) - sum(actual) AS BIGINT) FROM ranges
-  UNION ALL SELECT 'ingestion_lag',
-         CASE WHEN quantile_cont(ingest_lag_sec, 0.95) < 600 THEN 'PASS' ELSE 'WARN' END,
-         'p95_lag_sec=' || CAST(round_even(quantile_cont(ingest_lag_sec, 0.95), 0) AS BIGINT)
-           || ' max_lag_sec=' || max(ingest_lag_sec) FROM landed),
+{_checks('landed', 'facts')},
 hours AS (
   SELECT h.hour, coalesce(c.events, 0) AS events FROM (
     SELECT unnest(generate_series(date_trunc('hour', min(event_time)),
@@ -239,6 +245,10 @@ message_rows AS (
     || CASE WHEN k = 2 THEN ',"campaign":"spring"' ELSE '' END || '}}' AS text FROM ev),
 good AS (SELECT * FROM ev WHERE k NOT IN (0, 3, 4, 5)),
 good_enriched AS (SELECT * FROM enriched WHERE k NOT IN (0, 3, 4, 5)),
+cycle AS (
+  SELECT * REPLACE (TIMESTAMP '2024-01-31 00:00:00' AS _ingested_at,
+                    CAST(epoch(TIMESTAMP '2024-01-31 00:00:00' - kafka_timestamp) AS BIGINT) AS ingest_lag_sec)
+  FROM good_enriched),
 live_facts AS ({_fact('p.k >= 4').format(source='good_enriched')}),
 good_daily AS (
   SELECT CAST(event_time AS DATE) AS event_date, channel, city, device_type, event_type,
@@ -449,6 +459,29 @@ _BODIES["change_log_dead_letters"] = """SELECT user_id AS "offset",
     FROM all_people WHERE user_id % 10 IN (3, 7) AND (
         c_acctbal < 0 OR c_mktsegment IN ('BUILDING', 'MACHINERY'))"""
 _BODIES["raw_sink_dead_letters"] = _BODIES["dead_letters"]
+_BODIES["first_published_messages"] = """SELECT CAST(user_id AS VARCHAR) AS key,
+        strftime(event_time, '%Y-%m-%d %H:%M:%S') AS event_time, session_id
+    FROM ev ORDER BY ev.event_time, user_id, session_id LIMIT 100"""
+_BODIES["stream_after_user_refresh"] = f"""WITH moved AS ({_CHANGED_USERS}),
+    known AS (SELECT 1 AS run, user_id, signup_date, city, device_type FROM people
+              UNION ALL SELECT 2, user_id, signup_date, city, device_type FROM moved)
+    SELECT {_list([c for c in _RAW])}, coalesce(u.city, 'UNKNOWN') AS city,
+        coalesce(u.device_type, 'UNKNOWN') AS device_type, coalesce(u.signup_date, DATE '1970-01-01') AS signup_date,
+        kafka_topic, kafka_partition, kafka_offset, {_time('kafka_timestamp')},
+        '2024-01-31 00:00:00' AS _ingested_at,
+        CAST(epoch(TIMESTAMP '2024-01-31 00:00:00' - kafka_timestamp) AS BIGINT) AS ingest_lag_sec
+    FROM (SELECT *, CASE WHEN event_time < TIMESTAMP '2024-01-11' THEN 1 ELSE 2 END AS run FROM good) g
+    LEFT JOIN known u USING (run, user_id)"""
+_BODIES["full_run_report"] = """SELECT product_line, count(*) AS orders,
+        round_even(avg(net_amount), 0) AS avg_net, round_even(avg(installments), 1) AS avg_installments
+    FROM facts JOIN (SELECT session_id FROM good) USING (session_id) GROUP BY 1"""
+_BODIES["ingest_cycle_gate"] = f"""WITH {_checks('cycle', 'live_facts', 'cycle_')}
+    SELECT check_name, status, metric FROM cycle_checks"""
+_BODIES["monitoring_gate"] = f"""WITH {_checks('landed', 'sent_facts', 'sent_')}
+    SELECT check_name, status, metric FROM sent_checks"""
+_BODIES["truncated_tables"] = """SELECT 'users' AS name, count(*) AS rows FROM people
+    UNION ALL SELECT unnest(['events_enriched', 'fact_purchases', 'product_orders']), 0
+    UNION ALL SELECT 'financial_order', count(*) FROM payments"""
 _BODIES["users_from_change_stream"] = _CHANGED_USERS
 _BODIES["stream_without_copies"] = f"""WITH delivered AS (
         SELECT * FROM good_enriched UNION ALL BY NAME
@@ -462,12 +495,24 @@ _BODIES["stream_facts_in_buckets"] = _BODIES["stream_facts"]
 _BODIES["stream_two_runs"] = _BODIES["stream_enriched"]
 
 
-def _statement(body: str) -> str:
+# Sessions of several purchases and orders: the same definitions over one session per user and week.
+_VISITS = _BASE.replace(
+    "'s-' || event_id AS session_id",
+    "'v-' || user_id || '-' || strftime(date_trunc('week', event_time), '%Y%m%d') AS session_id")
+_VISIT_BODIES = {
+    "visit_matches": f"SELECT {_list(_FACT)} FROM facts",
+    "visit_facts": f"""SELECT {_list(_FACT)} FROM (SELECT *, row_number() OVER (PARTITION BY order_id
+        ORDER BY facts.event_time, channel, event_premium NULLS LAST) AS place FROM facts) f WHERE place = 1""",
+}
+
+
+def _statement(body: str, base: str = _BASE) -> str:
     """The shared definitions with a query; a query's own WITH joins their list."""
     body = body.strip()
     if body.startswith("WITH "):
-        return _BASE.rstrip() + ",\n" + body[len("WITH "):]
-    return _BASE + body
+        return base.rstrip() + ",\n" + body[len("WITH "):]
+    return base + body
 
 
-ORACLE: dict[str, str] = {name: _statement(body) for name, body in _BODIES.items()}
+ORACLE: dict[str, str] = {name: _statement(body) for name, body in _BODIES.items()} | {
+    name: _statement(body, _VISITS) for name, body in _VISIT_BODIES.items()}

@@ -9,6 +9,7 @@ unknown users             customers with a negative balance are no users
 purchases without premium purchases with a value below 1
 late orders               purchases with k below 4 have no product order yet
 orders without payment    orders with k of 90 and more
+shared sessions           visits: the events of a user in a week share one
 lost messages             events with k = 0 did not land
 copies                    events with k = 50 landed twice
 ========================  =====================================================
@@ -76,6 +77,9 @@ def pick(values: tuple, index: str) -> str:
     return f"array({items})[cast(({index}) % {len(values)} as int)]"
 
 
+VISIT = "concat('v-', user_id, '-', date_format(date_trunc('week', event_time), 'yyyyMMdd'))"
+
+
 def events_from(raw: DataFrame) -> DataFrame:
     """Raw event rows, batch or stream, as events with their stream position."""
     parsed = raw.selectExpr(
@@ -91,8 +95,10 @@ def events_from(raw: DataFrame) -> DataFrame:
         f"event_id div {PARTITIONS} as kafka_offset", "event_time as kafka_timestamp")
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events_from(table(spark, sf_dir, "events"))
+def events(spark: SparkSession, sf_dir: str, visits: bool = False) -> DataFrame:
+    """All events, each in a session of its own, or, as ``visits``, in one session per user and week."""
+    found = events_from(table(spark, sf_dir, "events"))
+    return found.withColumn("session_id", F.expr(VISIT)) if visits else found
 
 
 def ingest_time() -> Column:
@@ -115,8 +121,8 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customers(spark, sf_dir).filter("c_acctbal >= 0").drop("c_acctbal", "c_mktsegment")
 
 
-def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich(events(spark, sf_dir), users(spark, sf_dir), ingest_time())
+def enriched(spark: SparkSession, sf_dir: str, visits: bool = False) -> DataFrame:
+    return enrich(events(spark, sf_dir, visits), users(spark, sf_dir), ingest_time())
 
 
 def landed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,16 +159,16 @@ _ATTRIBUTES = {
 DISCOUNT_RATE = f"cast({_number('discount_rate')} % 1501 as decimal(10,4)) / 10000"
 
 
-def all_orders(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame:
+def all_orders(spark: SparkSession, sf_dir: str, where: str = "true", visits: bool = False) -> DataFrame:
     """Orders of the purchases with their line; the id comes from the event's id."""
-    return orders_from_purchases(events(spark, sf_dir).filter(where), F.expr("event_id + 1"))
+    return orders_from_purchases(events(spark, sf_dir, visits).filter(where), F.expr("event_id + 1"))
 
 
 def product_tables(spark: SparkSession, sf_dir: str, late: bool = True,
-                   where: str = "true") -> dict[str, DataFrame]:
+                   where: str = "true", visits: bool = False) -> dict[str, DataFrame]:
     """The four product tables; without the late orders unless ``late``."""
     tables = {}
-    orders = all_orders(spark, sf_dir, where if late else f"k >= 4 and {where}")
+    orders = all_orders(spark, sf_dir, where if late else f"k >= 4 and {where}", visits)
     for line, rows in split_by_line(orders).items():
         known = {f.name: f.dataType.simpleString() for f in PRODUCT_TABLES[line].schema.fields}
         tables[line] = rows.selectExpr(*[
