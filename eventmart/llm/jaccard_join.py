@@ -9,9 +9,10 @@ from another, some non-empty segment is the same in both, and the two meet there
 - Segments have an order, and a set uses only as many as it needs, from the front: of two sets, the
   one that stops first has used enough, and the other has used those too. Empty segments do not
   count.
-- Frequent shingles, found by a count over all documents, are taken out of the segments; each is a
-  segment of its own at the end of the order, the more frequent the later. So common passages
-  become meeting points only for sets that have little else.
+- Frequent shingles are taken out of the segments; each is a segment of its own at the end of the
+  order, the more frequent the later. So common passages become meeting points only for sets that
+  have little else. They are counted over all documents, but a task reports only those that two
+  of its different sets hold; one that it leaves out costs comparisons and loses nothing.
 - By cost, a band may use one-deletion neighbourhoods: a segment with two shingles or more then
   also stands for itself without any one of them, survives one difference and counts twice. It
   needs more entries but fewer frequent shingles.
@@ -272,7 +273,8 @@ def meeting_points(docs: DataFrame, scheme: Scheme, total: int) -> DataFrame:
             if frequent:
                 data = packed(np.array(list(frequent.values()), np.uint64),
                               np.array(list(frequent), np.int64), press)
-                yield record_batch([(parts, data)], sent_schema)
+                # From here on parts tell these numbers from entries, and spread them over all tasks.
+                yield record_batch([(parts + next(iter(frequent)) % parts, data)], sent_schema)
                 frequent.clear()
 
         for batch in chunks(batches):

@@ -1,7 +1,7 @@
 """Toxicity scores from a small recurrent network, trained and run in numpy.
 
-A word enters as the sum of a vector of its own (hashed) and the mean of the vectors of its character
-trigrams and its first and last four characters (hashed as well), so unseen words with a known
+A word enters as the sum of a vector of its own (hashed) and of those of its byte trigrams and its first
+three to five bytes (hashed as well), these divided by the root of their number, so unseen words with a known
 stem still carry meaning. Gated recurrent units read a window of words in both directions, attention
 pools their states, and a logistic unit scores the pool. A text's score is that of its highest
 window; windows of 24 words overlap by half, so every stretch of 13 words lies whole in some window.
