@@ -18,7 +18,7 @@ from eventmart.operators import (
 from eventmart.plans import backfill, jobs, ledger, rollup
 from eventmart.schemas import (
     DEAD_LETTERS,
-    BODY_ORDER, EVENTS_ENRICHED, EVENTS_FILE, EVENTS_FILE_TEXT, FACT_PURCHASES, FINANCIAL_ORDER,
+    BODY_ORDER, EVENTS_AGG_DAILY, EVENTS_ENRICHED, EVENTS_FILE, EVENTS_FILE_TEXT, FACT_PURCHASES, FINANCIAL_ORDER,
     LAG_STATES, USER_EVENTS, USERS, USERS_FILE)
 from eventmart.session import run_dir
 from eventmart.sources import canonical as data
@@ -573,6 +573,13 @@ def stream_agg_daily(spark, sf_dir):
     return _live(spark, sf_dir, batches=3).daily()
 
 
+def stream_agg_daily_compacted(spark, sf_dir):
+    """The same, after the three batches' files were folded in place, states merged."""
+    house = _live(spark, sf_dir, batches=3)
+    jobs.compact(house, EVENTS_AGG_DAILY, [202401], merge=aggregates.merge_states)
+    return house.daily()
+
+
 def stream_facts(spark, sf_dir):
     """Facts of purchases that come in three micro-batches."""
     return plain(_live(spark, sf_dir, with_facts=True, batches=3).facts())
@@ -798,7 +805,8 @@ _GROUPS: Sequence[Query] = (
     dq_report, dq_gate, duplicate_count, offset_ranges, ingest_lag, consumer_progress,
     offset_gaps, partition_lag, hourly_anomaly, daily_gap_counts, purchases_without_fact,
     field_drift,
-    dead_letters, parsed_events, stream_enriched, stream_agg_daily, stream_facts,
+    dead_letters, parsed_events, stream_enriched, stream_agg_daily, stream_agg_daily_compacted,
+    stream_facts,
     stream_facts_in_buckets, stream_raw_sink, raw_sink_dead_letters, consumer_totals, stream_two_runs,
     stored_user_changes, change_log_dead_letters, stream_joined_facts, stream_join_state,
     stream_lag_quantiles, stream_without_copies, stream_after_user_refresh, users_from_change_stream,

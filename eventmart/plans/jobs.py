@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 
@@ -11,13 +11,15 @@ from eventmart.operators import quality
 from eventmart.operators.monitoring import partition_progress
 from eventmart.operators.purchases import SESSION, denormalize, key_filter, orders_without_fact
 from eventmart.operators.reports import verification_report
-from eventmart.plans.ledger import reconcile_new
+from eventmart.plans import rollup
+from eventmart.plans.ledger import reconcile_new, unseen_batches
 from eventmart.plans.warehouse import Warehouse
 from eventmart.schemas import (
-    CONSUMED, DATA_TABLES, DEAD_LETTERS, FACT_PURCHASES, FINANCIAL_ORDER, PRODUCT_TABLES)
+    CONSUMED, DATA_TABLES, DEAD_LETTERS, EVENTS_ENRICHED, FACT_PURCHASES, FINANCIAL_ORDER, PRODUCT_TABLES,
+    Table)
 from eventmart.session import run_dir
 from eventmart.sources.files import read_csv
-from eventmart.sources.tables import read_batch, truncate, write_batch
+from eventmart.sources.tables import compact_months, read_batch, truncate, write_batch
 from eventmart.streaming.live import LivePipeline, Refreshed, wait
 
 
@@ -70,6 +72,18 @@ def reconcile(house: Warehouse) -> int:
     return read_batch(house.spark, house.root, FACT_PURCHASES, label).count()
 
 
+def compact(house: Warehouse, table: Table, months: Sequence[int], keep: Iterable[str] = (),
+            merge: Callable[[DataFrame], DataFrame] = lambda df: df) -> int:
+    """Fold the batches of some months of a table in place; returns how many files were replaced. Batches that
+    the reconcile ledger or the revenue rollup have not seen stay, as do those to ``keep``."""
+    held = set(keep)
+    if table in (FACT_PURCHASES, EVENTS_ENRICHED, *PRODUCT_TABLES.values()):
+        held.update(unseen_batches(house, table))
+    if table is FACT_PURCHASES:
+        held.update(rollup.uncounted_batches(house))
+    return compact_months(house.spark, house.root, table, months, held, merge)
+
+
 def live_pipeline(house: Warehouse, refresh_seconds: float = 300,
                   ingested_at: str | Column | None = None) -> LivePipeline:
     """The stream's pipeline over a warehouse."""

@@ -56,16 +56,28 @@ def _unseen(batches: Mapping[str, int], mark: int, at_mark: set[str]) -> list[st
             if written > mark or (written == mark and label not in at_mark)]
 
 
-def reconcile_new(house: Warehouse) -> Run:
-    """Add the facts of orders that have none, from what was written since the last run and from
-    the orders that it left open."""
-    spark, root = house.spark, house.root
-    last = max(map(_number, stored_batches(spark, root, SEEN_BATCHES)), default=0)
+def _marks(house: Warehouse) -> tuple[int, dict[str, tuple[int, set[str]]]]:
+    """The number of the last run, and per table the newest time of writing and the labels of that time
+    that it saw."""
+    last = max(map(_number, stored_batches(house.spark, house.root, SEEN_BATCHES)), default=0)
     marks: dict[str, tuple[int, set[str]]] = {}
     if last:
-        for row in read_batch(spark, root, SEEN_BATCHES, _label(last)).collect():
+        for row in read_batch(house.spark, house.root, SEEN_BATCHES, _label(last)).collect():
             mark, labels = marks.get(row["table"], (row.written, set()))
             marks[row["table"]] = (mark, labels | {row.label})
+    return last, marks
+
+
+def unseen_batches(house: Warehouse, table: Table) -> list[str]:
+    """Labels of a table that no run has seen."""
+    return _unseen(stored_batches(house.spark, house.root, table), *_marks(house)[1].get(table.name, (0, set())))
+
+
+def reconcile_new(house: Warehouse) -> Run:
+    """Add the facts of orders that have none, from what was written since the last run and from
+    the orders that it left open."""
+    spark, root = house.spark, house.root
+    last, marks = _marks(house)
     # Facts and events are listed before orders: what is written for an order that is listed here but came
     # after these two lists is in a batch that the next run takes for new.
     batches = {table.name: stored_batches(spark, root, table)

@@ -491,6 +491,7 @@ _BODIES["stream_without_copies"] = f"""WITH delivered AS (
         '2024-01-31 00:00:00' AS _ingested_at,
         CAST(epoch(TIMESTAMP '2024-01-31 00:00:00' - kafka_timestamp) AS BIGINT) AS ingest_lag_sec
     FROM delivered"""
+_BODIES["stream_agg_daily_compacted"] = _BODIES["stream_agg_daily"]
 _BODIES["stream_facts_in_buckets"] = _BODIES["stream_facts"]
 _BODIES["stream_two_runs"] = _BODIES["stream_enriched"]
 

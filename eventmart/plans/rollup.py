@@ -43,14 +43,19 @@ def _difference(after: DataFrame, before: DataFrame) -> DataFrame:
     return _summed(_shares(after, 1).unionAll(_shares(before, -1))).where("revenue <> 0 OR orders <> 0")
 
 
+def uncounted_batches(house: Warehouse) -> list[str]:
+    """Labels of the batches of facts that no refresh has counted."""
+    counted = {row.label for row in read_table(house.spark, house.root, COUNTED_BATCHES).collect()}
+    return [label for label in stored_batches(house.spark, house.root, FACT_PURCHASES) if label not in counted]
+
+
 def refresh(house: Warehouse) -> int:
     """Count the batches of facts that are not counted yet; returns how many there were.
 
     A refresh that was cut off is done again under the same label, and replaces what it wrote.
     """
     spark, root = house.spark, house.root
-    counted = {row.label for row in read_table(spark, root, COUNTED_BATCHES).collect()}
-    new = [label for label in stored_batches(spark, root, FACT_PURCHASES) if label not in counted]
+    new = uncounted_batches(house)
     if not new:
         return 0
     folder = run_dir(spark, "counting")

@@ -321,6 +321,37 @@ def collapse_versions(spark: SparkSession, root: str, table: Table,
                    lambda df: latest_version(df, table.key, table.version))
 
 
+def compact_months(spark: SparkSession, root: str, table: Table, months: Sequence[int],
+                   keep: Iterable[str] = (), merge: Callable[[DataFrame], DataFrame] = lambda df: df) -> int:
+    """Fold the files of many batches into one batch, in place and month by month, merging their rows;
+    returns how many files it replaced.
+
+    A folded batch can no longer be written again under its label or told from the others, so ``keep``
+    those that may still be: of a running stream, or not yet seen by jobs that go by labels. The new
+    batch is no batch to such jobs. Folders without files go.
+    """
+    finish_rewrites(spark, root, table)
+    target, keep = table_path(root, table), set(keep)
+    files, path = _files(spark, target)
+    label, replaced = f"merged-{uuid.uuid4().hex}", 0
+    for month in months:
+        homes = [name for name in _folders(spark, target, table, [month])
+                 if name.partition("/")[0].partition("=")[2] not in keep]
+        names = [f.getPath().toString() for name in sorted(homes)
+                 for f in files.globStatus(path(f"{target}/{name}/*.parquet")) or []]
+        if len(names) > 1:
+            rewrite_files(spark, root, table, names, lambda df, month=month: merge(df.select(*table.columns)).withColumns({
+                MONTH: F.lit(month), BATCH: F.lit(label)}))
+            replaced += len(names)
+        _delete(spark, [f"{target}/{name}" for name in homes
+                        if not files.globStatus(path(f"{target}/{name}/*.parquet"))])
+    held = {name.partition("/")[0] for name in _folders(spark, target, table)}
+    _delete(spark, [f"{target}/{BATCH}={x}" for x in stored_batches(spark, root, table)
+                    if x not in keep and f"{BATCH}={x}" not in held])
+    spark.catalog.refreshByPath(target)
+    return replaced
+
+
 def compact(spark: SparkSession, root: str, table: Table, new_root: str,
             merge: Callable[[DataFrame], DataFrame] = lambda df: df) -> None:
     """Copy a table of many batches into a fresh root as one batch, merging its rows."""

@@ -116,6 +116,27 @@ def test_rollup_follows_copies_erasure_and_late_orders(house, spark):
     assert stored_revenue(house, "2025-10-04") == [r for r in wanted_revenue(house) if r[1] >= "2025-10-04"]
 
 
+def test_compaction_spares_what_jobs_have_not_seen(house):
+    arrive(house, "a", [h.event(1, "s1")], [h.third(1, 1, "s1")])
+    arrive(house, "b", [h.event(2, "s2")], [h.third(2, 2, "s2"), h.third(3, 3, "s3")])
+    assert jobs.compact(house, EVENTS_ENRICHED, [202510]) == 0
+    ledger.reconcile_new(house)
+    rollup.refresh(house)
+    arrive(house, "c", [h.event(3, "s3")])
+    assert jobs.compact(house, EVENTS_ENRICHED, [202510]) == 2
+    assert set(stored_batches(house.spark, house.root, EVENTS_ENRICHED)) == {"c"}
+    assert ledger.reconcile_new(house) == ledger.Run(1, 0)
+    # The first batch of facts is counted, the second is not.
+    assert jobs.compact(house, FACT_PURCHASES, [202510]) == 0
+    rollup.refresh(house)
+    assert stored_revenue(house) == wanted_revenue(house)
+    ledger.reconcile_new(house)
+    rollup.refresh(house)
+    assert jobs.compact(house, FACT_PURCHASES, [202510]) == 2
+    rollup.refresh(house)
+    assert stored_revenue(house) == wanted_revenue(house) and house.facts().count() == 3
+
+
 def test_refresh_cut_off_is_done_again(house, spark):
     arrive(house, "a", [h.event(1, "s1")], [h.third(1, 1, "s1")])
     jobs.denormalize_stored(house)

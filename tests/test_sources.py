@@ -226,6 +226,24 @@ def test_compaction_merges_states(spark, rows, root, tmp_path):
     assert rows(finalize_states(before)) == rows(finalize_states(after))
 
 
+def test_compaction_in_place(spark, rows, root):
+    data = h.events(spark, *MONTHS)
+    for label in ("1", "2", "3", "young"):
+        tables.write_batch(daily_states(data), root, EVENTS_AGG_DAILY, label)
+    wanted = rows(finalize_states(tables.read_table(spark, root, EVENTS_AGG_DAILY)))
+    months = [202509, 202510]
+    young = set(glob.glob(f"{root}/events_agg_daily/batch=young/*/*.parquet"))
+    other = set(glob.glob(f"{root}/events_agg_daily/batch=1/yyyymm=202511/*.parquet"))
+    found = tables.compact_months(spark, root, EVENTS_AGG_DAILY, months, ["young"], merge_states)
+    files = set(glob.glob(f"{root}/events_agg_daily/*/*/*.parquet"))
+    assert found == 6 and young | other <= files
+    assert sum("batch=merged-" in f for f in files) == 2
+    assert rows(finalize_states(tables.read_table(spark, root, EVENTS_AGG_DAILY))) == wanted
+    assert not glob.glob(f"{root}/events_agg_daily/batch=[123]/yyyymm=202510")
+    assert tables.compact_months(spark, root, EVENTS_AGG_DAILY, months, ["young"], merge_states) == 0
+    assert rows(finalize_states(tables.read_table(spark, root, EVENTS_AGG_DAILY))) == wanted
+
+
 def test_raw_table_without_months(spark, rows, root):
     raw = h.events(spark, *MONTHS).select(*USER_EVENTS.columns)
     tables.write_batch(raw, root, USER_EVENTS, "1")
