@@ -23,7 +23,7 @@ from eventmart.schemas import (
 from eventmart.session import run_dir
 from eventmart.sources import canonical as data
 from eventmart.sources import buckets, files, kafka, tables
-from eventmart.streaming import changes, joined, live, records, users
+from eventmart.streaming import changes, joined, live, progress, records, users
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -552,13 +552,11 @@ def _live(spark: SparkSession, sf_dir: str, with_facts: bool = False,
     pipeline = live.LivePipeline(house.root, live.Refreshed(lambda: data.users(spark, sf_dir)),
                                  ingested_at=lambda: AS_OF, lag_sketches=lag_sketches)
     if with_facts:
-        product = data.product_tables(spark, sf_dir, late=False)
-        pipeline.products = lambda: product
-        pipeline.financials = lambda: data.financials(spark, sf_dir)
+        jobs.seed(house, data.product_tables(spark, sf_dir, late=False), data.financials(spark, sf_dir))
+        pipeline.products, pipeline.financials = house.product_tables, house.financials
     if in_buckets:
         pipeline.order_buckets = buckets.OrderBuckets(house.root)
-        pipeline.order_buckets.add(orders.product_orders_all(
-            data.product_tables(spark, sf_dir, late=False), collapse=False))
+        pipeline.order_buckets.add(orders.product_orders_all(house.product_tables(), collapse=False))
     query = pipeline.start(_record_stream(spark, sf_dir, batches), run_dir(spark, "checkpoint"))
     live.wait(query, 1800)
     return house
@@ -581,7 +579,7 @@ def stream_agg_daily_compacted(spark, sf_dir):
 
 
 def stream_facts(spark, sf_dir):
-    """Facts of purchases that come in three micro-batches."""
+    """Facts of purchases that come in three micro-batches, of stored orders."""
     return plain(_live(spark, sf_dir, with_facts=True, batches=3).facts())
 
 
@@ -652,6 +650,21 @@ def consumer_totals(spark, sf_dir):
         "last_offset")
 
 
+def stream_progress(spark, sf_dir):
+    """Rows by micro-batch as the engine tells them, against what the batches counted themselves."""
+    root = run_dir(spark, "progress")
+    log = progress.ProgressLog().attach(spark)
+    try:
+        log.wait(live.start_raw_sink(_record_stream(spark, sf_dir, 3), root, run_dir(spark, "checkpoint")), 1800)
+    finally:
+        spark.streams.removeListener(log)
+    log.store(spark, root)
+    told = progress.batch_progress(spark, root).where("input_rows > 0").agg(
+        F.count(F.lit(1)).alias("batches"), F.sum("input_rows").alias("input_rows"))
+    counted = live.consumer_totals(spark, root).agg(F.sum("num_messages_read").alias("counted_rows"))
+    return told.join(F.broadcast(counted))
+
+
 def stream_two_runs(spark, sf_dir):
     """Two streams with checkpoints of their own into one warehouse: partitions with an even number,
     then the others. Neither may touch what the other wrote."""
@@ -810,7 +823,7 @@ _GROUPS: Sequence[Query] = (
     stream_facts_in_buckets, stream_raw_sink, raw_sink_dead_letters, consumer_totals, stream_two_runs,
     stored_user_changes, change_log_dead_letters, stream_joined_facts, stream_join_state,
     stream_lag_quantiles, stream_without_copies, stream_after_user_refresh, users_from_change_stream,
-    full_run_report, ingest_cycle_gate, monitoring_gate, truncated_tables,
+    stream_progress, full_run_report, ingest_cycle_gate, monitoring_gate, truncated_tables,
 )
 
 QUERIES: dict[str, Query] = {query.__name__: query for query in _GROUPS}

@@ -492,6 +492,8 @@ _BODIES["stream_without_copies"] = f"""WITH delivered AS (
         CAST(epoch(TIMESTAMP '2024-01-31 00:00:00' - kafka_timestamp) AS BIGINT) AS ingest_lag_sec
     FROM delivered"""
 _BODIES["stream_agg_daily_compacted"] = _BODIES["stream_agg_daily"]
+_BODIES["stream_progress"] = """SELECT CAST(3 AS BIGINT) AS batches, count(*) AS input_rows,
+    count(*) AS counted_rows FROM ev"""
 _BODIES["stream_facts_in_buckets"] = _BODIES["stream_facts"]
 _BODIES["stream_two_runs"] = _BODIES["stream_enriched"]
 

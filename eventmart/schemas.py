@@ -154,6 +154,12 @@ REVENUE_CHANGES = Table(
     key=("product_line", "day"), sort=("product_line", "day"))
 COUNTED_BATCHES = Table("counted_batches", _schema(label=TEXT))
 
+# What the engine tells of each micro-batch and source; offsets as the engine writes them.
+PROGRESS = Table(
+    "progress",
+    _schema(query=TEXT, batch_id=LONG, source=INT, told_at=TEXT, described=TEXT, input_rows=LONG,
+            end_offset=TEXT, latest_offset=TEXT))
+
 # Emptied by a reset; the users dimension stays.
 DATA_TABLES = (
     EVENTS_ENRICHED, EVENTS_AGG_DAILY, FACT_PURCHASES, *PRODUCT_TABLES.values(),

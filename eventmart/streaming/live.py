@@ -97,7 +97,8 @@ class LivePipeline:
             users, small = self.users.get()
             rows = enrich(good_events(parsed), users, self.ingested_at(), broadcast=small)
             write_batch(rows, self.root, EVENTS_ENRICHED, label)
-            write_batch(batch_counts(records), self.root, CONSUMED, label)
+            # Of the parsed rows, which are kept: the source is read once.
+            write_batch(batch_counts(parsed), self.root, CONSUMED, label)
         finally:
             parsed.unpersist()
         # The batch's rows are read back from its files, so neither parsing nor the lookup
@@ -157,7 +158,7 @@ def start_raw_sink(records: DataFrame, root: str, checkpoint: str) -> StreamingQ
         try:
             write_batch(dead_letters(parsed), root, DEAD_LETTERS, label)
             write_batch(good_events(parsed).select(*USER_EVENTS.columns), root, USER_EVENTS, label)
-            write_batch(batch_counts(batch), root, CONSUMED, label)
+            write_batch(batch_counts(parsed), root, CONSUMED, label)
         finally:
             parsed.unpersist()
 

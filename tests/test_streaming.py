@@ -277,3 +277,27 @@ def test_user_store_folds_single_buckets(spark, rows, tmp_path):
     store.fold()
     assert rows(store.current(), "user_id", "city") == before == rows(
         UserStore(spark, store.root, 4, max_bytes=0).current(), "user_id", "city")
+
+
+def test_progress_rows_give_totals_and_lag(spark, rows, source, tmp_path):
+    from eventmart.schemas import PROGRESS
+    from eventmart.streaming import progress
+
+    house, log = str(tmp_path / "house"), progress.ProgressLog().attach(spark)
+    try:
+        source.add(records(spark, message(1), message(2)))
+        source.add(records(spark, message(3), "bad", message(4)))
+        log.wait(live.start_raw_sink(source.stream(), house, source.checkpoint), 120)
+    finally:
+        spark.streams.removeListener(log)
+    assert log.store(spark, house) >= 2 and log.store(spark, house) == 0
+    assert sorted(n for n, in rows(progress.batch_progress(spark, house), "input_rows") if n) == [2, 3]
+    assert live.consumer_totals(spark, house).first().num_messages_read == 5
+    # Topics, as their source tells them: a batch told twice, a partition that lags, a source without offsets.
+    told = spark.createDataFrame([
+        ("q", 0, 0, "1", "t", 5, '{"events":{"0":5,"1":2}}', '{"events":{"0":9,"1":2}}'),
+        ("q", 1, 0, "2", "t", 2, '{"events":{"0":7,"1":2}}', '{"events":{"0":9,"1":4}}'),
+        ("q", 1, 0, "3", "t", 2, '{"events":{"0":7,"1":3}}', '{"events":{"0":9,"1":4}}'),
+        ("f", 0, 0, "1", "file", 3, '{"logOffset":0}', None)], PROGRESS.schema)
+    assert rows(progress.topic_lag(told), "query", "topic", "partition", "end_offset", "latest_offset", "lag") == [
+        ("q", "events", 0, 7, 9, 2), ("q", "events", 1, 3, 4, 1)]
