@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from eventmart.functions.values import EPOCH_TIME, PURCHASE
 from eventmart.operators.filters import key_filter, point_filter
 from eventmart.operators.orders import latest_financials
-from eventmart.operators.skew import salted_join
+from eventmart.operators.skew import BROADCAST_BYTES, salted_join
 from eventmart.operators.versioning import drop_duplicates, one_row_per_order
 from eventmart.schemas import FACT_PURCHASES
 from eventmart.session import run_dir
@@ -20,7 +20,7 @@ from eventmart.sources.buckets import SLOT, OrderBuckets
 SESSION = ["user_id", "session_id"]
 _ORDER_NAMES = {"premium": "order_premium", "created_at": "order_created_at"}
 __all__ = [
-    "SESSION", "denormalize", "denormalize_in_buckets", "facts_of", "key_filter", "orders_without_fact",
+    "BROADCAST_BYTES", "SESSION", "denormalize", "denormalize_in_buckets", "facts_of", "key_filter", "orders_without_fact",
     "point_filter", "purchase_side", "purchases", "purchases_without_fact", "reconcile"]
 _EVENT_COLUMNS = ("event_time", "user_id", "session_id", "channel", "event_premium", "city",
                   "device_type", "signup_date")
