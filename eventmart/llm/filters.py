@@ -24,11 +24,16 @@ def bit(h: Column) -> Column:
     return h.bitwiseAND(63).cast("int")
 
 
+def words_of(ids: DataFrame, column: str, words: int = WORDS) -> DataFrame:
+    """The filter of a column of hashes as a table (slot, bits), at most ``words`` rows."""
+    h = F.col(column)
+    return ids.select(slot(h, words).alias("slot"), bit(h).alias("bit")).distinct().groupBy(
+        "slot").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
+
+
 def bits_of(ids: DataFrame, column: str, words: int = WORDS) -> np.ndarray:
     """The filter of a column of hashes; at most ``words`` numbers reach the driver."""
-    h = F.col(column)
-    rows = ids.select(slot(h, words).alias("slot"), bit(h).alias("bit")).distinct().groupBy(
-        "slot").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).toPandas()
+    rows = words_of(ids, column, words).toPandas()
     found = np.zeros(words, np.int64)
     found[rows["slot"]] = rows["bits"]
     return found
@@ -40,25 +45,19 @@ def passes(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (word >> (h & 63)) & 1 == 1
 
 
-def constant(bits: np.ndarray) -> Column:
-    """The filter as a constant array; of one string, which the optimizer turns into the array."""
-    return F.split(F.lit(",".join(map(str, bits.tolist()))), ",").cast("array<bigint>")
-
-
-def passes_column(bits: Column, h: Column, words: int = WORDS) -> Column:
-    return F.getbit(F.get(bits, slot(h, words)), bit(h)) == 1
-
-
 def without(df: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFrame:
     """The rows whose id is not among ``ids`` (a column of the same name, without repeats); null ids stay.
 
     Rows that the filter does not pass are surely not among them and stay where they are; only the
-    others meet the ids in a join. Columns may have any names.
+    others meet the ids in a join. The filter goes to the tasks as a broadcast table, not as a
+    constant: Spark writes a plan's constants out in the text of every event about it, which took
+    the driver hundreds of MB. Columns may have any names.
     """
     ids = staged(ids.select(column), "ids")
-    bits = constant(bits_of(ids.select(F.xxhash64(column).alias("h")), "h"))
+    words = F.broadcast(staged(words_of(ids.select(F.xxhash64(column).alias("h")), "h"), "filter"))
     plain, names = numbered(df)
     key = f"c{names.index(column)}"
-    maybe = F.coalesce(passes_column(bits, F.xxhash64(key)), F.lit(False)) & F.col(key).isNotNull()
-    return plain.where(~maybe).unionAll(plain.where(maybe).join(
+    h = F.xxhash64(key)
+    maybe = F.col(key).isNotNull() & (slot(h) == F.col("slot")) & (F.getbit("bits", bit(h)) == 1)
+    return plain.join(words, maybe, "left_anti").unionAll(plain.join(words, maybe, "left_semi").join(
         ids.withColumnRenamed(column, key), key, "left_anti").select(*plain.columns)).toDF(*names)

@@ -160,6 +160,17 @@ def test_without(spark):
     assert left.columns == ["doc_id", "t"]
 
 
+def test_without_keeps_its_filter_out_of_the_plan(spark):
+    """The driver holds the text of plans, several times over."""
+    rows = spark.range(-4000, 4000).withColumnRenamed("id", "doc_id").unionAll(
+        spark.createDataFrame([(None,), (0,), (1,)], "doc_id long"))
+    left = filters.without(rows, rows.where("doc_id % 2 = 0").distinct())
+    assert Counter(r.doc_id for r in left.collect()) == Counter([*range(-3999, 4000, 2), None, 1])
+    assert len(left._jdf.queryExecution().toString()) < 50_000
+    none = filters.without(rows, rows.where("doc_id IS NULL").limit(0))
+    assert none.count() == 8003
+
+
 def test_plan_uses_every_piece_once():
     rng = np.random.default_rng(4)
     for n in (0, 1, 7, 60, 900, 40_000):
